@@ -1,6 +1,7 @@
 from tidemill.functions.columns import (
     archive_name,
     customer_tier,
+    delivery_name,
     feed_date,
     feed_name,
     full_name,
@@ -11,6 +12,7 @@ from tidemill.functions.columns import (
 __all__ = [
     "archive_name",
     "customer_tier",
+    "delivery_name",
     "feed_date",
     "feed_name",
     "full_name",

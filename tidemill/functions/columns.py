@@ -12,9 +12,11 @@ HIGH_FROM = 3
 MEDIUM_FROM = 2
 TIERS = ("high", "medium", "low")
 
-# A feed file is <table>.csv or <table>_YYYYMMDD.csv.
-FEED_SUFFIX = r"(_\d{8})?\.csv$"
-FEED_DATE = r"_(\d{8})\.csv$"
+# A delivery is <table>.csv or <table>_YYYYMMDD.csv, a file or a folder of part files.
+PART = r"(/part-[^/]*)?$"
+FEED = r"([^/]+?)(_\d{8})?\.csv" + PART
+FEED_DATE = r"_(\d{8})\.csv" + PART
+DELIVERY = r"([^/]+\.csv)" + PART
 
 
 def money(value: Column) -> Column:
@@ -39,14 +41,19 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(first, F.lit(" "), last)
 
 
-def feed_name(file_name: Column) -> Column:
-    """Table a file belongs to: its name without `.csv` and without an eight-digit date."""
-    return F.regexp_replace(file_name, FEED_SUFFIX, "")
+def feed_name(path: Column) -> Column:
+    """Table a delivery belongs to: its name without `.csv` and without an eight-digit date."""
+    return F.regexp_extract(path, FEED, 1)
 
 
-def feed_date(file_name: Column) -> Column:
-    """Date in the file name, NULL if there is none or it is no calendar date."""
-    digits = F.nullif(F.regexp_extract(file_name, FEED_DATE, 1), F.lit(""))
+def delivery_name(path: Column) -> Column:
+    """File name, or the name of the folder that a part file lies in."""
+    return F.regexp_extract(path, DELIVERY, 1)
+
+
+def feed_date(path: Column) -> Column:
+    """Date in the name of a delivery, NULL if there is none or it is no calendar date."""
+    digits = F.nullif(F.regexp_extract(path, FEED_DATE, 1), F.lit(""))
     return F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date")
 
 

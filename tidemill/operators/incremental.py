@@ -30,8 +30,9 @@ def incremental_append(
     store: Store, incoming: DataFrame, table: str, key: Sequence[str], since: str | None = None
 ) -> int | None:
     """Append what the table lacks; the number of the new batch, or None if it lacks nothing."""
-    if store.exists(table):
-        incoming = new_rows(incoming, store.read(table), key, since)
+    existing = store.read_if_exists(table)
+    if existing is not None:
+        incoming = new_rows(incoming, existing, key, since)
         if incoming.isEmpty():
             return None
     return store.append_or_create(incoming, table)
@@ -87,12 +88,13 @@ def merge_figures(state: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def advance_customer_orders(store: Store, customers: DataFrame, new_orders: DataFrame, table: str) -> DataFrame:
-    """Merge orders never seen before into the figures kept in `table`; returns the mart."""
-    figures = orders_per_customer(new_orders)
-    if store.exists(table):
-        figures = merge_figures(store.read(table), figures)
-    store.materialize(figures, table)
+def advance_figures(store: Store, new_orders: DataFrame, table: str) -> int:
+    """Merge orders never seen before into the figures per customer kept in `table`."""
+    figures, known = orders_per_customer(new_orders), store.read_if_exists(table)
+    return store.materialize(figures if known is None else merge_figures(known, figures), table)
+
+
+def mart_from_figures(store: Store, customers: DataFrame, table: str) -> DataFrame:
     return attach_customers(customers, store.read(table))
 
 

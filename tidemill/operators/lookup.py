@@ -51,17 +51,21 @@ def lookup_join(
     key: str,
     spread_by: Iterable[str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """`fact` left join `lookup` on `key`.
 
     A lookup table within `broadcast_bytes` is broadcast: the fact table is not shuffled. A larger
     one is joined by shuffle, and each hot key is split: its fact rows are spread by a hash of
     `spread_by` and its lookup rows repeated once per part. Rows without a key are spread too.
+
+    `keys_from` is where hot keys are looked for, by default `fact`: if that is itself the result of
+    a join, name the table its keys come from, and the join need not run to find them.
     """
     if fits(lookup, broadcast_bytes):
         return fact.join(F.broadcast(lookup), key, "left")
     parts = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    hot = F.broadcast(hot_keys(fact, key, parts))  # fewer than `parts` rows
+    hot = F.broadcast(hot_keys(fact if keys_from is None else keys_from, key, parts))  # fewer than `parts` rows
     row_hash = F.xxhash64(*spread_by)
     spread = (
         F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(parts)))

@@ -65,7 +65,8 @@ def seed(store: Store, folder: str, names: Sequence[str] = ("customers", "orders
 
 def raw_sources(store: Store, names: Sequence[str] = ("customers", "orders", "products")) -> dict[str, DataFrame]:
     """Raw tables that exist, without the batch numbers."""
-    return {n: store.read(n).drop("batch_id") for n in names if store.exists(n)}
+    found = {name: store.read_if_exists(name) for name in names}
+    return {name: df.drop("batch_id") for name, df in found.items() if df is not None}
 
 
 def run_build(
@@ -101,7 +102,7 @@ def run_build(
             models[name] = store.read_version(name, version)
             if name in tests and name in _test(store.spark, models, {name: tests[name]}, reports):
                 failed.add(name)
-                store.write_log(name, "version", version, "overwrite", "rejected", None)
+                store.reject(name, version)
             else:
                 store.publish(name, version)
     if not reports:
@@ -137,7 +138,7 @@ def publish_if_passing(
     reports: list[DataFrame] = []
     failed = _test(store.spark, candidate, {table: columns}, reports)
     if failed:
-        store.write_log(table, "version", version, "overwrite", "rejected", None)
+        store.reject(table, version)
     else:
         store.publish(table, version)
     return not failed, reports[0]

@@ -21,8 +21,10 @@ from tidemill.plans import marts, reports, staging
 from tidemill.plans.build import MART_TESTS, STAGING_TESTS, publish_if_passing, run_build
 from tidemill.session import scratch_dir
 from tidemill.sources import tables
-from tidemill.sources.feeds import PRODUCTS, load_seed, read_feed
+from tidemill.sources.feeds import ORDERS, PRODUCTS, Feed, load_seed, read_feed
+from tidemill.sources.ingest import ingest, ledger, quarantine_table
 from tidemill.sources.store import Store
+from tidemill.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 URGENT = "1-URGENT"
@@ -343,26 +345,79 @@ def archive_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as text, some with an amount or a date that is none: which are clean, what is wrong."""
+def _dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text, some with an amount or a date that is none, some without a customer."""
     o = tables.load(spark, folder, "orders")
     low, pending = F.col("o_orderpriority") == "5-LOW", F.col("o_orderstatus") == "P"
-    text = o.select(
+    nobody = pending & (F.col("o_totalprice") < 50000)
+    return o.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.when(pending & (F.col("o_totalprice") < 50000), None).otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.when(~nobody, F.col("o_custkey").cast("string")).alias("customer_id"),
         F.when(pending & low, F.lit("2024-13-01"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
         .alias("order_date"),
         F.when(low, F.lit("n/a"))
         .otherwise(F.col("o_totalprice").cast("decimal(10,2)").cast("string"))
         .alias("amount"),
+        F.col("o_orderstatus").alias("status"),
     )
-    types = spark.createDataFrame([], "order_id bigint, customer_id bigint, order_date date, amount decimal(10,2)").schema
-    clean, bad = split_valid(text, type_rules(types, required=("customer_id",)))
+
+
+DIRTY_FEED = Feed("orders", ORDERS.columns, ("order_id", "customer_id"))
+
+
+def quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Which of the dirty orders are clean, and what is wrong with the others."""
+    clean, bad = split_valid(_dirty_orders(spark, folder), type_rules(DIRTY_FEED.schema, DIRTY_FEED.required))
     clean = clean.withColumn("reasons", F.lit(""))
     return clean.unionByName(bad.withColumn("reasons", F.array_join("reasons", "; "))).select("order_id", "reasons")
 
 
+def _landing(spark: SparkSession, folder: str) -> str:
+    """A landing zone with the dirty orders, one delivery of part files per order status."""
+    landing, orders = scratch_dir(spark, "landing"), _dirty_orders(spark, folder)
+    for day, status in enumerate(("F", "O", "P"), start=1):
+        delivery = orders.filter(F.col("status") == status)
+        delivery.write.option("header", True).csv(f"{landing}/orders_2024010{day}.csv")
+    return landing
+
+
+def _ingested(spark: SparkSession, folder: str) -> Store:
+    """Two runs of the ingest over the same landing zone; the second finds nothing to do."""
+    store, landing = _store(spark), _landing(spark, folder)
+    feeds = {DIRTY_FEED.name: DIRTY_FEED}
+    ingest(store, landing, feeds)
+    ingest(store, landing, feeds)
+    return store
+
+
+def landing_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return _ingested(spark, folder).read("orders").drop("batch_id")
+
+
+def landing_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    bad = _ingested(spark, folder).read(quarantine_table("orders"))
+    reasons = F.array_join("reasons", "; ").alias("reasons")
+    return bad.select("order_id", "customer_id", "order_date", "amount", "status", "file_name", reasons)
+
+
+def landing_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of each delivery."""
+    entries = ledger(_ingested(spark, folder))
+    return entries.groupBy("feed", "file_name", "status").agg(
+        F.sum("rows").alias("rows"), F.sum("quarantined").alias("quarantined")
+    )
+
+
+def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same deliveries as a stream, run twice from one checkpoint; the second run finds nothing new."""
+    store, landing = _store(spark), _landing(spark, folder)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    for _ in range(2):
+        stream_ingest(store, landing, DIRTY_FEED, checkpoint, every=None).awaitTermination()
+    return store.read("orders").drop("batch_id")
+
+
 # -- tables with history -----------------------------------------------------------------------
 
 
@@ -372,10 +427,16 @@ def _weeks(events: DataFrame) -> Iterator[DataFrame]:
     start = datetime(first.year, first.month, first.day)
     while start <= last:
         end = start + timedelta(days=7)
-        yield events.filter((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+        yield _between(events, "ts", start, end)
         start = end
 
 
+def _between(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
+    """Bounds in the type of the column, so that the Parquet reader gets them."""
+    dtype = df.schema[column].dataType
+    return df.filter((F.col(column) >= F.lit(start).cast(dtype)) & (F.col(column) < F.lit(end).cast(dtype)))
+
+
 def _weekly(spark: SparkSession, folder: str) -> Store:
     store = _store(spark)
     for batch in _weeks(tables.load(spark, folder, "events")):
@@ -410,7 +471,7 @@ def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
     first, second, *_ = _weeks(events)
     inc.incremental_append(store, first.unionByName(second), "events", ["event_id"])
     from_second = second.agg(F.min("ts")).first()[0]
-    late = events.filter(F.col("ts") >= F.lit(from_second))
+    late = events.filter(F.col("ts") >= F.lit(from_second).cast(events.schema["ts"].dataType))
     inc.incremental_append(store, late, "events", ["event_id"], since="ts")
     return store.read("events").drop("batch_id")
 
@@ -418,27 +479,24 @@ def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Daily figures kept up to date week by week."""
     store = _store(spark)
-    for number, batch in enumerate(_weeks(tables.load(spark, folder, "events"))):
-        figures = inc.daily_figures(batch)
-        if number:
-            figures = inc.merge_daily(store.read("daily"), figures)
-        store.materialize(figures, "daily")
+    for batch in _weeks(tables.load(spark, folder, "events")):
+        figures, known = inc.daily_figures(batch), store.read_if_exists("daily")
+        store.materialize(figures if known is None else inc.merge_daily(known, figures), "daily")
     return inc.with_mean(store.read("daily"))
 
 
 def _years(orders: DataFrame) -> Iterator[DataFrame]:
     first, last = orders.agg(F.min(F.year("order_date")), F.max(F.year("order_date"))).first()
     for year in range(first, last + 1):
-        yield orders.filter((F.col("order_date") >= F.lit(datetime(year, 1, 1))) & (F.col("order_date") < F.lit(datetime(year + 1, 1, 1))))
+        yield _between(orders, "order_date", datetime(year, 1, 1), datetime(year + 1, 1, 1))
 
 
 def incremental_customer_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The customer mart after one batch of orders per year."""
-    store, customers = _store(spark), stg_customers(spark, folder)
-    mart = None
+    store = _store(spark)
     for batch in _years(tables.orders(spark, folder)):
-        mart = inc.advance_customer_orders(store, customers, staging.stg_orders(batch), "order_figures")
-    return mart
+        inc.advance_figures(store, staging.stg_orders(batch), "order_figures")
+    return inc.mart_from_figures(store, stg_customers(spark, folder), "order_figures")
 
 
 def version_diff(spark: SparkSession, folder: str) -> DataFrame:
@@ -530,6 +588,10 @@ QUERIES: dict[str, Query] = {
     "feed_routing": feed_routing,
     "archive_name": archive_names,
     "quarantine": quarantine,
+    "landing_ingest": landing_ingest,
+    "landing_quarantine": landing_quarantine,
+    "landing_ledger": landing_ledger,
+    "landing_stream": landing_stream,
     "ingest_append": ingest_append,
     "incremental_append": incremental_append,
     "incremental_daily": incremental_daily,

@@ -55,7 +55,7 @@ def order_products(orders: DataFrame, items: DataFrame, products: DataFrame) ->
         items, orders.select("order_id", "customer_id", "order_date", "status"), "order_id", spread_by=line
     )
     names = products.select("product_id", F.col("name").alias("product_name"), "category")
-    return lookup_join(with_order, names, "product_id", spread_by=line).select(
+    return lookup_join(with_order, names, "product_id", spread_by=line, keys_from=items).select(
         "order_id",
         "line_number",
         "customer_id",

@@ -66,14 +66,21 @@ MART = f"WITH {CUSTOMERS},{ALL_ORDERS},{_mart()}"
 SPARSE = f"WITH {CUSTOMERS},{URGENT_ORDERS},{_mart()}"
 STAGED = f"WITH {CUSTOMERS},{ALL_ORDERS}"
 
+# Mean of cents, half-up, in whole numbers: a division would be a binary fraction here.
+MEAN = (
+    "CAST(CAST(sign({total}) * ((2 * abs(CAST({total} * 100 AS HUGEINT)) + {n}) // (2 * {n})) AS DECIMAL(18,2)) * 0.01 "
+    "AS DECIMAL(18,2))"
+)
+
 TIER = """
 SELECT customer_tier,
        COUNT(*) AS customer_count,
        CAST(SUM(total_orders) AS BIGINT) AS total_orders,
        CAST(SUM(total_revenue) AS DECIMAL(18,2)) AS total_revenue,
-       CAST(ROUND(SUM(total_revenue) / COUNT(total_revenue), 2) AS DECIMAL(18,2)) AS avg_revenue
+       {mean} AS avg_revenue
 FROM {source}
 GROUP BY customer_tier"""
+TIER_MEAN = MEAN.format(total="SUM(total_revenue)", n="COUNT(total_revenue)")
 
 
 def _report(rows: list[tuple[str, str, str, str]]) -> str:
@@ -168,6 +175,29 @@ weekly AS (
     SELECT *, CAST(date_diff('day', (SELECT MIN(day) FROM days), day) // 7 + 1 AS BIGINT) AS batch_id FROM days
 )"""
 
+DIRTY = """
+dirty AS (
+    SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+           CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '2024-13-01'
+                ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a'
+                ELSE CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) END AS amount,
+           o_orderstatus AS status,
+           CASE o_orderstatus WHEN 'F' THEN 'orders_20240101.csv' WHEN 'O' THEN 'orders_20240102.csv'
+                ELSE 'orders_20240103.csv' END AS file_name,
+           concat_ws('; ',
+               CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'bad date in order_date' END,
+               CASE WHEN o_orderpriority = '5-LOW' THEN 'bad decimal(10,2) in amount' END,
+               CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN 'missing customer_id' END) AS reasons
+    FROM orders
+)"""
+
+CLEAN = """
+SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id,
+       CAST(order_date AS DATE) AS order_date, CAST(amount AS DECIMAL(10,2)) AS amount, status
+FROM dirty WHERE reasons = ''"""
+
 IDENTICAL = """
 SELECT '{left}' AS left_name, '{right}' AS right_name, TRUE AS identical,
        (SELECT COUNT(*) FROM customer) AS matched,
@@ -251,8 +281,8 @@ SELECT customer_id, first_name, last_name, total_orders, total_revenue, customer
 SELECT customer_tier, COUNT(*) AS customer_count, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
        CAST(SUM(total_revenue) AS DECIMAL(18,2)) AS total_revenue
 FROM mart GROUP BY customer_tier""",
-    "tier_summary": f"{SPARSE} {TIER.format(source='mart')}",
-    "tier_summary_nonnull": f"{SPARSE} {TIER.format(source='(SELECT * FROM mart WHERE total_orders > 0) AS m')}",
+    "tier_summary": f"{SPARSE} {TIER.format(source='mart', mean=TIER_MEAN)}",
+    "tier_summary_nonnull": f"{SPARSE} {TIER.format(source='(SELECT * FROM mart WHERE total_orders > 0) AS m', mean=TIER_MEAN)}",
     "tier_counts": f"{SPARSE} SELECT customer_tier, COUNT(*) AS n FROM mart GROUP BY customer_tier",
     "full_name": f"WITH {CUSTOMERS} SELECT customer_id, first_name || ' ' || last_name AS full_name FROM customers",
     "order_list_per_customer": f"""
@@ -363,18 +393,22 @@ FROM files GROUP BY file_name""",
 SELECT event_type || '_' || strftime(day, '%Y%m%d') || '.csv' AS file_name, loaded_at,
        event_type || '_' || strftime(day, '%Y%m%d') || '_' || strftime(loaded_at, '%Y%m%d_%H%M%S') || '.csv' AS archived_as
 FROM (SELECT event_type, CAST(ts AS DATE) AS day, MAX(ts) AS loaded_at FROM events GROUP BY 1, 2) AS f""",
-    "quarantine": """
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-       concat_ws('; ',
-           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'bad date in order_date' END,
-           CASE WHEN o_orderpriority = '5-LOW' THEN 'bad decimal(10,2) in amount' END,
-           CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN 'missing customer_id' END) AS reasons
-FROM orders""",
+    "quarantine": f"WITH {DIRTY} SELECT order_id, reasons FROM dirty",
+    "landing_ingest": f"WITH {DIRTY} {CLEAN}",
+    "landing_quarantine": f"""
+WITH {DIRTY}
+SELECT order_id, customer_id, order_date, amount, status, file_name, reasons FROM dirty WHERE reasons <> ''""",
+    "landing_ledger": f"""
+WITH {DIRTY}
+SELECT 'orders' AS feed, file_name, 'loaded' AS status,
+       COUNT(*) FILTER (WHERE reasons = '') AS rows, COUNT(*) FILTER (WHERE reasons <> '') AS quarantined
+FROM dirty GROUP BY file_name""",
+    "landing_stream": f"WITH {DIRTY} {CLEAN}",
     "ingest_append": f"WITH {DAYS} SELECT event_id, ts, user_id, event_type, value, props, batch_id FROM weekly",
     "incremental_append": "SELECT * FROM events",
-    "incremental_daily": """
+    "incremental_daily": f"""
 SELECT day, event_type, n, total_value, min_value, max_value,
-       CAST(ROUND(total_value / nullif(n_values, 0), 2) AS DECIMAL(18,2)) AS avg_value
+       {MEAN.format(total="total_value", n="nullif(n_values, 0)")} AS avg_value
 FROM (
     SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n, COUNT(value) AS n_values,
            CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_value,

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions import feed_name
+from tidemill.functions import delivery_name, feed_name
 from tidemill.sources.store import Store
 
 CORRUPT = "_corrupt_record"
-FILES_SCHEMA = "path string, file_name string, feed string, modified_at timestamp, bytes bigint"
+FILES_SCHEMA = "path string, uri string, file_name string, feed string, modified_at timestamp, bytes bigint"
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,8 @@ class Feed:
         return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
 
     @property
-    def file_glob(self) -> str:
+    def glob(self) -> str:
+        """Names of deliveries of the feed."""
         return f"{{{self.name}.csv,{self.name}_{'[0-9]' * 8}.csv}}"
 
 
@@ -107,18 +108,22 @@ def external_table(spark: SparkSession, name: str, path: str, columns: str) -> D
 
 
 def landing_files(spark: SparkSession, landing: str) -> DataFrame:
-    """CSV files of the landing zone and the feeds they belong to; file contents are not read."""
+    """CSV files of the landing zone and the feeds they belong to; file contents are not read.
+
+    A delivery is a file, or a folder of part files as Spark writes it: `orders_20240601.csv/part-*.csv`.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     try:
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
+        listed = reader.load(landing)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILES_SCHEMA)
-    file_name = F.element_at(F.split("path", "/"), -1)
     return listed.select(
         "path",
-        file_name.alias("file_name"),
-        feed_name(file_name).alias("feed"),
+        F.col("_metadata.file_path").alias("uri"),  # as rows of the file name it; blanks are encoded
+        delivery_name(F.col("path")).alias("file_name"),
+        feed_name(F.col("path")).alias("feed"),
         F.col("modificationTime").alias("modified_at"),
         F.col("length").alias("bytes"),
     )

@@ -11,22 +11,27 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions import archive_name
+from tidemill.functions import archive_name, delivery_name
+from tidemill.functions.columns import PART
 from tidemill.operators.validate import REASONS, typed, type_rules, with_reasons
 from tidemill.sources.feeds import CORRUPT, FEEDS, Feed, landing_files, read_feed, read_feed_text
 from tidemill.sources.store import Store, last_entries, read_or_empty
 
 LEDGER_SCHEMA = (
-    "path string, file_name string, feed string, modified_at timestamp, bytes bigint, batch_id bigint, "
+    "path string, uri string, file_name string, feed string, modified_at timestamp, bytes bigint, batch_id bigint, "
     "status string, loaded_at timestamp, rows bigint, quarantined bigint, archived_as string"
 )
 DELIVERY = ["path", "modified_at", "bytes"]
 
+# What a failed read raises; errors inside tasks arrive unconverted.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
 # Files taken into one batch; those left over make up the next batches of the same run.
 MAX_FILES = 1000
 
@@ -104,7 +109,7 @@ def _readable(store: Store, paths: list[str], feed: Feed) -> list[str]:
     for path in paths:
         try:
             read_feed_text(store.spark, path, feed).take(1)
-        except PySparkException:
+        except READ_ERRORS:
             continue
         good.append(path)
     return good
@@ -112,14 +117,16 @@ def _readable(store: Store, paths: list[str], feed: Feed) -> list[str]:
 
 def _load_declared(store: Store, feed: Feed, paths: list[str], batch_id: int) -> dict[str, tuple[int, int]]:
     text = read_feed_text(store.spark, paths, feed).select(
-        "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name")
+        "*",
+        F.col("_metadata.file_path").alias("uri"),
+        delivery_name(F.col("_metadata.file_path")).alias("file_name"),
     )
     checked = checked_rows(text, feed).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once, written twice
     try:
-        counts = checked.groupBy("path").agg(
+        counts = checked.groupBy("uri").agg(
             F.count_if(F.size(REASONS) == 0).alias("rows"), F.count_if(F.size(REASONS) > 0).alias("quarantined")
         )
-        loaded = {r["path"]: (r["rows"], r["quarantined"]) for r in counts.collect()}  # one row per file
+        loaded = {r["uri"]: (r["rows"], r["quarantined"]) for r in counts.collect()}  # one row per file
         write_checked(store, checked, feed, batch_id)
     finally:
         checked.unpersist()
@@ -130,25 +137,28 @@ def _load_inferred(store: Store, name: str, paths: list[str], batch_id: int) ->
     """A feed nobody declared: types are inferred for its first batch and kept from then on."""
     df = read_feed(store.spark, paths)
     store.append_or_create(df, name, batch_id)
-    counts = df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").count()
-    return {r["path"]: (r["count"], 0) for r in counts.collect()}  # one row per file
+    counts = df.select(F.col("_metadata.file_path").alias("uri")).groupBy("uri").count()
+    return {r["uri"]: (r["count"], 0) for r in counts.collect()}  # one row per file
 
 
 def _archive(store: Store, files: list[dict], folder: str) -> None:
     """Move loaded files to the archive folder under a name with the time of loading."""
+    if not files:
+        return
     hadoop = store.spark._jvm.org.apache.hadoop.fs
     named = store.spark.createDataFrame(
         [(f["path"], f["file_name"], f["loaded_at"]) for f in files], "path string, file_name string, at timestamp"
     )
-    for row in named.select("path", archive_name(F.col("file_name"), F.col("at")).alias("to")).collect():
-        source, target = hadoop.Path(row["path"]), hadoop.Path(f"{folder}/{row['to']}")
+    part = F.regexp_extract("path", PART, 0)
+    names = named.select("path", F.concat(archive_name(F.col("file_name"), F.col("at")), part).alias("to"))
+    new_names = {row["path"]: row["to"] for row in names.collect()}  # one row per file
+    for f in files:
+        f["archived_as"] = new_names[f["path"]]
+        source, target = hadoop.Path(f["path"]), hadoop.Path(f"{folder}/{f['archived_as']}")
         fs = source.getFileSystem(store.spark._jsc.hadoopConfiguration())
         fs.mkdirs(target.getParent())
         if fs.exists(source) and not fs.rename(source, target):
-            raise OSError(f"cannot archive {row['path']}")
-        for f in files:
-            if f["path"] == row["path"]:
-                f["archived_as"] = row["to"]
+            raise OSError(f"cannot archive {f['path']}")
 
 
 def ingest_batch(
@@ -167,7 +177,7 @@ def ingest_batch(
     feed = feeds.get(name)
     try:
         loaded = _load(store, feed, name, paths, batch_id)
-    except PySparkException:
+    except READ_ERRORS:
         # Most likely a header that is not the declared one: set aside the files that cannot be read.
         readable = _readable(store, paths, feed) if feed else paths
         if len(readable) == len(paths):
@@ -176,7 +186,7 @@ def ingest_batch(
         paths = readable
     at = _now()
     for f in files:
-        rows, quarantined = loaded.get(f["path"], (0, 0))
+        rows, quarantined = loaded.get(f["uri"], (0, 0))
         f.update(status="loaded" if f["path"] in paths else "rejected", loaded_at=at, rows=rows, quarantined=quarantined)
     if archive:
         _archive(store, [f for f in files if f["status"] == "loaded"], archive)

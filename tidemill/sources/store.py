@@ -116,23 +116,27 @@ class Store:
         self.write_log(table, BATCH, batch_id, "append", "loaded", rows)
         return batch_id
 
-    def stage_version(self, df: DataFrame, table: str) -> int:
-        """Write the next version without showing it to readers."""
+    def _write_version(self, df: DataFrame, table: str, status: str) -> int:
+        """Write the next version, then log it. What a crash leaves unlogged is overwritten next time."""
         number = (self.state(table)[1] or 0) + 1
-        self.write_log(table, VERSION, number, "overwrite", "started", None)
         rows = self._write(df, table, VERSION, number)
-        self.write_log(table, VERSION, number, "overwrite", "staged", rows)
+        self.write_log(table, VERSION, number, "overwrite", status, rows)
         return number
 
+    def stage_version(self, df: DataFrame, table: str) -> int:
+        """Write the next version without showing it to readers."""
+        return self._write_version(df, table, "staged")
+
     def publish(self, table: str, version: int) -> None:
         rows = self.read_version(table, version).count()
         self.write_log(table, VERSION, version, "overwrite", "published", rows)
 
+    def reject(self, table: str, version: int) -> None:
+        self.write_log(table, VERSION, version, "overwrite", "rejected", None)
+
     def materialize(self, df: DataFrame, table: str) -> int:
         """Full rebuild: a new version takes the place of the old one."""
-        version = self.stage_version(df, table)
-        self.publish(table, version)
-        return version
+        return self._write_version(df, table, "published")
 
     # -- reading -----------------------------------------------------------------------------
 
@@ -149,11 +153,17 @@ class Store:
 
         An appended table keeps its batch_id column, and older states are read by pruning batches.
         """
+        df = self.read_if_exists(table, as_of)
+        if df is None:
+            raise LookupError(f"no table {table} under {self.root}")
+        return df
+
+    def read_if_exists(self, table: str, as_of: int | None = None) -> DataFrame | None:
         last, _, version = self.state(table)
         if version is not None:
             return self.read_version(table, version if as_of is None else as_of)
         if last is None:
-            raise LookupError(f"no table {table} under {self.root}")
+            return None
         upto = last if as_of is None else min(as_of, last)
         return self._scan(table).withColumn(BATCH, F.col(BATCH).cast("bigint")).filter(F.col(BATCH) <= upto)
 

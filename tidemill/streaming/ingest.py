@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.functions import feed_name
+from tidemill.functions import delivery_name
 from tidemill.sources.feeds import CORRUPT, Feed
 from tidemill.sources.ingest import checked_rows, write_checked
 from tidemill.sources.store import Store
@@ -28,15 +28,15 @@ def feed_stream(store: Store, landing: str, feed: Feed, max_files: int | None =
         .option("header", True)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", feed.file_glob)
         .options(**feed.options)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    file_name = F.col("_metadata.file_name")
-    return reader.csv(landing).select("*", file_name.alias("file_name")).filter(feed_name(F.col("file_name")) == feed.name)
+    return reader.csv(f"{landing}/{feed.glob}").select(
+        "*", delivery_name(F.col("_metadata.file_path")).alias("file_name")
+    )
 
 
 def stream_ingest(
