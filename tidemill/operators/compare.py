@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# What can be said of a key.
+STATUSES = ("matched", "changed", "left_only", "right_only", "duplicate")
+
+
 def plain_names(df: DataFrame) -> DataFrame:
     """Column names without a `table.` prefix."""
     return df.toDF(*(name.split(".")[-1] for name in df.columns))
@@ -34,95 +38,106 @@ def schema_differences(left: DataFrame, right: DataFrame) -> dict[str, list[str]
     }
 
 
+def _side_by_side(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
+    """One row per key: how often each frame holds it (`_n<i>`), and each frame's values (`_<i>_<column>`).
+
+    All frames go through one aggregation by key. There is no join, so duplicates cannot multiply,
+    copies are merged before the shuffle, NULL keys meet each other, and each frame is read once.
+    """
+    tagged = [
+        df.select(*key, F.lit(i).alias("_side"), *(F.col(c).alias(f"_{i}_{c}") for c in df.columns if c not in key))
+        for i, df in enumerate(frames)
+    ]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    values = [c for c in both.columns if c not in key and c != "_side"]
+    return both.groupBy(*key).agg(
+        *(F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(frames))),
+        *(F.first(c, ignorenulls=True).alias(c) for c in values),
+    )
+
+
+class _Pair:
+    """Expressions over `_side_by_side` for frames i and j."""
+
+    def __init__(self, frames: Sequence[DataFrame], key: Sequence[str], i: int, j: int):
+        left, right = frames[i], frames[j]
+        self.schema = schema_differences(left, right)
+        self.shared = [c for c in left.columns if c in right.columns and c not in key]
+        nl, nr = F.col(f"_n{i}"), F.col(f"_n{j}")
+        single = (nl == 1) & (nr == 1)
+        self.differs = {}
+        for c in self.shared:
+            l, r = F.col(f"_{i}_{c}"), F.col(f"_{j}_{c}")
+            if c in self.schema["retyped_columns"]:
+                l, r = l.cast("string"), r.cast("string")
+            self.differs[c] = single & ~l.eqNullSafe(r)
+        changed = reduce(lambda a, b: a | b, self.differs.values(), F.lit(False))
+        self.status = (
+            F.when((nl == 0) & (nr == 0), None)
+            .when((nl > 1) | (nr > 1), "duplicate")
+            .when(nr == 0, "left_only")
+            .when(nl == 0, "right_only")
+            .when(changed, "changed")
+            .otherwise("matched")
+        )
+
+
+def _names_where(conditions: Mapping[str, Column]) -> Column:
+    """Array of the names whose condition holds."""
+    names = [F.when(condition, F.lit(name)) for name, condition in conditions.items()]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+
+
 def compare_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: its status and the columns that differ.
 
     Status is matched, changed, left_only, right_only, or duplicate when a side holds the key more
-    than once. Both sides go through one aggregation by key: no join, so duplicates cannot multiply,
-    copies are merged before the shuffle, and NULL keys meet each other.
+    than once.
     """
-    key = list(key)
-    left, right = plain_names(left), plain_names(right)
-    retyped = set(schema_differences(left, right)["retyped_columns"])
-    shared = [c for c in left.columns if c in right.columns and c not in key]
+    frames = [plain_names(left), plain_names(right)]
+    pair = _Pair(frames, key, 0, 1)
+    return _side_by_side(frames, key).select(
+        *key, pair.status.alias("status"), _names_where(pair.differs).alias("changed_columns")
+    )
 
-    def values(df: DataFrame) -> list[Column]:
-        return [(F.col(c).cast("string") if c in retyped else F.col(c)).alias(f"_v_{c}") for c in shared]
 
-    both = left.select(*key, F.lit(True).alias("_is_left"), *values(left)).unionByName(
-        right.select(*key, F.lit(False).alias("_is_left"), *values(right))
-    )
-    is_left = F.col("_is_left")
-    merged = both.groupBy(*key).agg(
-        F.count_if(is_left).alias("_nl"),
-        F.count_if(~is_left).alias("_nr"),
-        *(F.first(F.when(is_left, F.col(f"_v_{c}")), ignorenulls=True).alias(f"_l_{c}") for c in shared),
-        *(F.first(F.when(~is_left, F.col(f"_v_{c}")), ignorenulls=True).alias(f"_r_{c}") for c in shared),
-    )
-    single = (F.col("_nl") == 1) & (F.col("_nr") == 1)
-    names = [F.when(~F.col(f"_l_{c}").eqNullSafe(F.col(f"_r_{c}")), F.lit(c)) for c in shared]
-    differing = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    changed = F.when(single, differing).otherwise(F.array().cast("array<string>"))
-    status = (
-        F.when((F.col("_nl") > 1) | (F.col("_nr") > 1), "duplicate")
-        .when(F.col("_nr") == 0, "left_only")
-        .when(F.col("_nl") == 0, "right_only")
-        .when(F.size("changed_columns") > 0, "changed")
-        .otherwise("matched")
-    )
-    return (
-        merged.withColumn("changed_columns", changed)
-        .withColumn("status", status)
-        .select(*key, "status", "changed_columns")
-    )
+def compare_many(frames: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
+    """One row per pair of named datasets: keys by status, changed columns, schema differences."""
+    names = list(frames)
+    plain = [plain_names(df) for df in frames.values()]
+    flags, counts, reports = [], [], []
+    for i, j in combinations(range(len(plain)), 2):
+        pair = _Pair(plain, key, i, j)
+        tag = f"_{i}_{j}"
+        flags.append(pair.status.alias(f"status{tag}"))
+        counts += [F.count_if(F.col(f"status{tag}") == s).alias(f"{s}{tag}") for s in STATUSES]
+        for c, differs in pair.differs.items():
+            flags.append(differs.alias(f"differs{tag}_{c}"))
+            counts.append(F.count_if(f"differs{tag}_{c}").alias(f"differing{tag}_{c}"))
+        apart = reduce(lambda a, b: a + b, (F.col(f"{s}{tag}") for s in STATUSES if s != "matched"))
+        reports.append(
+            F.struct(
+                F.lit(names[i]).alias("left_name"),
+                F.lit(names[j]).alias("right_name"),
+                ((apart == 0) & F.lit(not any(pair.schema.values()))).alias("identical"),
+                *(F.col(f"{s}{tag}").alias("duplicate_keys" if s == "duplicate" else s) for s in STATUSES),
+                _names_where({c: F.col(f"differing{tag}_{c}") > 0 for c in pair.shared}).alias("changed_columns"),
+                *(
+                    F.array(*map(F.lit, columns)).cast("array<string>").alias(kind)
+                    for kind, columns in pair.schema.items()
+                ),
+            )
+        )
+    return _side_by_side(plain, key).select(*flags).agg(*counts).select(F.inline(F.array(*reports)))
 
 
 def compare(
     left: DataFrame, right: DataFrame, key: Sequence[str], left_name: str = "left", right_name: str = "right"
 ) -> DataFrame:
-    """One-row report: keys by status, changed columns, and schema differences."""
-    columns = schema_differences(left, right)
-    rows = compare_rows(left, right, key)
-    shared = [c for c in plain_names(left).columns if c in plain_names(right).columns and c not in key]
-    hits = [F.count_if(F.array_contains("changed_columns", c)).alias(f"_c_{c}") for c in shared]
-    counts = rows.agg(
-        *(
-            F.count_if(F.col("status") == s).alias(name)
-            for s, name in (
-                ("matched", "matched"),
-                ("changed", "changed"),
-                ("left_only", "left_only"),
-                ("right_only", "right_only"),
-                ("duplicate", "duplicate_keys"),
-            )
-        ),
-        *hits,
-    )
-    changed = [F.when(F.col(f"_c_{c}") > 0, F.lit(c)) for c in shared]
-    changed_columns = F.array_compact(F.array(*changed)) if changed else F.array().cast("array<string>")
-    differing = F.col("changed") + F.col("left_only") + F.col("right_only") + F.col("duplicate_keys")
-    same_schema = not any(columns.values())
-    return counts.select(
-        F.lit(left_name).alias("left_name"),
-        F.lit(right_name).alias("right_name"),
-        ((differing == 0) & F.lit(same_schema)).alias("identical"),
-        "matched",
-        "changed",
-        "left_only",
-        "right_only",
-        "duplicate_keys",
-        changed_columns.alias("changed_columns"),
-        *(
-            F.array(*map(F.lit, names)).cast("array<string>").alias(name)
-            for name, names in columns.items()
-        ),
-    )
-
-
-def compare_many(frames: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
-    """Reports for each pair of named datasets."""
-    reports = [compare(frames[a], frames[b], key, a, b) for a, b in combinations(frames, 2)]
-    return reduce(DataFrame.unionByName, reports)
+    """One-row report on two datasets."""
+    if left_name == right_name:
+        raise ValueError("the two datasets need different names")
+    return compare_many({left_name: left, right_name: right}, key)
 
 
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.sources.store import file_list
@@ -21,34 +21,56 @@ def describe_columns(df: DataFrame) -> list[tuple[int, str, str, bool]]:
 def table_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row per column: type, rows, NULLs, distinct values, smallest and largest value as text.
 
-    All columns are profiled in one pass. `approximate` estimates the distinct values, which keeps
-    the pass free of a shuffle by value.
+    Each column is grouped by value on its own, so a columnar file gives up each column once, equal
+    values are merged before the shuffle, and the figures are taken from the distinct values.
+    `approximate` estimates the distinct values instead, in one pass over all columns and with no
+    shuffle by value.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    columns = describe_columns(df)
-    figures = [F.count(F.lit(1)).alias("rows")]
-    for i, name, _, _ in columns:
-        c = F.col(f"`{name}`")
+    if approximate:
+        return _estimated_profile(df)
+    profiles = []
+    for column in describe_columns(df):
+        value = F.col("_value")
+        values = df.select(F.col(f"`{column[1]}`").alias("_value")).groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+        profiles.append(
+            values.agg(
+                F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
+                F.count(value).alias("distinct"),
+                F.min(value).cast("string").alias("low"),
+                F.max(value).cast("string").alias("high"),
+            ).select(*_profile_row(column, *map(F.col, ("rows", "nulls", "distinct", "low", "high"))))
+        )
+    return reduce(DataFrame.unionByName, profiles)
+
+
+def _profile_row(column: tuple[int, str, str, bool], rows, nulls, distinct, low, high) -> list[Column]:
+    position, name, dtype, nullable = column
+    return [
+        F.lit(position).cast("bigint").alias("position"),
+        F.lit(name).alias("column_name"),
+        F.lit(dtype).alias("data_type"),
+        F.lit(nullable).alias("nullable"),
+        rows.alias("row_count"),
+        nulls.alias("null_count"),
+        distinct.alias("distinct_count"),
+        low.alias("min_value"),
+        high.alias("max_value"),
+    ]
+
+
+def _estimated_profile(df: DataFrame) -> DataFrame:
+    figures, entries = [F.count(F.lit(1)).alias("rows")], []
+    for column in describe_columns(df):
+        i, c = column[0], F.col(f"`{column[1]}`")
         figures += [
             F.count_if(c.isNull()).alias(f"nulls_{i}"),
-            distinct(c).alias(f"distinct_{i}"),
-            F.min(c).cast("string").alias(f"min_{i}"),
-            F.max(c).cast("string").alias(f"max_{i}"),
+            F.approx_count_distinct(c).alias(f"distinct_{i}"),
+            F.min(c).cast("string").alias(f"low_{i}"),
+            F.max(c).cast("string").alias(f"high_{i}"),
         ]
-    entries = [
-        F.struct(
-            F.lit(i).cast("bigint").alias("position"),
-            F.lit(name).alias("column_name"),
-            F.lit(dtype).alias("data_type"),
-            F.lit(nullable).alias("nullable"),
-            F.col("rows").alias("row_count"),
-            F.col(f"nulls_{i}").alias("null_count"),
-            F.col(f"distinct_{i}").alias("distinct_count"),
-            F.col(f"min_{i}").alias("min_value"),
-            F.col(f"max_{i}").alias("max_value"),
-        )
-        for i, name, dtype, nullable in columns
-    ]
+        names = ("rows", f"nulls_{i}", f"distinct_{i}", f"low_{i}", f"high_{i}")
+        entries.append(F.struct(*_profile_row(column, *map(F.col, names))))
     return df.agg(*figures).select(F.inline(F.array(*entries)))
 
 

@@ -11,13 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions import delivery_name
 from tidemill.sources.feeds import CORRUPT, Feed
-from tidemill.sources.ingest import checked_rows, write_checked
+from tidemill.sources.ingest import MAX_FILES, checked_rows, write_checked
 from tidemill.sources.store import Store
 
 POLL = "5 minutes"
 
 
-def feed_stream(store: Store, landing: str, feed: Feed, max_files: int | None = None, archive: str | None = None) -> DataFrame:
+def feed_stream(
+    store: Store, landing: str, feed: Feed, max_files: int | None = MAX_FILES, archive: str | None = None
+) -> DataFrame:
     """Rows of the feed's files as text, with their file name.
 
     The file source tracks the files it has read in the checkpoint. With `archive`, a folder outside
@@ -46,7 +48,7 @@ def stream_ingest(
     checkpoint: str,
     every: str | None = POLL,
     on_batch: Callable[[Store, int], None] | None = None,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     archive: str | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch to the feed's raw table, then call `on_batch` (mart refresh, tests).
