@@ -1,4 +1,4 @@
-from conftest import plan, rows
+from conftest import plan
 from pyspark.sql import functions as F
 
 from tidemill.operators.compare import multiset_diff
@@ -32,8 +32,21 @@ def test_repeated_lookup_keys_are_not_lost(spark):
 
 
 def test_hot_keys_are_few_and_split_by_their_share(spark):
-    assert rows(hot_keys(facts(spark), "k", 8)) == [(7, 3)]
-    assert hot_keys(facts(spark), "k", 100).filter("_splits > 40").count() == 0
+    hot = hot_keys(facts(spark), "k", 8)
+    assert (hot.splits, hot.null) == ([(7, 3)], False)
+    hot = hot_keys(facts(spark), "k", 100)
+    assert hot.null and dict(hot.splits)[7] == 34 and len(hot.splits) < 100
+    even = spark.range(1000)
+    assert hot_keys(even, "id", 8).splits == []
+
+
+def test_hot_keys_are_spread_over_the_shuffle(spark):
+    """No task of the join gets much more than its share, and without hot keys nothing is split."""
+    fact = facts(spark).filter("k is not null")
+    tree = plan(lookup_join(fact, lookup(spark), "k", ["id"], broadcast_bytes=0))
+    assert "_part" in tree
+    even = spark.range(6000).select("id", (F.col("id") % 500).alias("k"))
+    assert "_part" not in plan(lookup_join(even, lookup(spark), "k", ["id"], broadcast_bytes=0))
 
 
 def test_small_lookup_is_broadcast_without_a_shuffle(spark):

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Hash buckets per part in the search for hot keys.
+BUCKETS_PER_PART = 16
+
 # A lookup table is broadcast up to this many bytes, measured.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -30,19 +34,31 @@ def fits(df: DataFrame, limit: int) -> bool:
     return (df.agg(F.sum(size)).first()[0] or 0) <= limit
 
 
-def hot_keys(fact: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys that hold more than 1/parts of the rows, with the number of parts to split each into.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more than 1/parts of the rows and the number of parts for each; whether NULL is one."""
+
+    splits: list[tuple]
+    null: bool
+
 
-    Fewer than `parts` keys can be that frequent, whatever the data.
+def hot_keys(fact: DataFrame, key: str, parts: int) -> HotKeys:
+    """Find the keys that hold more than 1/parts of the rows; fewer than `parts` keys can.
+
+    Rows are first counted by a few hash buckets per part, which shuffles next to nothing. Only
+    the keys of buckets that are too full are then counted one by one; mostly there are none.
     """
-    total = fact.count()
-    return (
-        fact.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .filter(F.col("count") * parts > total)
-        .select(key, F.ceil(F.col("count") * parts / F.lit(max(total, 1))).cast("int").alias("_splits"))
-    )
+    value = F.col(key)
+    bucket = F.when(value.isNotNull(), F.pmod(F.xxhash64(key), F.lit(BUCKETS_PER_PART * parts)))
+    sizes = dict(map(tuple, fact.groupBy(bucket.alias("bucket")).count().collect()))  # one row per bucket
+    total = sum(sizes.values())
+    crowded = [b for b, n in sizes.items() if b is not None and n * parts > total]
+    found = []
+    if crowded:
+        counts = fact.filter(bucket.isin(crowded)).groupBy(key).count()
+        hot = counts.filter(F.col("count") * parts > total).collect()  # fewer than `parts` rows
+        found = [(k, -(-n * parts // total)) for k, n in hot]
+    return HotKeys(found, sizes.get(None, 0) * parts > total)
 
 
 def lookup_join(
@@ -56,16 +72,21 @@ def lookup_join(
     """`fact` left join `lookup` on `key`.
 
     A lookup table within `broadcast_bytes` is broadcast: the fact table is not shuffled. A larger
-    one is joined by shuffle, and each hot key is split: its fact rows are spread by a hash of
-    `spread_by` and its lookup rows repeated once per part. Rows without a key are spread too.
+    one is joined by shuffle, and if there are hot keys, each is split: its fact rows are spread by a
+    hash of `spread_by` and its lookup rows repeated once per part. So are rows without a key.
 
     `keys_from` is where hot keys are looked for, by default `fact`: if that is itself the result of
     a join, name the table its keys come from, and the join need not run to find them.
     """
     if fits(lookup, broadcast_bytes):
         return fact.join(F.broadcast(lookup), key, "left")
-    parts = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    hot = F.broadcast(hot_keys(fact if keys_from is None else keys_from, key, parts))  # fewer than `parts` rows
+    spark = fact.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    hot = hot_keys(fact if keys_from is None else keys_from, key, parts)
+    if not hot.splits and not hot.null:
+        return fact.join(lookup, key, "left")
+    schema = T.StructType([fact.schema[key], T.StructField("_splits", T.IntegerType())])
+    splits = F.broadcast(spark.createDataFrame(hot.splits, schema))  # fewer than `parts` rows
     row_hash = F.xxhash64(*spread_by)
     spread = (
         F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(parts)))
@@ -73,7 +94,7 @@ def lookup_join(
         .otherwise(0)
         .cast("int")
     )
-    left = fact.join(hot, key, "left").withColumn("_part", spread).drop("_splits")
+    left = fact.join(splits, key, "left").withColumn("_part", spread).drop("_splits")
     numbers = F.sequence(F.lit(0), F.coalesce(F.col("_splits") - 1, F.lit(0)))
-    right = lookup.join(hot, key, "left").withColumn("_part", F.explode(numbers)).drop("_splits")
+    right = lookup.join(splits, key, "left").withColumn("_part", F.explode(numbers)).drop("_splits")
     return left.join(right, [key, "_part"], "left").drop("_part")

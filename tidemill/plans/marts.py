@@ -13,10 +13,10 @@ ATTRIBUTES = ("customer_id", "first_name", "last_name", "email")
 
 def orders_per_customer(orders: DataFrame) -> DataFrame:
     """Order figures by customer. Each of them can be merged with those of other orders."""
-    completed = F.when(F.col("status") == "completed", F.col("amount")).otherwise(0)
+    completed = F.when(F.col("status") == "completed", F.col("amount"))
     return orders.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
-        money(F.sum(completed)).alias("total_revenue"),
+        money(F.coalesce(F.sum(completed), F.lit(0))).alias("total_revenue"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )

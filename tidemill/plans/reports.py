@@ -74,8 +74,8 @@ def running_revenue(orders: DataFrame) -> DataFrame:
 
     The window sees one row per calendar day, however many orders there are.
     """
-    completed = F.when(F.col("status") == "completed", F.col("amount")).otherwise(0)
-    daily = orders.groupBy("order_date").agg(money(F.sum(completed)).alias("revenue"))
+    completed = F.when(F.col("status") == "completed", F.col("amount"))
+    daily = orders.groupBy("order_date").agg(money(F.coalesce(F.sum(completed), F.lit(0))).alias("revenue"))
     day = W.orderBy("order_date")
     return daily.select(
         "order_date",
