@@ -1,7 +1,6 @@
-from conftest import rows
-from pyspark.sql import functions as F
-
 import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
 
 from tidemill.operators.compare import version_diff
 from tidemill.operators.incremental import (
@@ -13,7 +12,7 @@ from tidemill.operators.profile import table_profile
 from tidemill.plans.build import MART_TESTS, publish_if_passing
 from tidemill.plans.marts import orders_per_customer
 from tidemill.sources.feeds import ORDERS, read_feed
-from tidemill.sources.store import SchemaMismatch
+from tidemill.sources.store import SchemaMismatch, Store
 
 
 def numbers(spark, start, stop):
@@ -65,8 +64,6 @@ def test_as_of_and_history(spark, store):
 def test_as_of_prunes_batches(spark, store):
     for i in range(3):
         store.append_or_create(numbers(spark, i, i + 1), "t")
-    from conftest import plan
-
     text = plan(store.read("t", 1))
     assert "batch_id" in text.split("PartitionFilters:")[1].splitlines()[0]
 
@@ -100,6 +97,32 @@ def test_failing_candidate_stays_invisible(spark, store):
     assert (store.current_version("m"), store.read("m").count()) == (3, 1)
 
 
+def test_inventory_and_properties(spark, store):
+    assert store.inventory().count() == 0
+    for i in range(2):
+        store.append_or_create(numbers(spark, i, i + 1), "a")
+    store.materialize(numbers(spark, 0, 4), "b")
+    store.stage_version(numbers(spark, 0, 4), "b")
+    assert rows(store.inventory(), "table_name", "kind", "snapshot_count", "current_snapshot") == [
+        ("a", "batch_id", 2, 2),
+        ("b", "version", 1, 1),
+    ]
+    assert dict(map(tuple, store.properties("b").collect())) == {
+        "format": "parquet",
+        "location": store.data_path("b"),
+        "kind": "version",
+        "current_snapshot": "1",
+    }
+
+
+def test_another_file_format(spark, store):
+    orc = Store(spark, store.root, format="orc")
+    for i in range(2):
+        orc.append_or_create(numbers(spark, i * 3, i * 3 + 3), "t")
+    assert orc.read("t").count() == 6
+    assert rows(orc.history("t"), "snapshot_id", "total_records") == [(1, 3), (2, 6)]
+
+
 def test_missing_table(store):
     assert not store.exists("none")
     with pytest.raises(LookupError):

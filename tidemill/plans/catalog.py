@@ -265,13 +265,20 @@ def compare_diff_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 MART_SQL = """
-    SELECT c.customer_id, c.first_name, c.last_name, c.email,
-           count(o.order_id) AS total_orders,
-           sum(CASE WHEN o.status = 'completed' THEN o.amount ELSE 0 END) AS total_revenue,
-           min(o.order_date) AS first_order_date,
-           max(o.order_date) AS last_order_date
-    FROM {customers} c LEFT JOIN {orders} o ON c.customer_id = o.customer_id
-    GROUP BY c.customer_id, c.first_name, c.last_name, c.email
+    WITH figures AS (
+        SELECT customer_id,
+               count(order_id) AS n,
+               sum(amount) FILTER (WHERE status = 'completed') AS revenue,
+               min(order_date) AS first_order_date,
+               max(order_date) AS last_order_date
+        FROM {orders}
+        GROUP BY customer_id
+    )
+    SELECT customer_id, first_name, last_name, email,
+           coalesce(n, 0) AS total_orders,
+           coalesce(revenue, 0) AS total_revenue,
+           first_order_date, last_order_date
+    FROM {customers} LEFT JOIN figures USING (customer_id)
 """
 
 
@@ -461,6 +468,14 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
     return log.select("snapshot_id", "operation", "added_records", "total_records")
 
 
+def store_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables of a store with an appended and a rebuilt one."""
+    store = _weekly(spark, folder)
+    for _ in range(2):
+        store.materialize(stg_products(spark, folder), "products")
+    return store.inventory().select("table_name", "kind", "snapshot_count", "current_snapshot")
+
+
 def data_files(spark: SparkSession, folder: str) -> DataFrame:
     return _weekly(spark, folder).data_files("events")
 
@@ -602,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "build_report": build_report,
     "snapshots": snapshots,
     "history": history,
+    "store_inventory": store_inventory,
     "table_profile": profile_orders,
     "table_inventory": inventory,
     "data_files": data_files,

@@ -50,7 +50,7 @@ def _mart(name: str = "mart", orders: str = "stg") -> str:
 {name}_figures AS (
     SELECT c.customer_id, c.first_name, c.last_name, c.email,
            COUNT(o.order_id) AS total_orders,
-           CAST(SUM(CASE WHEN o.status = 'completed' THEN o.amount ELSE 0 END) AS DECIMAL(18,2)) AS total_revenue,
+           CAST(COALESCE(SUM(o.amount) FILTER (WHERE o.status = 'completed'), 0) AS DECIMAL(18,2)) AS total_revenue,
            MIN(o.order_date) AS first_order_date,
            MAX(o.order_date) AS last_order_date
     FROM customers c LEFT JOIN {orders} o ON c.customer_id = o.customer_id
@@ -306,7 +306,7 @@ FROM mart""",
 WITH {ALL_ORDERS},
 daily AS (
     SELECT order_date,
-           CAST(SUM(CASE WHEN status = 'completed' THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS revenue
+           CAST(COALESCE(SUM(amount) FILTER (WHERE status = 'completed'), 0) AS DECIMAL(18,2)) AS revenue
     FROM stg GROUP BY order_date
 )
 SELECT order_date, revenue,
@@ -433,6 +433,11 @@ batches AS (SELECT batch_id, COUNT(*) AS n FROM weekly GROUP BY batch_id)
 SELECT batch_id AS snapshot_id, 'append' AS operation, n AS added_records,
        CAST(SUM(n) OVER (ORDER BY batch_id) AS BIGINT) AS total_records
 FROM batches""",
+    "store_inventory": f"""
+WITH {DAYS}
+SELECT 'events' AS table_name, 'batch_id' AS kind, COUNT(DISTINCT batch_id) AS snapshot_count, MAX(batch_id) AS current_snapshot
+FROM weekly
+UNION ALL SELECT 'products', 'version', CAST(2 AS BIGINT), CAST(2 AS BIGINT)""",
     "table_profile": f"WITH {ALL_ORDERS} "
     + "\nUNION ALL\n".join(
         f"""

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 BATCH = "batch_id"
 VERSION = "version"
+INVENTORY_SCHEMA = (
+    "table_name string, kind string, snapshot_count bigint, current_snapshot bigint, last_change timestamp"
+)
 LOG_SCHEMA = "kind string, id bigint, operation string, status string, at timestamp, rows bigint"
 
 
@@ -23,17 +26,6 @@ class SchemaMismatch(ValueError):
     """Columns of a batch are not those of its table."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file is there, on any Hadoop file system."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 @dataclass(frozen=True)
 class Store:
     """A folder of tables."""
@@ -207,6 +199,34 @@ class Store:
         )
 
 
+    def inventory(self) -> DataFrame:
+        """All tables with the number of their snapshots, the current one and its time; logs alone are read."""
+        try:
+            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/*/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], INVENTORY_SCHEMA)
+        table = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/log/[^/]+$", 1)
+        visible = log.select("*", table.alias("table_name")).filter(F.col("status").isin("loaded", "published"))
+        return visible.groupBy("table_name", "kind").agg(
+            F.count_distinct("id").alias("snapshot_count"),
+            F.max("id").alias("current_snapshot"),
+            F.max("at").alias("last_change"),
+        )
+
+    def properties(self, table: str) -> DataFrame:
+        """Format, place, kind and current snapshot of a table, as key and value."""
+        batch, _, version = self.state(table)
+        entries = {
+            "format": self.format,
+            "location": self.data_path(table),
+            "kind": BATCH if version is None else VERSION,
+            "current_snapshot": str(batch if version is None else version),
+        }
+        return self.spark.createDataFrame(list(entries.items()), "key string, value string")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet folder, or no rows if nothing was written there yet."""
     try:
