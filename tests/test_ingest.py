@@ -208,6 +208,23 @@ def test_crash_after_writing_loads_nothing_twice(store, landing, monkeypatch):
     assert raw(store, "orders").count() == 11
 
 
+def test_an_unfinished_batch_is_taken_up_whole(store, landing, monkeypatch):
+    head, *lines = ORDERS_CSV.splitlines()
+    for i, line in enumerate(lines[:3]):
+        (landing / f"orders_2024060{i + 1}.csv").write_text(f"{head}\n{line}\n")
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ing, "_load", crash)
+        with pytest.raises(RuntimeError):
+            ing.ingest(store, str(landing))
+    done = ing.ingest(store, str(landing), max_files=1)
+    assert [f["batch_id"] for f in done] == [1, 1, 1]
+    assert raw(store, "orders").count() == 3
+
+
 def test_archive(store, landing, tmp_path):
     (landing / "orders_20240601.csv").write_text(ORDERS_CSV)
     archive = tmp_path / "archive"
@@ -218,6 +235,20 @@ def test_archive(store, landing, tmp_path):
     assert ing.ingest(store, str(landing), archive=str(archive)) == []
 
 
+def test_crash_while_archiving_loses_nothing(store, landing, tmp_path, monkeypatch):
+    (landing / "orders.csv").write_text(ORDERS_CSV)
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ing, "_archive", crash)
+        with pytest.raises(RuntimeError):
+            ing.ingest(store, str(landing), archive=str(tmp_path / "archive"))
+    assert ing.ingest(store, str(landing), archive=str(tmp_path / "archive")) == []
+    assert raw(store, "orders").count() == 10
+
+
 def test_undeclared_feed_is_inferred(store, landing):
     (landing / "shops.csv").write_text("id,name,opened\n1,North,2024-01-01\n2,South,2024-02-01\n")
     ing.ingest(store, str(landing))

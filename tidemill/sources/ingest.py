@@ -69,12 +69,11 @@ def _now() -> datetime:
 def _next_batch(store: Store, landing: str, max_files: int) -> list[dict]:
     """Files of an unfinished batch, or else the next pending files of one feed (`max_files` at most)."""
     started = ledger(store).filter(F.col("status") == "started")
-    unfinished = started.join(
-        started.groupBy("feed").agg(F.min("batch_id").alias("batch_id")), ["feed", "batch_id"], "left_semi"
-    )
-    found = [row.asDict() for row in unfinished.orderBy("feed", "file_name").take(max_files)]
-    if found:
-        return [f for f in found if f["feed"] == found[0]["feed"]]
+    first = started.orderBy("feed", "batch_id").first()
+    if first is not None:
+        # The whole batch, whatever limit holds now: its partition is overwritten as one.
+        batch = started.filter((F.col("feed") == first["feed"]) & (F.col("batch_id") == first["batch_id"]))
+        return [row.asDict() for row in batch.orderBy("file_name", "path").collect()]
     pending = pending_files(store, landing)
     found = [row.asDict() for row in pending.orderBy("feed", "file_name", "path").take(max_files)]
     if not found:
@@ -141,11 +140,8 @@ def _load_inferred(store: Store, name: str, paths: list[str], batch_id: int) ->
     return {r["uri"]: (r["count"], 0) for r in counts.collect()}  # one row per file
 
 
-def _archive(store: Store, files: list[dict], folder: str) -> None:
-    """Move loaded files to the archive folder under a name with the time of loading."""
-    if not files:
-        return
-    hadoop = store.spark._jvm.org.apache.hadoop.fs
+def _name_for_archive(store: Store, files: list[dict]) -> None:
+    """Set `archived_as`: the name of each delivery with the time of loading."""
     named = store.spark.createDataFrame(
         [(f["path"], f["file_name"], f["loaded_at"]) for f in files], "path string, file_name string, at timestamp"
     )
@@ -154,6 +150,12 @@ def _archive(store: Store, files: list[dict], folder: str) -> None:
     new_names = {row["path"]: row["to"] for row in names.collect()}  # one row per file
     for f in files:
         f["archived_as"] = new_names[f["path"]]
+
+
+def _archive(store: Store, files: list[dict], folder: str) -> None:
+    """Move loaded files to the archive folder."""
+    hadoop = store.spark._jvm.org.apache.hadoop.fs
+    for f in files:
         source, target = hadoop.Path(f["path"]), hadoop.Path(f"{folder}/{f['archived_as']}")
         fs = source.getFileSystem(store.spark._jsc.hadoopConfiguration())
         fs.mkdirs(target.getParent())
@@ -188,9 +190,12 @@ def ingest_batch(
     for f in files:
         rows, quarantined = loaded.get(f["uri"], (0, 0))
         f.update(status="loaded" if f["path"] in paths else "rejected", loaded_at=at, rows=rows, quarantined=quarantined)
-    if archive:
-        _archive(store, [f for f in files if f["status"] == "loaded"], archive)
+    done = [f for f in files if f["status"] == "loaded"]
+    if archive and done:
+        _name_for_archive(store, done)
     _note(store, files)
+    if archive:
+        _archive(store, done, archive)  # after the note: a file that is gone must not count as unfinished
     return files
 
 
