@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import mean_money, money
+from tidemill.operators.lookup import lookup_join
 from tidemill.plans.marts import attach_customers, orders_per_customer
 from tidemill.sources.store import Store
 
@@ -99,8 +100,13 @@ def mart_from_figures(store: Store, customers: DataFrame, table: str) -> DataFra
 
 
 def refresh_customers(figures: DataFrame, orders: DataFrame, changed: DataFrame) -> DataFrame:
-    """Figures after orders of the `changed` customers were altered: theirs are computed afresh."""
+    """Figures after orders of the `changed` customers were altered: theirs are computed afresh.
+
+    A touched customer may hold a large share of the orders, so these are found by a lookup join,
+    which splits hot keys.
+    """
     touched = changed.select("customer_id").distinct()
     kept = figures.join(touched, "customer_id", "left_anti")
-    fresh = orders_per_customer(orders.join(touched, "customer_id", "left_semi"))
+    marked = lookup_join(orders, touched.withColumn("_touched", F.lit(True)), "customer_id", ["order_id"])
+    fresh = orders_per_customer(marked.filter("_touched"))
     return kept.unionByName(fresh)

@@ -121,11 +121,10 @@ def _test(spark: SparkSession, models: Mapping[str, DataFrame], spec: Spec, repo
 
 
 def _skipped(spark: SparkSession, model: str, columns: Mapping) -> DataFrame:
-    rows = [
-        (model, column if isinstance(column, str) else ", ".join(column), test if isinstance(test, str) else next(iter(test)), None, "skipped")
-        for column, declared in columns.items()
-        for test in declared
-    ]
+    rows = []
+    for column, declared in columns.items():
+        label = column if isinstance(column, str) else ", ".join(column)
+        rows += [(model, label, t if isinstance(t, str) else next(iter(t)), None, "skipped") for t in declared]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
