@@ -197,27 +197,31 @@ def _tokens(batches):
 
 # -- index lists -------------------------------------------------------------------------------
 
-ENTRY = "t bigint, sid bigint, n int, pos int, frequent boolean"
+# `rare`: how many of the set's shingles are not frequent; all of them, where a frequent one is in the prefix.
+ENTRY = "t bigint, sid bigint, n int, pos int, rare int, frequent boolean"
+ENTRY_NAMES = ["t", "sid", "n", "pos", "rare", "frequent"]
 
 
 def _entries(sets: Iterator[tuple[np.ndarray, int, int]], percent: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    rows: list[list[np.ndarray]] = [[], [], [], [], []]
+    rows: list[list[np.ndarray]] = [[] for _ in ENTRY_NAMES]
     held = 0
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in rows], names=ENTRY_NAMES)
+
     for low, n, sid in sets:
-        p = prefix_length(n, percent)
         often = _is_in(frequent, low)
-        first = np.concatenate((low[~often], low[often]))[:p]
-        for column, values in zip(
-            rows,
-            (first, np.full(len(first), sid), np.full(len(first), n, np.int32), np.arange(len(first), dtype=np.int32), np.arange(len(first)) >= int((~often).sum())),
-        ):
+        first = np.concatenate((low[~often], low[often]))[: prefix_length(n, percent)]
+        rare, place = int((~often).sum()), np.arange(len(first), dtype=np.int32)
+        count = lambda v, kind: np.full(len(first), v, kind)
+        for column, values in zip(rows, (first, count(sid, np.int64), count(n, np.int32), place, count(rare, np.int32), place >= rare)):
             column.append(values)
         held += len(first)
         if held > 200_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in rows], names=["t", "sid", "n", "pos", "frequent"])
-            rows, held = [[], [], [], [], []], 0
+            yield out()
+            rows, held = [[] for _ in ENTRY_NAMES], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in rows], names=["t", "sid", "n", "pos", "frequent"])
+        yield out()
 
 
 def _entries_of_low(batches, percent: int, frequent):
@@ -242,8 +246,8 @@ def _entries_of_sets(batches, percent: int, frequent):
     return _entries(sets(), percent, frequent.value)
 
 
-PAIR = "t bigint, xs bigint, xn int, xp int, ys bigint, yn int, yp int"
-PAIR_NAMES = ["t", "xs", "xn", "xp", "ys", "yn", "yp"]
+PAIR = "t bigint, xs bigint, xn int, xp int, ys bigint, yn int, yp int, xr int, yr int"
+PAIR_NAMES = ["t", "xs", "xn", "xp", "ys", "yn", "yp", "xr", "yr"]
 
 
 def possible(xn, xp, yn, yp, percent: int):
@@ -266,9 +270,10 @@ def _pairs(batches, percent: int):
     pivot = None  # of a long list that goes on
 
     def out(t, x, y):
+        kinds = (pa.int64(), pa.int32(), pa.int32())
+        nothing = pa.array(np.zeros(len(t), np.int32))  # shingles before a rare one may be shared with any set
         return pa.RecordBatch.from_arrays(
-            [pa.array(t, pa.int64())]
-            + [pa.array(v.astype(kind), kind_) for e in (x, y) for v, kind, kind_ in zip(e, (np.int64, np.int32, np.int32), (pa.int64(), pa.int32(), pa.int32()))],
+            [pa.array(t, pa.int64()), *(pa.array(v).cast(kind) for e in (x, y) for v, kind in zip(e, kinds)), nothing, nothing],
             names=PAIR_NAMES,
         )
 
@@ -428,31 +433,42 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def _open_pairs(rows, percent: int):
-    """Pairs of two blocks of a list that neither places, nor components, nor the pivot's answers decide."""
+    """Pairs of two blocks of a list that neither places, nor components, nor the pivot's answers decide.
+
+    The pivot p bounds |x & y| twice over. In p: by |x & p| and |y & p|. Outside p: by |x - p|, less the
+    rare shingles of x, which come before the list's own and so are in x alone (p may hold some of them,
+    but no more than it has rare ones).
+    """
     import pandas as pd
 
+    columns = ("sid", "n", "pos", "up", "out", "rs", "rn")
     same = rows.i.iloc[0] == rows.j.iloc[0]
-    x = rows[rows.side == 0].sort_values(["pos", "sid", "n"], ignore_index=True)
-    y = x if same else rows[rows.side == 1].sort_values(["pos", "sid", "n"], ignore_index=True)
-    ys, yn, yp, yu, yl, yr, yrn = (y[c].to_numpy() for c in ("sid", "n", "pos", "up", "low", "rs", "rn"))
+    order = ["pos", "sid", "n"]
+    x = rows[rows.side == 0].sort_values(order, ignore_index=True)
+    y = x if same else rows[rows.side == 1].sort_values(order, ignore_index=True)
+    y = [y[c].to_numpy().astype(np.int64) for c in columns]
+    x = [x[c].to_numpy().astype(np.int64) for c in columns]
     found = []
-    for at, (sid, n, pos, up, low, rs, rn) in enumerate(zip(x.sid, x.n, x.pos, x.up, x.low, x.rs, x.rn)):
-        # Block skipping: entries lie by place, and beyond this place no partner of x can lie.
-        stop = int(np.searchsorted(yp, n * (100 - percent) // percent + 1, side="right"))
-        start = at + 1 if same else 0
-        if start >= stop:
-            continue
-        part = slice(start, stop)
-        need = overlap_needed(n, yn[part], percent)
-        ok = possible(n, pos, yn[part], yp[part], percent) & ((yr[part] != rs) | (yrn[part] != rn))
-        # Answers of the pivot p: |x & y| <= |p & x| + |y - p|, and the other way round.
-        ok &= (up + yn[part] - yl[part] >= need) & (yu[part] + n - low >= need)
-        hit = np.flatnonzero(ok) + start
-        if len(hit):
-            found.append(pd.DataFrame({"xs": sid, "xn": n, "ys": ys[hit], "yn": yn[hit]}))
+    for first in range(0, len(x[0]), 256):
+        sid, n, pos, up, out, rs, rn = (c[first : first + 256, None] for c in x)
+        # Block skipping: entries lie by place, and beyond this place no partner of these can lie.
+        stop = int(np.searchsorted(y[2], n.max() * (100 - percent) // percent + 1, side="right"))
+        start = first if same else 0
+        ys, yn, yp, yu, yo, yrs, yrn = (c[None, start:stop] for c in y)
+        need = overlap_needed(n, yn, percent)
+        ok = possible(n, pos, yn, yp, percent) & ((yrs != rs) | (yrn != rn)) & (np.minimum(up, yu) + np.minimum(out, yo) >= need)
+        if same:
+            ok = np.triu(ok, 1)
+        a, b = np.nonzero(ok)
+        if len(a):
+            found.append(pd.DataFrame({"xs": sid[a, 0], "xn": n[a, 0], "ys": ys[0, b], "yn": yn[0, b]}))
     if not found:
         return pd.DataFrame({c: pd.Series(dtype="int64") for c in KEYS})
-    return pd.concat(found)
+    found = pd.concat(found)
+    swap = (found["xs"] > found["ys"]).to_numpy()
+    for c, d in (("xs", "ys"), ("xn", "yn")):
+        found[c], found[d] = np.where(swap, found[d], found[c]), np.where(swap, found[c], found[d])
+    return found
 
 
 def _left_open(stars: DataFrame, tested: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -460,14 +476,15 @@ def _left_open(stars: DataFrame, tested: DataFrame, roots: DataFrame, percent: i
     answers = tested.select(*KEYS, "up", "low").union(tested.select("ys", "yn", "xs", "xn", "up", "low"))
     own = (F.col("xs") == F.col("ys")) & (F.col("xn") == F.col("yn"))
     size = F.col("yn").cast("bigint")
+    # without an answer nothing is known: the pivot may hold all of the member, or none of it
+    up = F.when(own, size).otherwise(F.coalesce("up", F.least(size, "xn")))
+    low = F.when(own, size).otherwise(F.coalesce("low", F.lit(0).cast("bigint")))
     members = (
         stars.join(answers, KEYS, "left")
         .join(roots.select("id.*", "root").toDF("ys", "yn", "root"), ["ys", "yn"], "left")
         .select(
-            "t", F.col("ys").alias("sid"), F.col("yn").alias("n"), F.col("yp").alias("pos"),
-            # without an answer nothing is known: the pivot may hold all of the member, or none of it
-            F.when(own, size).otherwise(F.coalesce("up", F.least(size, "xn"))).alias("up"),
-            F.when(own, size).otherwise(F.coalesce("low", F.lit(0).cast("bigint"))).alias("low"),
+            "t", F.col("ys").alias("sid"), F.col("yn").alias("n"), F.col("yp").alias("pos"), up.alias("up"),
+            F.greatest(F.lit(0), size - low - F.greatest(F.lit(0), F.col("yr") - F.col("xr"))).alias("out"),
             F.coalesce("root.sid", "ys").alias("rs"), F.coalesce("root.n", "yn").alias("rn"),
         )
         .dropDuplicates(["t", "sid", "n"])
@@ -526,16 +543,14 @@ def jaccard_links(docs: DataFrame, k: int = 3, percent: int = 90) -> tuple[DataF
 
 def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     rare = entries.where("NOT frequent").select("t", "sid", "n", "pos")
-    often = entries.where("frequent").select("t", "sid", "n", "pos").distinct()
+    often = entries.where("frequent").select("t", "sid", "n", "pos", "rare").distinct()
     # Rare shingles: one task walks whole lists. Frequent ones: each member meets the pivot of its list,
     # the set with the least place, in a join with a table of at most 2 * FREQUENT_ROWS rows.
     listed = rare.repartition("t").sortWithinPartitions("t", "pos", "n", "sid").mapInArrow(partial(_pairs, percent=percent), PAIR)
-    pivots = often.groupBy("t").agg(F.min(F.struct("pos", "n", "sid")).alias("p")).select(
-        "t", F.col("p.sid").alias("xs"), F.col("p.n").alias("xn"), F.col("p.pos").alias("xp")
+    pivots = often.groupBy("t").agg(F.min(F.struct("pos", "n", "sid", "rare")).alias("p")).select(
+        "t", F.col("p.sid").alias("xs"), F.col("p.n").alias("xn"), F.col("p.pos").alias("xp"), F.col("p.rare").alias("xr")
     )
-    starred = often.select("t", F.col("sid").alias("ys"), F.col("n").alias("yn"), F.col("pos").alias("yp")).join(
-        F.broadcast(pivots), "t"
-    ).select(*PAIR_NAMES)
+    starred = often.toDF("t", "ys", "yn", "yp", "yr").join(F.broadcast(pivots), "t").select(*PAIR_NAMES)
     found = written(listed.union(starred), "jaccard-found")
     x, y = F.struct("xs", "xn"), F.struct("ys", "yn")
     pick = lambda a, b: F.when(x < y, F.col(a)).otherwise(F.col(b))
@@ -549,7 +564,7 @@ def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, perc
     if stars.isEmpty():
         return links
     # A pivot is a member of its list, too.
-    own = stars.select("t", "xs", "xn", "xp", F.col("xs").alias("ys"), F.col("xn").alias("yn"), F.col("xp").alias("yp")).distinct()
+    own = stars.select("t", "xs", "xn", "xp", "xs", "xn", "xp", "xr", "xr").distinct().toDF(*PAIR_NAMES)
     roots = components(links, "jaccard-first")
     open_ = written(_left_open(stars.union(own), tested, roots, percent), "jaccard-open")
     if open_.isEmpty():
