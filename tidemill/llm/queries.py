@@ -4,17 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.llm import bpe, toxicity
 from tidemill.llm.common import documents
 from tidemill.llm.jaccard_join import jaccard_components
 
+# The vocabulary of the BPE queries; any file of its kind will do.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("offending").cast("bigint").alias("n_offending"),
+    )
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(documents(spark, folder), VOCABULARY)
+
 
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
+    "op6_bpe": op6_bpe,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
