@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, toxicity
+from tidemill.llm import bpe, mixture, secret_scan, toxicity
 from tidemill.llm.common import documents
 from tidemill.llm.jaccard_join import jaccard_components
 
@@ -29,18 +29,31 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source")
+    return mixture.mix(docs).drop("copies")
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), VOCABULARY)
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(documents(spark, folder))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op5_mixture": op5_mixture,
     "op6_bpe": op6_bpe,
+    "op7_secrets": op7_secrets,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixture": mixture.ORACLE,
+}
