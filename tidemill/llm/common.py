@@ -16,7 +16,7 @@ from tidemill.session import scratch_dir
 # Fixed value: the white space of the contracts; everything else is part of a word.
 SPACE = r"[\x20\x09-\x0D]+"
 # A task works on so many bytes of text at a time, so its memory does not grow with the batch.
-PIECE = 4 << 20
+PIECE = 1 << 20
 # Bits of a membership filter: fixed, so what is sent to the executors never grows with the data.
 BLOOM_BITS = 1 << 23
 

@@ -41,7 +41,7 @@ SHORT = 32
 # Members of a long list that are compared at once.
 BLOCK = 2000
 BUCKETS = 64
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 
 class _WordHashes(dict):

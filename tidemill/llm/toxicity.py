@@ -37,7 +37,7 @@ BEGINNINGS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 OFFENDING = 0.5
 ROUNDS = 400
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
