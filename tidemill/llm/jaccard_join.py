@@ -6,8 +6,7 @@ places of their first common shingle bound their overlap, so entries of a list a
 and whole blocks of a list are skipped once the places add up to too much. Equal sets are one entry.
 In long lists no set is compared with all others: a list's first set is compared with each member,
 and from its answers follow those of the members: members that it joins need no test among
-themselves, and for two others |y & z| <= |x & z| + |y - x| rules out most pairs. What is left is
-tested in blocks. Candidates must pass an upper bound from a 64-bucket histogram before whole sets
+themselves, and the overlap of two others follows from what each has lost and gained against it. Candidates must pass an upper bound from a 64-bucket histogram before whole sets
 are compared.
 
 Defined results: a NULL text, a text without words and a document without id link with nothing (a
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import Membership, holds, pieces, written
+from tidemill.llm.common import Membership, holds, pieces, without, written
 
 # ASCII letters to lower case; odd multipliers of the hash.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -348,12 +347,19 @@ def _bounded(batches, percent: int):
 
 
 def _compared(batches):
-    """Overlap of the two sets of each row."""
+    """Overlap of the two sets of each row, and what either has alone."""
     for batch in batches:
-        got = []
+        got, only_x, only_y = [], [], []
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            got.append(len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEYS), pa.array(got, pa.int64())], names=[*KEYS, "overlap"])
+            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            x_in, y_in = _is_in(y, x), _is_in(x, y)
+            got.append(int(x_in.sum()))
+            only_x.append(x[~x_in].tobytes())
+            only_y.append(y[~y_in].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in KEYS), pa.array(got, pa.int64()), pa.array(only_x, pa.binary()), pa.array(only_y, pa.binary())],
+            names=[*KEYS, "overlap", "only_x", "only_y"],
+        )
 
 
 def _side(df: DataFrame, side: str, **columns: str) -> DataFrame:
@@ -362,7 +368,10 @@ def _side(df: DataFrame, side: str, **columns: str) -> DataFrame:
 
 
 def _tested(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int, label: str) -> DataFrame:
-    """`xs, xn, ys, yn, up, low, linked` of distinct pairs: bounds of the overlap, equal where sets were compared."""
+    """`xs, xn, ys, yn, up, only_x, only_y, linked` of distinct pairs.
+
+    `up` bounds the overlap; where the sets were compared, it is the overlap and `only_x` and `only_y` are known.
+    """
     sized = (F.col("xn").cast("bigint"), F.col("yn").cast("bigint"))
     bounded = written(
         pairs.join(_side(classes, "x", xh="hist", xd="doc_id"), ["xs", "xn"])
@@ -380,12 +389,12 @@ def _tested(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, perce
         open_.join(_side(sets, "y", y="s"), ["ys", "yn"])
         .join(_side(sets, "x", x="s"), ["xs", "xn"])
         .select(*KEYS, "x", "y")
-        .mapInArrow(_compared, f"{KEY}, overlap bigint")
+        .mapInArrow(_compared, f"{KEY}, overlap bigint, only_x binary, only_y binary")
     )
     exact = linked(*sized, F.col("overlap"), percent)
     return written(
-        compared.select(*KEYS, F.col("overlap").alias("up"), F.col("overlap").alias("low"), exact.alias("linked")).union(
-            bounded.where(~hope).select(*KEYS, "most", F.lit(0).cast("bigint"), F.lit(False))
+        compared.select(*KEYS, F.col("overlap").alias("up"), "only_x", "only_y", exact.alias("linked")).union(
+            bounded.where(~hope).select(*KEYS, "most", *[F.lit(None).cast("binary")] * 2, F.lit(False))
         ),
         f"{label}-tested",
     )
@@ -429,77 +438,95 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return roots
 
 
-# -- long lists: what the pivot's answers leave open -------------------------------------------
+# -- long lists: what follows from the pivot's answers -----------------------------------------
 
+FOUND = f"{KEY}, linked boolean"
 
-def _open_pairs(rows, percent: int):
-    """Pairs of two blocks of a list that neither places, nor components, nor the pivot's answers decide.
 
-    The pivot p bounds |x & y| twice over. In p: by |x & p| and |y & p|. Outside p: by |x - p|, less the
-    rare shingles of x, which come before the list's own and so are in x alone (p may hold some of them,
-    but no more than it has rare ones).
+def _derived(rows, percent: int):
+    """Links between two blocks of members of one pivot, from what the pivot has answered for each.
+
+    Where both were compared with the pivot p, |x & y| = |x & p| + |y & p| - |p| + |(p - x) & (p - y)| +
+    |(x - p) & (y - p)|: only the differences are looked at, and only where bounds leave the pair open. Rare shingles of x
+    come before those of the lists they share and so are in x alone. Else the histograms decide, and a pair that
+    they leave open is reported with `linked` NULL.
     """
     import pandas as pd
 
-    columns = ("sid", "n", "pos", "up", "out", "rs", "rn")
-    same = rows.i.iloc[0] == rows.j.iloc[0]
-    order = ["pos", "sid", "n"]
-    x = rows[rows.side == 0].sort_values(order, ignore_index=True)
-    y = x if same else rows[rows.side == 1].sort_values(order, ignore_index=True)
-    y = [y[c].to_numpy().astype(np.int64) for c in columns]
-    x = [x[c].to_numpy().astype(np.int64) for c in columns]
+    columns = ("sid", "n", "up", "out", "rs", "rn", "pn")
+    same = rows.kind.iloc[0] == 1 and rows.i.iloc[0] == rows.j.iloc[0]
+    sides = [rows[rows.side == side].sort_values(["sid", "n"], ignore_index=True) for side in (0, 1)]
+    if same:
+        sides[1] = sides[0]
+    x, y = ([side[c].to_numpy().astype(np.int64) for c in columns] for side in sides)
+    apart = [[None if d is None else (frozenset(np.frombuffer(d, np.int64).tolist()), frozenset(np.frombuffer(e, np.int64).tolist())) for d, e in zip(s["gone"], s["new"])] for s in sides]
+    hists = [np.frombuffer(b"".join(s["hist"]), np.uint16).reshape(-1, BUCKETS) for s in sides]
     found = []
     for first in range(0, len(x[0]), 256):
-        sid, n, pos, up, out, rs, rn = (c[first : first + 256, None] for c in x)
-        # Block skipping: entries lie by place, and beyond this place no partner of these can lie.
-        stop = int(np.searchsorted(y[2], n.max() * (100 - percent) // percent + 1, side="right"))
-        start = first if same else 0
-        ys, yn, yp, yu, yo, yrs, yrn = (c[None, start:stop] for c in y)
+        sid, n, up, out, rs, rn, pn = (c[first : first + 256, None] for c in x)
+        ys, yn, yu, yo, yrs, yrn, _ = (c[None, :] for c in y)
         need = overlap_needed(n, yn, percent)
-        ok = possible(n, pos, yn, yp, percent) & ((yrs != rs) | (yrn != rn)) & (np.minimum(up, yu) + np.minimum(out, yo) >= need)
+        ok = (np.minimum(n, yn) * 100 >= np.maximum(n, yn) * percent) & ((yrs != rs) | (yrn != rn))
+        ok &= np.minimum(up, yu) + np.minimum(out, yo) >= need
         if same:
-            ok = np.triu(ok, 1)
-        a, b = np.nonzero(ok)
-        if len(a):
-            found.append(pd.DataFrame({"xs": sid[a, 0], "xn": n[a, 0], "ys": ys[0, b], "yn": yn[0, b]}))
-    if not found:
-        return pd.DataFrame({c: pd.Series(dtype="int64") for c in KEYS})
-    found = pd.concat(found)
-    swap = (found["xs"] > found["ys"]).to_numpy()
-    for c, d in (("xs", "ys"), ("xn", "yn")):
-        found[c], found[d] = np.where(swap, found[d], found[c]), np.where(swap, found[c], found[d])
-    return found
-
-
-def _left_open(stars: DataFrame, tested: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of long lists that are still to be tested."""
-    answers = tested.select(*KEYS, "up", "low").union(tested.select("ys", "yn", "xs", "xn", "up", "low"))
+            ok &= np.arange(first, first + len(n))[:, None] < np.arange(len(y[0]))[None, :]
+        for i, j in zip(*np.nonzero(ok)):
+            a, b = apart[0][first + i], apart[1][j]
+            if a is not None and b is not None:
+                overlap = up[i, 0] + yu[0, j] - pn[i, 0] + len(a[0] & b[0]) + len(a[1] & b[1])
+                if overlap < need[i, j]:
+                    continue
+                linked_ = True
+            else:
+                h, g = hists[0][first + i], hists[1][j]
+                if max(h.max(), g.max()) < 65535 and int(np.minimum(h, g).sum(dtype=np.int64)) < need[i, j]:
+                    continue
+                linked_ = None
+            found.append((sid[i, 0], n[i, 0], ys[0, j], yn[0, j], linked_))
+    return pd.DataFrame(found, columns=[*KEYS, "linked"]).astype({"linked": object})
+
+
+def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """`xs, xn, ys, yn, linked` of members of long lists; `linked` is NULL where the sets are still to be compared.
+
+    Only pairs of different components matter: members that hang together with their pivot meet the others, not one
+    another, and both come in blocks of bounded size.
+    """
+    back = tested.select("ys", "yn", "xs", "xn", "up", F.col("only_y").alias("gone"), F.col("only_x").alias("new"))
+    answers = tested.select(*KEYS, "up", F.col("only_x").alias("gone"), F.col("only_y").alias("new")).union(back)
     own = (F.col("xs") == F.col("ys")) & (F.col("xn") == F.col("yn"))
     size = F.col("yn").cast("bigint")
-    # without an answer nothing is known: the pivot may hold all of the member, or none of it
+    empty = F.lit(b"")
+    # one row per pivot and member; rare shingles count only if all their common lists are of frequent ones
+    members = stars.groupBy(*KEYS).agg(F.min(F.greatest(F.lit(0), F.col("yr") - F.col("xr"))).alias("rare")).join(answers, KEYS, "left")
     up = F.when(own, size).otherwise(F.coalesce("up", F.least(size, "xn")))
-    low = F.when(own, size).otherwise(F.coalesce("low", F.lit(0).cast("bigint")))
-    members = (
-        stars.join(answers, KEYS, "left")
-        .join(roots.select("id.*", "root").toDF("ys", "yn", "root"), ["ys", "yn"], "left")
-        .select(
-            "t", F.col("ys").alias("sid"), F.col("yn").alias("n"), F.col("yp").alias("pos"), up.alias("up"),
-            F.greatest(F.lit(0), size - low - F.greatest(F.lit(0), F.col("yr") - F.col("xr"))).alias("out"),
-            F.coalesce("root.sid", "ys").alias("rs"), F.coalesce("root.n", "yn").alias("rn"),
-        )
-        .dropDuplicates(["t", "sid", "n"])
+    gone, new = (F.when(own, empty).otherwise(F.col(c)) for c in ("gone", "new"))
+    root = lambda c: roots.select("id.*", "root").toDF(f"{c}s", f"{c}n", f"{c}root")
+    members = members.join(root("y"), ["ys", "yn"], "left").join(root("x"), ["xs", "xn"], "left").join(
+        _side(classes, "y", hist="hist"), ["ys", "yn"]
+    ).select(
+        F.col("xs").alias("ps"), F.col("xn").alias("pn"), F.col("ys").alias("sid"), F.col("yn").alias("n"), up.alias("up"), gone.alias("gone"), new.alias("new"),
+        # outside the pivot; without an answer all of the member may be there
+        F.greatest(F.lit(0), F.when(gone.isNull(), size).otherwise(size - up) - F.col("rare")).alias("out"),
+        F.coalesce("yroot.sid", "ys").alias("rs"), F.coalesce("yroot.n", "yn").alias("rn"), "hist",
+        (F.coalesce(F.col("yroot.sid"), F.col("ys")) == F.coalesce(F.col("xroot.sid"), F.col("xs"))).alias("inside"),
     )
     members = written(members, "jaccard-members")
-    root = F.struct("rs", "rn")
-    lists = members.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.min(root).alias("r0"), F.max(root).alias("r1")).where("r0 != r1")
-    sides = (
-        members.join(lists.select("t", F.ceil(F.col("c") / BLOCK).cast("int").alias("m")), "t")
-        .withColumn("b", F.pmod(F.xxhash64("sid", "n"), F.col("m")).cast("int"))
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-        .withColumns({"i": F.least("b", "k"), "j": F.greatest("b", "k"), "side": (F.col("b") > F.col("k")).cast("int")})
-        .drop("m", "b", "k")
+    blocks = lambda inside: F.ceil(F.sum((F.col("inside") == inside).cast("int")) / BLOCK).cast("int")
+    counts = members.groupBy("ps", "pn").agg(blocks(True).alias("in_"), blocks(False).alias("out_")).where("out_ > 0")
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    block = F.pmod(F.xxhash64("sid", "n"), F.when(F.col("inside"), F.col("in_")).otherwise(F.col("out_"))).cast("int")
+    dealt = members.join(counts, ["ps", "pn"]).withColumn("b", block)
+    place = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+    b = F.col("b")
+    meets = F.when(F.col("inside"), F.transform(upto("out_"), lambda k: place(0, b, k, F.lit(0)))).otherwise(
+        F.concat(
+            F.when(F.col("in_") > 0, F.transform(upto("in_"), lambda k: place(0, k, b, F.lit(1)))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>")),
+            F.transform(upto("out_"), lambda k: place(1, F.least(b, k), F.greatest(b, k), (b > k).cast("int"))),
+        )
     )
-    return sides.groupBy("t", "i", "j").applyInPandas(lambda rows: _open_pairs(rows, percent), KEY).distinct()
+    dealt = dealt.withColumn("place", F.explode(meets)).select("ps", "pn", "place.*", "sid", "n", "up", "out", "gone", "new", "rs", "rn", "hist")
+    return dealt.groupBy("ps", "pn", "kind", "i", "j").applyInPandas(lambda rows: _derived(rows, percent), FOUND).distinct()
 
 
 def jaccard_links(docs: DataFrame, k: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -566,7 +593,9 @@ def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, perc
     # A pivot is a member of its list, too.
     own = stars.select("t", "xs", "xn", "xp", "xs", "xn", "xp", "xr", "xr").distinct().toDF(*PAIR_NAMES)
     roots = components(links, "jaccard-first")
-    open_ = written(_left_open(stars.union(own), tested, roots, percent), "jaccard-open")
+    derived = written(_from_pivots(stars.union(own), tested, roots, classes, percent), "jaccard-derived")
+    links = links.union(_edges(derived))
+    open_ = derived.where("linked IS NULL").select(*KEYS)
     if open_.isEmpty():
         return links
     return links.union(_edges(_tested(docs, open_, classes, k, percent, "jaccard-again")))
@@ -584,3 +613,13 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, that of the least id, with all its columns.
+
+    Documents without words or id stay. Repeated rows with one id and text stay once.
+    """
+    named = written(jaccard_components(docs, k, percent), "jaccard-named")
+    repeated = named.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1")
+    return without(docs, named.where("component_id != doc_id"), repeated)
