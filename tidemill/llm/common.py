@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,3 +83,25 @@ class Membership:
 def holds(bits: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """Which positions are set."""
     return (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def without(docs: DataFrame, leaving: DataFrame, doubtful: DataFrame | None = None) -> DataFrame:
+    """The documents whose id is not in `leaving`, with all their columns; rows without an id stay.
+
+    Of rows with an id in `doubtful`, those of one text stay once. A filter of fixed size lets most documents pass where
+    they lie; only those that it cannot rule out are joined with the ids.
+    """
+    asked = leaving.select("doc_id") if doubtful is None else leaving.select("doc_id").union(doubtful.select("doc_id"))
+    bits = Membership.of(asked, "doc_id").bits
+
+    @F.pandas_udf("boolean")
+    def maybe(bit: pd.Series) -> pd.Series:
+        return pd.Series(holds(bits.value, bit.to_numpy()))
+
+    flag = F.col("doc_id").isNotNull() & maybe(F.coalesce(Membership.bit("doc_id"), F.lit(0)))
+    ids = leaving.select(F.col("doc_id").alias("leaving_id")).distinct()
+    some = docs.where(flag)
+    some = some.join(ids, some["doc_id"] == ids["leaving_id"], "left_anti")
+    if doubtful is not None:
+        some = some.dropDuplicates(["doc_id", "text"])
+    return docs.where(~flag).unionByName(some)

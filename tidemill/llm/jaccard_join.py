@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -451,8 +452,6 @@ def _derived(rows, percent: int):
     come before those of the lists they share and so are in x alone. Else the histograms decide, and a pair that
     they leave open is reported with `linked` NULL.
     """
-    import pandas as pd
-
     columns = ("sid", "n", "up", "out", "rs", "rn", "pn")
     same = rows.kind.iloc[0] == 1 and rows.i.iloc[0] == rows.j.iloc[0]
     sides = [rows[rows.side == side].sort_values(["sid", "n"], ignore_index=True) for side in (0, 1)]

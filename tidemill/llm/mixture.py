@@ -84,8 +84,8 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", F.col("prefix").alias("threshold"), (F.col("left") * 2 >= F.col("boundary")).alias("with_boundary"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """`doc_id, size, source_size, target, copies, taken` for every row of documents `doc_id, text, source`."""
+def _planned(docs: DataFrame, weights: Sequence[int], share: float, most: float) -> tuple[DataFrame, DataFrame]:
+    """Sizes and hashes of the documents, and a row for each source: its target and what is taken how often."""
     if not 0 < share <= most <= 2:
         raise ValueError("a document can be taken twice at most")
     sized = written(
@@ -97,15 +97,37 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     limits = thresholds(sized, goals.select("source", budget.alias("budget")))
     plan = goals.withColumn("whole", whole).join(
         limits.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left"
-    ).select(F.col("source").alias("s"), "source_size", "target", "whole", "threshold", "with_boundary")
-    below = (F.col("hash") < F.col("threshold")) | ((F.col("hash") == F.col("threshold")) & F.col("with_boundary"))
+    ).select(F.col("source").alias("mix_source"), "source_size", "target", "whole", "threshold", "with_boundary")
+    return sized, written(plan, "mixture-plan")
+
+
+def _copies(hash_: Column) -> Column:
+    below = (hash_ < F.col("threshold")) | ((hash_ == F.col("threshold")) & F.col("with_boundary"))
     # no threshold: the budget is all that the source holds
-    copies = F.col("whole") + F.coalesce(below, F.lit(True)).cast("int")
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+    return F.col("whole") + F.coalesce(below, F.lit(True)).cast("int")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """`doc_id, size, source_size, target, copies, taken` for every row of documents `doc_id, text, source`."""
+    sized, plan = _planned(docs, weights, share, most)
+    copies = _copies(F.col("hash"))
+    return sized.join(plan, F.col("source").eqNullSafe(F.col("mix_source"))).select(
         "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 
 
+def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The documents that the mix takes, each as often as it does, with all their columns."""
+    _, plan = _planned(docs, weights, share, most)
+    plan = plan.select("mix_source", F.struct("whole", "threshold", "with_boundary").alias("mix_plan"))
+    rows = docs.withColumn("mix_hash", document_hash(F.col("doc_id"), F.col("text"))).join(plan, docs["source"].eqNullSafe(plan["mix_source"]))
+    below = (F.col("mix_hash") < F.col("mix_plan.threshold")) | (
+        (F.col("mix_hash") == F.col("mix_plan.threshold")) & F.col("mix_plan.with_boundary")
+    )
+    times = F.col("mix_plan.whole") + F.coalesce(below, F.lit(True)).cast("int")
+    return rows.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*(docs[c] for c in docs.columns))
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,

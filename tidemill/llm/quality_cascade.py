@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from functools import cached_property, partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -208,8 +209,6 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def keep(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, with all their columns; here every rule after the first rejection is spared."""
-    import pandas as pd
-
     order = ordered(estimate(sample(docs), rules))
 
     @F.pandas_udf("boolean")

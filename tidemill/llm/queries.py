@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +12,6 @@ from tidemill.llm import bpe, chat_format, fingerprints, licenses, mixture, qual
 from tidemill.llm.common import documents
 from tidemill.llm.jaccard_join import jaccard_components
 
-# The vocabulary of the BPE queries; any file of its kind will do.
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-
 
 def op1_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Labels of URLs: the verdicts of the listed rules, and for other pages the quality label of their id."""
@@ -57,7 +54,7 @@ def op5_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.digests(documents(spark, folder), VOCABULARY)
+    return bpe.digests(documents(spark, folder), corpus_pipeline.VOCABULARY)
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

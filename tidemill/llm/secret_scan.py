@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import written
+from tidemill.llm.common import without, written
 
 # The patterns of the named kinds in the order in which they are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -207,3 +207,12 @@ def digests(docs: DataFrame) -> DataFrame:
     return scan(docs).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(as_text("base").cast("binary"), 256).alias("base_sha256"), as_text("spans").alias("spans")
     )
+
+
+def keep_clean(docs: DataFrame) -> DataFrame:
+    """The documents without any span, with all their columns. An id with a span in one row goes in all its rows."""
+    found = written(scan(docs).where(F.size("spans") > 0).select("doc_id"), "secrets-ids")
+    # a row without an id is judged where it lies, by the named kinds
+    text = F.coalesce(F.col("text"), F.lit(""))
+    bare = docs.where(F.col("doc_id").isNotNull() | ~(text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX)))
+    return without(bare, found)

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -200,8 +201,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents whose score is below THRESHOLD, with all their columns."""
-    import pandas as pd
-
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
