@@ -6,8 +6,8 @@ places of their first common shingle bound their overlap, so entries of a list a
 and whole blocks of a list are skipped once the places add up to too much. Equal sets are one entry.
 In long lists no set is compared with all others: a list's first set is compared with each member,
 and from its answers follow those of the members: members that it joins need no test among
-themselves, and the overlap of two others follows from what each has lost and gained against it. Candidates must pass an upper bound from a 64-bucket histogram before whole sets
-are compared.
+themselves, and the overlap of two others follows from what each has lost and gained against it.
+Candidates must pass an upper bound from a 64-bucket histogram before whole sets are compared.
 
 Defined results: a NULL text, a text without words and a document without id link with nothing (a
 component_id is the own id then, NULL without one). Fewer words than `k` form one shingle. Repeated
@@ -39,9 +39,13 @@ FREQUENT_ROWS = 1 << 17
 # Lists up to this length are compared pair by pair, longer ones by a pivot first.
 SHORT = 32
 # Members of a long list that are compared at once.
-BLOCK = 2000
+BLOCK = 1000
+# Differences to a pivot up to this size are kept; members with larger ones are compared as whole sets.
+DIFFERENCES = 512
 BUCKETS = 64
 WORD_CACHE = 100_000
+# Sets that a task remembers to have described; it describes a forgotten one again.
+SEEN = 100_000
 
 
 class _WordHashes(dict):
@@ -126,7 +130,7 @@ def _describe(batches: Iterator[pa.RecordBatch], k: int, percent: int, window: i
                 low.append(None)
                 hist.append(None)
                 continue
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN:
                 seen.clear()
             seen.add(key)
             low.append(s[: window * prefix_length(len(s), percent) // 4 + 2])
@@ -344,22 +348,24 @@ def _bounded(batches, percent: int):
         xn, yn = (batch.column(c).to_numpy().astype(np.int64) for c in ("xn", "yn"))
         full = (xs == 65535).any(1) | (ys == 65535).any(1)  # a bucket that may have run over bounds nothing
         most = np.where(full, np.minimum(xn, yn), most)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEYS), pa.array(most)], names=[*KEYS, "most"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEYS), batch.column("star"), pa.array(most)], names=[*KEYS, "star", "most"])
 
 
 def _compared(batches):
-    """Overlap of the two sets of each row, and what either has alone."""
+    """Overlap of the two sets of each row, and for pairs with a pivot what either has alone, if that is little."""
     for batch in batches:
         got, only_x, only_y = [], [], []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-            x_in, y_in = _is_in(y, x), _is_in(x, y)
-            got.append(int(x_in.sum()))
-            only_x.append(x[~x_in].tobytes())
-            only_y.append(y[~y_in].tobytes())
+        for i in range(batch.num_rows):
+            x, y = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("x", "y"))
+            x_in = _is_in(y, x)
+            overlap = int(x_in.sum())
+            few = batch.column("star")[i].as_py() and max(len(x), len(y)) - overlap <= DIFFERENCES
+            got.append(overlap)
+            only_x.append(x[~x_in].tobytes() if few else None)
+            only_y.append(y[~_is_in(x, y)].tobytes() if few else None)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in KEYS), pa.array(got, pa.int64()), pa.array(only_x, pa.binary()), pa.array(only_y, pa.binary())],
-            names=[*KEYS, "overlap", "only_x", "only_y"],
+            [*(batch.column(c) for c in (*KEYS, "star")), pa.array(got, pa.int64()), pa.array(only_x, pa.binary()), pa.array(only_y, pa.binary())],
+            names=[*KEYS, "star", "overlap", "only_x", "only_y"],
         )
 
 
@@ -369,16 +375,17 @@ def _side(df: DataFrame, side: str, **columns: str) -> DataFrame:
 
 
 def _tested(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int, label: str) -> DataFrame:
-    """`xs, xn, ys, yn, up, only_x, only_y, linked` of distinct pairs.
+    """`xs, xn, ys, yn, star, up, known, only_x, only_y, linked` of distinct pairs `xs, xn, ys, yn, star`.
 
-    `up` bounds the overlap; where the sets were compared, it is the overlap and `only_x` and `only_y` are known.
+    `up` bounds the overlap. Where the sets were compared (`known`), it is the overlap, and `only_x` and `only_y` are
+    there if one set is a pivot (`star`) and the differences are few.
     """
     sized = (F.col("xn").cast("bigint"), F.col("yn").cast("bigint"))
     bounded = written(
         pairs.join(_side(classes, "x", xh="hist", xd="doc_id"), ["xs", "xn"])
         .join(_side(classes, "y", yh="hist", yd="doc_id"), ["ys", "yn"])
-        .select(*KEYS, "xh", "yh")
-        .mapInArrow(partial(_bounded, percent=percent), f"{KEY}, most bigint"),
+        .select(*KEYS, "star", "xh", "yh")
+        .mapInArrow(partial(_bounded, percent=percent), f"{KEY}, star boolean, most bigint"),
         f"{label}-bounded",
     )
     hope = linked(*sized, F.col("most"), percent)
@@ -389,13 +396,13 @@ def _tested(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, perce
     compared = (
         open_.join(_side(sets, "y", y="s"), ["ys", "yn"])
         .join(_side(sets, "x", x="s"), ["xs", "xn"])
-        .select(*KEYS, "x", "y")
-        .mapInArrow(_compared, f"{KEY}, overlap bigint, only_x binary, only_y binary")
+        .select(*KEYS, "star", "x", "y")
+        .mapInArrow(_compared, f"{KEY}, star boolean, overlap bigint, only_x binary, only_y binary")
     )
     exact = linked(*sized, F.col("overlap"), percent)
     return written(
-        compared.select(*KEYS, F.col("overlap").alias("up"), "only_x", "only_y", exact.alias("linked")).union(
-            bounded.where(~hope).select(*KEYS, "most", *[F.lit(None).cast("binary")] * 2, F.lit(False))
+        compared.select(*KEYS, "star", F.col("overlap").alias("up"), F.lit(True).alias("known"), "only_x", "only_y", exact.alias("linked")).union(
+            bounded.where(~hope).select(*KEYS, "star", "most", F.lit(False), *[F.lit(None).cast("binary")] * 2, F.lit(False))
         ),
         f"{label}-tested",
     )
@@ -458,7 +465,8 @@ def _derived(rows, percent: int):
     if same:
         sides[1] = sides[0]
     x, y = ([side[c].to_numpy().astype(np.int64) for c in columns] for side in sides)
-    apart = [[None if d is None else (frozenset(np.frombuffer(d, np.int64).tolist()), frozenset(np.frombuffer(e, np.int64).tolist())) for d, e in zip(s["gone"], s["new"])] for s in sides]
+    hashes = lambda b: frozenset(np.frombuffer(b, np.int64).tolist())
+    apart = [[None if d is None else (hashes(d), hashes(e)) for d, e in zip(s["gone"], s["new"])] for s in sides]
     hists = [np.frombuffer(b"".join(s["hist"]), np.uint16).reshape(-1, BUCKETS) for s in sides]
     found = []
     for first in range(0, len(x[0]), 256):
@@ -491,8 +499,9 @@ def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes:
     Only pairs of different components matter: members that hang together with their pivot meet the others, not one
     another, and both come in blocks of bounded size.
     """
-    back = tested.select("ys", "yn", "xs", "xn", "up", F.col("only_y").alias("gone"), F.col("only_x").alias("new"))
-    answers = tested.select(*KEYS, "up", F.col("only_x").alias("gone"), F.col("only_y").alias("new")).union(back)
+    tested = tested.where("star")
+    back = tested.select("ys", "yn", "xs", "xn", "up", "known", F.col("only_y").alias("gone"), F.col("only_x").alias("new"))
+    answers = tested.select(*KEYS, "up", "known", F.col("only_x").alias("gone"), F.col("only_y").alias("new")).union(back)
     own = (F.col("xs") == F.col("ys")) & (F.col("xn") == F.col("yn"))
     size = F.col("yn").cast("bigint")
     empty = F.lit(b"")
@@ -506,7 +515,7 @@ def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes:
     ).select(
         F.col("xs").alias("ps"), F.col("xn").alias("pn"), F.col("ys").alias("sid"), F.col("yn").alias("n"), up.alias("up"), gone.alias("gone"), new.alias("new"),
         # outside the pivot; without an answer all of the member may be there
-        F.greatest(F.lit(0), F.when(gone.isNull(), size).otherwise(size - up) - F.col("rare")).alias("out"),
+        F.greatest(F.lit(0), F.when(own | F.coalesce("known", F.lit(False)), size - up).otherwise(size) - F.col("rare")).alias("out"),
         F.coalesce("yroot.sid", "ys").alias("rs"), F.coalesce("yroot.n", "yn").alias("rn"), "hist",
         (F.coalesce(F.col("yroot.sid"), F.col("ys")) == F.coalesce(F.col("xroot.sid"), F.col("xs"))).alias("inside"),
     )
@@ -581,9 +590,9 @@ def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, perc
     x, y = F.struct("xs", "xn"), F.struct("ys", "yn")
     pick = lambda a, b: F.when(x < y, F.col(a)).otherwise(F.col(b))
     near = (F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * percent) & (x != y)
-    pairs = found.where(near).select(
+    pairs = found.where(near).groupBy(
         pick("xs", "ys").alias("xs"), pick("xn", "yn").alias("xn"), pick("ys", "xs").alias("ys"), pick("yn", "xn").alias("yn")
-    ).distinct()
+    ).agg(F.max(F.col("t").isNotNull()).alias("star"))
     tested = _tested(docs, pairs, classes, k, percent, "jaccard")
     links = _edges(tested)
     stars = found.where("t IS NOT NULL")
@@ -594,7 +603,7 @@ def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, perc
     roots = components(links, "jaccard-first")
     derived = written(_from_pivots(stars.union(own), tested, roots, classes, percent), "jaccard-derived")
     links = links.union(_edges(derived))
-    open_ = derived.where("linked IS NULL").select(*KEYS)
+    open_ = derived.where("linked IS NULL").select(*KEYS, F.lit(False).alias("star"))
     if open_.isEmpty():
         return links
     return links.union(_edges(_tested(docs, open_, classes, k, percent, "jaccard-again")))
