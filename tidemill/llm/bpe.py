@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import pieces
 
 # Stretches between white space and words whose encodings a task keeps; pairs whose stability it keeps.
-KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+KEPT = 100_000
+PAIRS_KEPT = 300_000
 
 # Below this code point no letter composes with a neighbour, and lower case is one letter for one (but for one).
 LATIN = 0x250
@@ -85,8 +85,6 @@ class Vocabulary:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self.tokens = np.array([names.get(i, "") for i in range(max(names) + 1)], dtype=object)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {m: r for r, m in enumerate(merges)}
         self.parts = {a + b: (a, b) for a, b in merges}
@@ -222,8 +220,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch]:
-    tokens = Vocabulary(text.value).tokens
+def _decoded(batches: Iterator[pa.RecordBatch], names) -> Iterator[pa.RecordBatch]:
+    tokens = np.array(names.value, dtype=object)
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
@@ -233,26 +231,48 @@ def _decoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names), pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
 
-def _shared(spark, path: str):
-    """The vocabulary's text for the tasks; its size is that of the file, whatever the tables."""
+def _coded(batches: Iterator[pa.RecordBatch], text, names) -> Iterator[pa.RecordBatch]:
+    return _decoded(_encoded(batches, text), names)
+
+
+def token_names(text: str) -> list[str]:
+    """The token of each id, from the vocabulary's JSON text."""
+    spec = json.loads(text)
+    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [names.get(i, "") for i in range(max(names) + 1)]
+
+
+def _read(path: str) -> str:
     with open(path, encoding="utf-8") as file:
-        return spark.sparkContext.broadcast(file.read())
+        return file.read()
+
+
+DECODED = "doc_id bigint, ids array<int>, decoded string"
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """`doc_id, ids` for every row. `vocabulary`: path of the JSON file at the driver."""
-    return docs.select("doc_id", "text").mapInArrow(partial(_encoded, text=_shared(docs.sparkSession, vocabulary)), "doc_id bigint, ids array<int>")
+    """`doc_id, ids` for every row. `vocabulary`: path of the JSON file at the driver.
+
+    What is broadcast has the size of that file, whatever the tables.
+    """
+    text = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
+    return docs.select("doc_id", "text").mapInArrow(partial(_encoded, text=text), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """Adds `decoded`: the tokens of `ids` with one space between, as the library without a decoder does."""
-    schema = "doc_id bigint, ids array<int>, decoded string"
-    return encoded.select("doc_id", "ids").mapInArrow(partial(_decoded, text=_shared(encoded.sparkSession, vocabulary)), schema)
+    names = encoded.sparkSession.sparkContext.broadcast(token_names(_read(vocabulary)))
+    return encoded.select("doc_id", "ids").mapInArrow(partial(_decoded, names=names), DECODED)
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """`doc_id, n_tokens, ids_sha256, decoded_sha256` for every row."""
-    both = decode(encode(docs, vocabulary), vocabulary)
+    """`doc_id, n_tokens, ids_sha256, decoded_sha256` for every row.
+
+    Both ways run in one Python worker: the decoder reads nothing but the ids.
+    """
+    send = docs.sparkSession.sparkContext.broadcast
+    text = _read(vocabulary)
+    both = docs.select("doc_id", "text").mapInArrow(partial(_coded, text=send(text), names=send(token_names(text))), DECODED)
     sha = lambda text: F.sha2(text.cast("binary"), 256)
     return both.select(
         "doc_id",
