@@ -18,6 +18,8 @@ from tidemill.session import scratch_dir
 SPACE = r"[\x20\x09-\x0D]+"
 # A task works on so many bytes of text at a time, so its memory does not grow with the batch.
 PIECE = 1 << 20
+# Rows that pass to Python at once while a table is written.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 # Bits of a membership filter: fixed, so what is sent to the executors never grows with the data.
 BLOOM_BITS = 1 << 23
 
@@ -29,9 +31,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends here and a lost executor costs nothing before it."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, min(int(before or BATCH_ROWS), BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, before) if before else spark.conf.unset(BATCH)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
