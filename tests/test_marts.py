@@ -179,6 +179,14 @@ def test_order_lists_are_bounded_and_whole(spark):
     assert cmp.multiset_diff(flat, want).count() == 0
 
 
+def test_order_lists_keep_copies(spark):
+    orders = spark.createDataFrame(
+        [(5, 1, "completed"), (5, 1, "completed"), (7, 1, "pending"), (-1, 1, "completed")], "order_id bigint, customer_id int, status string"
+    )
+    got = sorted((r.id_block, r.orders_in_block, r.completed_ids) for r in reports.order_lists(orders, span=10).collect())
+    assert got == [(-1, 1, [-1]), (0, 3, [5, 5])]
+
+
 def test_running_revenue(spark, orders):
     got = [tuple(r) for r in reports.running_revenue(orders).orderBy("order_date").collect()]
     assert got[0] == (date(2024, 6, 1), D("150.00"), None, D("150.00"), D("150.00"))

@@ -160,3 +160,41 @@ def test_profile(spark):
         ("s", "string", 3, 1, 2, "a", "b"),
     ]
     assert table_profile(df, approximate=True).count() == 2
+
+
+def test_a_batch_written_again_keeps_the_columns(spark, store):
+    store.append_or_create(numbers(spark, 0, 3), "t")
+    store.append_or_create(numbers(spark, 3, 5), "t", batch_id=2)
+    with pytest.raises(SchemaMismatch):
+        store.append_or_create(numbers(spark, 3, 5).withColumnRenamed("v", "w"), "t", batch_id=2)
+    assert rows(store.read("t").drop("batch_id"), "id", "v") == [(i, 2 * i) for i in range(5)]
+
+
+def test_batches_and_rebuilds_do_not_mix(spark, store):
+    store.append_or_create(numbers(spark, 0, 3), "grown")
+    store.materialize(numbers(spark, 0, 3), "built")
+    with pytest.raises(ValueError):
+        store.materialize(numbers(spark, 0, 1), "grown")
+    with pytest.raises(ValueError):
+        store.append_or_create(numbers(spark, 3, 4), "built")
+    assert store.read("grown").count() == store.read("built").count() == 3
+
+
+def test_only_published_versions_are_read(spark, store):
+    bad = store.stage_version(numbers(spark, 0, 99), "t")
+    store.reject("t", bad)
+    store.materialize(numbers(spark, 0, 3), "t")
+    staged = store.stage_version(numbers(spark, 0, 50), "t")
+    assert store.read("t", as_of=staged).count() == 3
+    with pytest.raises(LookupError):
+        store.read("t", as_of=bad)
+
+
+def test_incremental_append_of_missing_keys_and_copies(spark, store):
+    def delivery(*keys):
+        return spark.createDataFrame([(k, 1) for k in keys], "id int, v int")
+
+    incremental_append(store, delivery(1, 1, None, None), "t", ["id"])
+    assert incremental_append(store, delivery(None, 1), "t", ["id"], since="id") is None
+    assert incremental_append(store, delivery(None, 2, 2), "t", ["id"], since="id") == 2
+    assert store.read("t").count() == 3

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,23 +16,31 @@ from tidemill.sources.store import Store
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str], since: str | None = None) -> DataFrame:
-    """Incoming rows whose key is not in the table yet.
+    """Incoming rows whose key is not in the table yet; a missing key value equals a missing one.
 
     With `since`, a column that does not change for a key (such as the event time), only the part of
-    the table from the oldest incoming value on is searched; the bound reaches the Parquet reader.
+    the table from the oldest incoming value on is searched, and the rows without a value; the bound reaches the
+    Parquet reader.
     """
     known = existing
     if since is not None:
         oldest = incoming.agg(F.min(since)).first()[0]
         if oldest is not None:
-            known = existing.filter(F.col(since) >= F.lit(oldest).cast(incoming.schema[since].dataType))
-    return incoming.join(known.select(*key), list(key), "left_anti").select(*incoming.columns)
+            bound = F.lit(oldest).cast(incoming.schema[since].dataType)
+            known = existing.filter((F.col(since) >= bound) | F.col(since).isNull())
+    known = known.select(*(F.col(c).alias(f"_known_{c}") for c in key))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in key))
+    return incoming.join(known, same, "left_anti")
 
 
 def incremental_append(
     store: Store, incoming: DataFrame, table: str, key: Sequence[str], since: str | None = None
 ) -> int | None:
-    """Append what the table lacks; the number of the new batch, or None if it lacks nothing."""
+    """Append what the table lacks; the number of the new batch, or None if it lacks nothing.
+
+    Of several incoming rows with one key one enters, any if they differ.
+    """
+    incoming = incoming.dropDuplicates(list(key))
     existing = store.read_if_exists(table)
     if existing is not None:
         incoming = new_rows(incoming, existing, key, since)

@@ -270,31 +270,31 @@ WITH {ALL_ORDERS},{ITEMS},{PRODUCTS}
 SELECT i.order_id, i.line_number, o.customer_id, o.order_date, p.name AS product_name, p.category, i.amount, o.status
 FROM items i LEFT JOIN stg o ON i.order_id = o.order_id LEFT JOIN products p ON i.product_id = p.product_id""",
     "scan_full": "SELECT * FROM orders",
-    "pruned_scan": f"""{SPARSE}
+    "pruned_scan": f"""{MART}
 SELECT customer_id, first_name, last_name, total_orders, total_revenue, customer_tier FROM mart WHERE total_orders >= 2""",
-    "mart_filter_orders": f"{SPARSE} SELECT * FROM mart WHERE total_orders >= 2",
-    "mart_filter_tier": f"{SPARSE} SELECT * FROM mart WHERE customer_tier = 'high'",
-    "mart_by_revenue": f"{SPARSE} SELECT * FROM mart ORDER BY total_revenue DESC, customer_id",
+    "mart_filter_orders": f"{MART} SELECT * FROM mart WHERE total_orders >= 2",
+    "mart_filter_tier": f"{MART} SELECT * FROM mart WHERE customer_tier = 'high'",
+    "mart_by_revenue": f"{MART} SELECT * FROM mart ORDER BY total_revenue DESC, customer_id",
     "filter_not_in": "SELECT * FROM events WHERE event_type NOT IN ('view', 'click')",
-    "sorted_multi": f"{SPARSE} SELECT * FROM mart ORDER BY customer_tier, first_order_date, customer_id",
-    "templated_sql": f"""{SPARSE}
+    "sorted_multi": f"{MART} SELECT * FROM mart ORDER BY customer_tier, first_order_date, customer_id",
+    "templated_sql": f"""{MART}
 SELECT customer_tier, COUNT(*) AS customer_count, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
        CAST(SUM(total_revenue) AS DECIMAL(18,2)) AS total_revenue
 FROM mart GROUP BY customer_tier""",
-    "tier_summary": f"{SPARSE} {TIER.format(source='mart', mean=TIER_MEAN)}",
-    "tier_summary_nonnull": f"{SPARSE} {TIER.format(source='(SELECT * FROM mart WHERE total_orders > 0) AS m', mean=TIER_MEAN)}",
-    "tier_counts": f"{SPARSE} SELECT customer_tier, COUNT(*) AS n FROM mart GROUP BY customer_tier",
+    "tier_summary": f"{MART} {TIER.format(source='mart', mean=TIER_MEAN)}",
+    "tier_summary_nonnull": f"{MART} {TIER.format(source='(SELECT * FROM mart WHERE total_orders > 0) AS m', mean=TIER_MEAN)}",
+    "tier_counts": f"{MART} SELECT customer_tier, COUNT(*) AS n FROM mart GROUP BY customer_tier",
     "full_name": f"WITH {CUSTOMERS} SELECT customer_id, first_name || ' ' || last_name AS full_name FROM customers",
     "order_list_per_customer": f"""
 WITH {ALL_ORDERS}
 SELECT customer_id, order_id // 1000 AS id_block, COUNT(*) AS orders_in_block,
        COALESCE(string_agg(CAST(order_id AS VARCHAR), ',' ORDER BY order_id) FILTER (WHERE status = 'completed'), '') AS completed_ids
 FROM stg GROUP BY customer_id, order_id // 1000""",
-    "revenue_rank": f"""{SPARSE}
+    "revenue_rank": f"""{MART}
 SELECT customer_id, first_name || ' ' || last_name AS full_name, total_orders, total_revenue,
        RANK() OVER (ORDER BY total_revenue DESC) AS revenue_rank
 FROM mart""",
-    "rank_within_tier": f"""{SPARSE}
+    "rank_within_tier": f"""{MART}
 SELECT customer_tier, customer_id, total_revenue,
        ROW_NUMBER() OVER (PARTITION BY customer_tier ORDER BY total_revenue DESC, customer_id) AS row_number,
        RANK() OVER (PARTITION BY customer_tier ORDER BY total_revenue DESC) AS rank,
@@ -422,7 +422,7 @@ WITH {DAYS} SELECT event_id, ts, user_id, event_type, value, props, batch_id FRO
     "version_diff": f"WITH {CUSTOMERS},{ALL_ORDERS},{URGENT_ORDERS.replace('stg AS', 'urgent AS')},"
     f"{_mart('newer')},{_mart('older', 'urgent')} "
     + MULTISET.format(columns=MART_COLUMNS, left="older", right="newer", left_side="removed", right_side="added"),
-    "published_mart": f"{SPARSE} SELECT * FROM mart",
+    "published_mart": f"{MART} SELECT * FROM mart",
     "build_report": MART + _report([*STAGING_REPORT, *MART_REPORT]),
     "snapshots": f"""
 WITH {DAYS}

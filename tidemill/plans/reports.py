@@ -87,18 +87,18 @@ def running_revenue(orders: DataFrame) -> DataFrame:
 
 
 def order_lists(orders: DataFrame, span: int = LIST_SPAN) -> DataFrame:
-    """Ids of the completed orders of each customer, in sorted lists.
+    """Ids of the completed orders of each customer, in sorted lists; a repeated row is listed as often as it comes.
 
-    A list covers `span` consecutive order ids, so it cannot outgrow that; a customer with many
-    orders has many lists, which different tasks build.
+    A list covers `span` consecutive order ids; a customer with many orders has many lists, which different tasks
+    build. Equal rows are counted before they are listed, so copies are spelled out only in the result.
     """
-    listed = orders.groupBy("customer_id", F.floor(F.col("order_id") / span).alias("id_block")).agg(
-        F.array_sort(F.collect_set(F.struct("order_id", "status"))).alias("items")
+    block = F.expr(f"order_id div {int(span)} - if(order_id % {int(span)} < 0, 1, 0)")  # rounds down
+    counted = orders.groupBy("customer_id", block.alias("id_block"), "order_id", "status").agg(
+        F.count(F.lit(1)).alias("copies")
     )
-    completed = F.filter("items", lambda item: item["status"] == "completed")
-    return listed.select(
-        "customer_id",
-        "id_block",
-        F.size("items").cast("bigint").alias("orders_in_block"),
-        F.transform(completed, lambda item: item["order_id"]).alias("completed_ids"),
+    done = F.when(F.col("status") == "completed", F.struct("order_id", "copies"))
+    listed = counted.groupBy("customer_id", "id_block").agg(
+        F.sum("copies").alias("orders_in_block"), F.array_sort(F.collect_list(done)).alias("items")
     )
+    ids = F.flatten(F.transform("items", lambda item: F.array_repeat(item["order_id"], item["copies"].cast("int"))))
+    return listed.select("customer_id", "id_block", "orders_in_block", ids.alias("completed_ids"))

@@ -81,6 +81,14 @@ class Store:
         """Version that readers see: the highest published one."""
         return self.state(table)[2]
 
+    def published(self, table: str, as_of: int) -> int:
+        """The highest published version up to a number; staged and rejected ones are not readers' business."""
+        shown = self.log(table).filter((F.col("kind") == VERSION) & (F.col("status") == "published") & (F.col("id") <= as_of))
+        version = shown.agg(F.max("id")).first()[0]
+        if version is None:
+            raise LookupError(f"{table}: nothing published up to version {as_of}")
+        return version
+
     # -- writing -----------------------------------------------------------------------------
 
     def _write(self, df: DataFrame, table: str, kind: str, number: int) -> int:
@@ -88,9 +96,9 @@ class Store:
         df.write.mode("overwrite").format(self.format).save(path)
         return self.spark.read.schema(df.schema).format(self.format).load(path).count()
 
-    def aligned(self, df: DataFrame, table: str) -> DataFrame:
-        """Columns of a new batch by name, in the order and with the types of the table."""
-        target = self._scan(table).drop(BATCH).schema
+    def aligned(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        """Columns of a new batch by name, in the order and with the types of an earlier one."""
+        target = self.spark.read.format(self.format).load(f"{self.data_path(table)}/{BATCH}={batch_id}").schema
         missing = sorted(set(target.names) - set(df.columns))
         extra = sorted(set(df.columns) - set(target.names))
         if missing or extra:
@@ -99,18 +107,26 @@ class Store:
 
     def append_or_create(self, df: DataFrame, table: str, batch_id: int | None = None) -> int:
         """Write one batch; the first one creates the table. Writing a batch again replaces it."""
-        last = self.last_batch(table)
+        last, version, _ = self.state(table)
+        if version is not None:
+            raise ValueError(f"{table} is rebuilt as a whole: a batch would never be seen")
         if batch_id is None:
             batch_id = 1 if last is None else last + 1
-        if last is not None and last != batch_id:
-            df = self.aligned(df, table)
+        other = last
+        if last == batch_id:
+            other = self.log(table).filter((F.col("kind") == BATCH) & (F.col("id") < batch_id)).agg(F.max("id")).first()[0]
+        if other is not None:
+            df = self.aligned(df, table, other)
         rows = self._write(df, table, BATCH, batch_id)
         self.write_log(table, BATCH, batch_id, "append", "loaded", rows)
         return batch_id
 
     def _write_version(self, df: DataFrame, table: str, status: str) -> int:
         """Write the next version, then log it. What a crash leaves unlogged is overwritten next time."""
-        number = (self.state(table)[1] or 0) + 1
+        last, version, _ = self.state(table)
+        if last is not None:
+            raise ValueError(f"{table} grows by batches: a rebuild would hide them")
+        number = (version or 0) + 1
         rows = self._write(df, table, VERSION, number)
         self.write_log(table, VERSION, number, "overwrite", status, rows)
         return number
@@ -153,7 +169,7 @@ class Store:
     def read_if_exists(self, table: str, as_of: int | None = None) -> DataFrame | None:
         last, _, version = self.state(table)
         if version is not None:
-            return self.read_version(table, version if as_of is None else as_of)
+            return self.read_version(table, version if as_of is None else self.published(table, as_of))
         if last is None:
             return None
         upto = last if as_of is None else min(as_of, last)
