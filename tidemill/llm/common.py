@@ -39,6 +39,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(BATCH, before) if before else spark.conf.unset(BATCH)
+    # Shuffle files go when the driver collects the plan they belong to, which it may not do for half an hour.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
