@@ -62,6 +62,23 @@ def test_like_brute_force(frame, monkeypatch, k, percent):
     assert sorted(got, key=repr) == brute(rows, k, percent)
 
 
+def test_common_hashes_in_any_form():
+    r = random.Random(1)
+    sides = [sorted(r.sample(range(900), n)) for n in (0, 5, 100, 300, 700)]
+    forms = [J._hashes_of(J.np.array(x, J.np.int64).tobytes()) for x in sides]
+    for x, a in zip(sides, forms):
+        for y, b in zip(sides, forms):
+            assert J._common(a, b) == len(set(x) & set(y))
+
+
+@pytest.mark.parametrize("most", [0, 20])
+def test_large_differences_are_compared_whole(frame, monkeypatch, most):
+    monkeypatch.setattr(J, "DIFFERENCES", most)
+    rows = corpus(9)
+    got = [tuple(x) for x in J.jaccard_components(frame(rows)).collect()]
+    assert sorted(got, key=repr) == brute(rows, 3, 90)
+
+
 def test_edges_of_the_input(frame):
     rows = [
         (1, None), (2, ""), (3, " \t\n"), (4, "One two"), (9, "one  TWO"), (6, "one two three"), (7, "x"), (7, "x"),

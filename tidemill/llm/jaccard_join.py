@@ -41,7 +41,7 @@ SHORT = 32
 # Members of a long list that are compared at once.
 BLOCK = 1000
 # Differences to a pivot up to this size are kept; members with larger ones are compared as whole sets.
-DIFFERENCES = 512
+DIFFERENCES = 4096
 BUCKETS = 64
 WORD_CACHE = 100_000
 # Sets that a task remembers to have described; it describes a forgotten one again.
@@ -451,6 +451,22 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 FOUND = f"{KEY}, linked boolean"
 
 
+def _hashes_of(raw: bytes) -> frozenset | np.ndarray:
+    """Few hashes as a set, which is fast to compare, many as a sorted array, which is small."""
+    x = np.frombuffer(raw, np.int64)
+    return frozenset(x.tolist()) if len(x) <= 128 else x
+
+
+def _common(a: frozenset | np.ndarray, b: frozenset | np.ndarray) -> int:
+    if isinstance(a, frozenset):
+        if isinstance(b, frozenset):
+            return len(a & b)
+        a, b = b, a
+    if isinstance(b, frozenset):
+        b = np.fromiter(b, np.int64, len(b))
+    return int(_is_in(a, b).sum())
+
+
 def _derived(rows, percent: int):
     """Links between two blocks of members of one pivot, from what the pivot has answered for each.
 
@@ -465,8 +481,7 @@ def _derived(rows, percent: int):
     if same:
         sides[1] = sides[0]
     x, y = ([side[c].to_numpy().astype(np.int64) for c in columns] for side in sides)
-    hashes = lambda b: frozenset(np.frombuffer(b, np.int64).tolist())
-    apart = [[None if d is None else (hashes(d), hashes(e)) for d, e in zip(s["gone"], s["new"])] for s in sides]
+    apart = [[None if d is None else (_hashes_of(d), _hashes_of(e)) for d, e in zip(s["gone"], s["new"])] for s in sides]
     hists = [np.frombuffer(b"".join(s["hist"]), np.uint16).reshape(-1, BUCKETS) for s in sides]
     found = []
     for first in range(0, len(x[0]), 256):
@@ -480,7 +495,7 @@ def _derived(rows, percent: int):
         for i, j in zip(*np.nonzero(ok)):
             a, b = apart[0][first + i], apart[1][j]
             if a is not None and b is not None:
-                overlap = up[i, 0] + yu[0, j] - pn[i, 0] + len(a[0] & b[0]) + len(a[1] & b[1])
+                overlap = up[i, 0] + yu[0, j] - pn[i, 0] + _common(a[0], b[0]) + _common(a[1], b[1])
                 if overlap < need[i, j]:
                     continue
                 linked_ = True
