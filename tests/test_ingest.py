@@ -140,7 +140,7 @@ def test_two_files_of_a_feed_in_one_batch_and_in_two(store, landing):
     for i, line in enumerate(lines[:3]):
         (landing / f"orders_2024060{i + 1}.csv").write_text(f"{head}\n{line}\n")
     done = ing.ingest(store, str(landing), max_files=2)
-    assert [f["batch_id"] for f in done] == [1, 1, 2]
+    assert [(f["batch_id"], f["files"]) for f in done] == [(1, 2), (2, 1)]
     assert raw(store, "orders").count() == 3
 
 
@@ -191,20 +191,18 @@ def test_header_only_file(store, landing):
 
 def test_crash_after_writing_loads_nothing_twice(store, landing, monkeypatch):
     (landing / "orders.csv").write_text(ORDERS_CSV)
-    note = ing._note
 
-    def crash(store, files):
-        if files[0]["status"] == "loaded":
-            raise RuntimeError("lost")
-        note(store, files)
+    def crash(*args):
+        raise RuntimeError("lost")
 
-    monkeypatch.setattr(ing, "_note", crash)
-    with pytest.raises(RuntimeError):
-        ing.ingest(store, str(landing))
-    monkeypatch.setattr(ing, "_note", note)
+    with monkeypatch.context() as patched:
+        patched.setattr(ing, "note_outcome", crash)
+        with pytest.raises(RuntimeError):
+            ing.ingest(store, str(landing))
+    assert raw(store, "orders").count() == 10
     (landing / "orders_20240701.csv").write_text(ORDERS_CSV.splitlines()[0] + "\n1011,5,2024-07-11,1.00,completed\n")
     done = ing.ingest(store, str(landing))
-    assert [(f["file_name"], f["batch_id"]) for f in done] == [("orders.csv", 1), ("orders_20240701.csv", 2)]
+    assert [(f["batch_id"], f["files"], f["rows"]) for f in done] == [(1, 1, 10), (2, 1, 1)]
     assert raw(store, "orders").count() == 11
 
 
@@ -221,14 +219,15 @@ def test_an_unfinished_batch_is_taken_up_whole(store, landing, monkeypatch):
         with pytest.raises(RuntimeError):
             ing.ingest(store, str(landing))
     done = ing.ingest(store, str(landing), max_files=1)
-    assert [f["batch_id"] for f in done] == [1, 1, 1]
+    assert [(f["batch_id"], f["files"]) for f in done] == [(1, 3)]
     assert raw(store, "orders").count() == 3
 
 
 def test_archive(store, landing, tmp_path):
     (landing / "orders_20240601.csv").write_text(ORDERS_CSV)
     archive = tmp_path / "archive"
-    (entry,) = ing.ingest(store, str(landing), archive=str(archive))
+    ing.ingest(store, str(landing), archive=str(archive))
+    (entry,) = ing.ledger(store).collect()
     assert not (landing / "orders_20240601.csv").exists()
     assert (archive / entry["archived_as"]).read_text() == ORDERS_CSV
     assert entry["archived_as"] == entry["loaded_at"].strftime("orders_20240601_%Y%m%d_%H%M%S.csv")
@@ -247,6 +246,50 @@ def test_crash_while_archiving_loses_nothing(store, landing, tmp_path, monkeypat
             ing.ingest(store, str(landing), archive=str(tmp_path / "archive"))
     assert ing.ingest(store, str(landing), archive=str(tmp_path / "archive")) == []
     assert raw(store, "orders").count() == 10
+    assert not (landing / "orders.csv").exists()  # archived by the run after
+
+
+def test_many_files_are_one_batch(store, landing):
+    head = PRODUCTS_CSV.splitlines()[0]
+    for i in range(1500):
+        (landing / f"products_{20200000 + i}.csv").write_text(f"{head}\n{i},n,other,1.00,2024-01-01\n")
+    (done,) = ing.ingest(store, str(landing))
+    assert (done["batch_id"], done["files"], done["rows"]) == (1, 1500, 1500)
+    assert raw(store, "products").select("product_id").distinct().count() == 1500
+
+
+def test_undeclared_files_with_swapped_columns_go_by_name(store, landing):
+    (landing / "shops_20240601.csv").write_text("id,name\n1,a\n")
+    (landing / "shops_20240602.csv").write_text("name,id\nc,7\n")
+    (landing / "shops_20240603.csv").write_text("id,name,more\n9,x,y\n")
+    ing.ingest(store, str(landing))
+    assert rows(raw(store, "shops"), "id", "name") == [(1, "a"), (7, "c")]
+    assert statuses(store) == {
+        ("shops_20240601.csv", "loaded", 1, 0),
+        ("shops_20240602.csv", "loaded", 1, 0),
+        ("shops_20240603.csv", "rejected", 0, 0),
+    }
+
+
+def test_feeds_named_like_ledger_and_quarantine(store, landing):
+    (landing / "ledger.csv").write_text("id\n1\n")
+    (landing / "orders_quarantine.csv").write_text("id\n1\n2\n")
+    (landing / "orders.csv").write_text(ORDERS_CSV + "x,1,2024-06-01,1.00,completed\n")
+    for _ in range(2):
+        ing.ingest(store, str(landing))
+    assert (raw(store, "ledger").count(), raw(store, "orders_quarantine").count()) == (1, 2)
+    assert store.read(ing.quarantine_table("orders")).count() == 1
+
+
+def test_a_poisoned_batch_does_not_block_others(store, landing):
+    (landing / "shops.csv").write_text("id\n1\n")
+    ing.ingest(store, str(landing))
+    (landing / "shops_20240601.csv").write_text("id\nx\n")
+    (landing / "zz.csv").write_text("id\n1\n")
+    done = ing.ingest(store, str(landing))
+    assert [(f["feed"], f["status"]) for f in done] == [("shops", "failed"), ("zz", "loaded")]
+    assert ing.ingest(store, str(landing)) == []
+    assert (raw(store, "shops").count(), raw(store, "zz").count()) == (1, 1)
 
 
 def test_undeclared_feed_is_inferred(store, landing):

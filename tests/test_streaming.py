@@ -82,3 +82,12 @@ def test_archive_by_the_file_source(store, landing, tmp_path):
         run(store, landing, tmp_path / "cp", archive=str(archive))
     assert store.read("orders").count() == 3
     assert list(archive.rglob("orders_20240601.csv"))  # files move in the course of later batches
+
+
+def test_a_bad_header_stops_nothing(store, landing, tmp_path):
+    drop(landing, "orders_20240601.csv", LINES[:3])
+    (landing / "orders_20240602.csv").write_text(ORDERS_CSV.replace("order_id,customer_id", "customer_id,order_id"))
+    run(store, landing, tmp_path / "cp")
+    assert store.read("orders").count() == 3
+    entries = ing.ledger(store).select("file_name", "status", "rows").collect()
+    assert sorted(map(tuple, entries)) == [("orders_20240601.csv", "loaded", 3), ("orders_20240602.csv", "rejected", 0)]

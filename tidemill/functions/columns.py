@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Amounts of one order, customer or day and kind; and totals over any number of them.
 MONEY = "decimal(18,2)"
+TOTAL = "decimal(38,2)"
 
 # Tiers by number of orders, first match wins; accepted tier names.
 HIGH_FROM = 3
@@ -23,6 +25,10 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def total_money(value: Column) -> Column:
+    return value.cast(TOTAL)
+
+
 def mean_money(total: Column, count: Column) -> Column:
     """Mean of exact amounts, rounded half-up to cents; NULL when nothing was counted."""
     return F.round(total.cast("decimal(28,6)") / F.nullif(count, F.lit(0)), 2).cast(MONEY)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. Sizes (shuffle partitions, memory) belong to the cluster.
 DEFAULTS = {
@@ -17,9 +18,6 @@ DEFAULTS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
-_local_scratch: dict[str, str] = {}
-
-
 def build_session(app: str = "tidemill", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; `conf` keys use `__` for the dot."""
     builder = SparkSession.builder.appName(app)
@@ -35,7 +33,8 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, named by the cluster in spark.checkpoint.dir.
 
-    Only a local master may go without the setting; it then gets a fresh temporary folder.
+    Only a local master may go without the setting; a folder named after the application, in the home folder of its
+    file system, then takes its place.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -43,12 +42,24 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="tidemill-")
-    return _local_scratch[app]
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.FileSystem.get(spark._jsc.hadoopConfiguration())
+    return f"{fs.getHomeDirectory()}/.tidemill/{context.applicationId}"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other call gets."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The frame as a written table, which is removed at the end."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -57,7 +57,12 @@ PRODUCTS = Feed(
     "product_id bigint, name string, category string, price decimal(10,2), created_at date",
     ("product_id",),
 )
-FEEDS = {feed.name: feed for feed in (CUSTOMERS, ORDERS, PRODUCTS)}
+ORDER_ITEMS = Feed(
+    "order_items",
+    "order_id bigint, line_number bigint, product_id bigint, amount decimal(10,2)",
+    ("order_id", "line_number"),
+)
+FEEDS = {feed.name: feed for feed in (CUSTOMERS, ORDERS, PRODUCTS, ORDER_ITEMS)}
 
 
 def read_feed(
@@ -77,11 +82,10 @@ def read_feed(
 
 
 def read_feed_text(spark: SparkSession, path: str | Sequence[str], feed: Feed) -> DataFrame:
-    """Feed with all values as text, for checks that must not fail on a bad value."""
+    """Lines of the feed with all values as text, headers among them, for checks that must not fail on a bad one."""
     return (
         spark.read.schema(feed.text_schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        .option("header", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .options(**feed.options)
         .csv(path)

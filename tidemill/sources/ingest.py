@@ -1,161 +1,249 @@
 """Batch ingest of a landing zone: each file is loaded once, bad rows go to quarantine.
 
-The ledger makes a run repeatable. A batch first gets `started` rows that name its number and its
-files; its partition is then written, and its files turn `loaded` (or `rejected`, if their header
-is not the declared one). A run that finds `started` rows takes up that batch again and overwrites
-its partition, so a crash at any point loads nothing twice.
+The ledger makes a run repeatable. A run lists the landing zone once and notes each new file as `started`
+with the number of its batch: one batch per feed. The batch's partition is then written, and its files
+turn `loaded`, or `rejected` with a reason if their header is not the expected one. A run that finds `started`
+files takes up their batch again and overwrites its partition, so a crash at any point loads nothing twice.
+A batch that can never be loaded turns `failed` with the reason; the other feeds go on.
+
+Ledger entries are written by Spark from the listing. The driver holds the paths of one batch, as
+Spark's own file index does, and one row per batch.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
-from pyspark import StorageLevel
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions import archive_name, delivery_name
 from tidemill.functions.columns import PART
 from tidemill.operators.validate import REASONS, typed, type_rules, with_reasons
+from tidemill.session import scratch_table
 from tidemill.sources.feeds import CORRUPT, FEEDS, Feed, landing_files, read_feed, read_feed_text
-from tidemill.sources.store import Store, last_entries, read_or_empty
+from tidemill.sources.store import SchemaMismatch, Store, last_entries, read_or_empty
 
 LEDGER_SCHEMA = (
     "path string, uri string, file_name string, feed string, modified_at timestamp, bytes bigint, batch_id bigint, "
-    "status string, loaded_at timestamp, rows bigint, quarantined bigint, archived_as string"
+    "status string, loaded_at timestamp, rows bigint, quarantined bigint, archived_as string, reason string"
 )
+LEDGER_COLUMNS = [part.split()[0] for part in LEDGER_SCHEMA.split(", ")]
 DELIVERY = ["path", "modified_at", "bytes"]
+FILE = ["path", "uri", "file_name", "feed", "modified_at", "bytes"]
 
-# What a failed read raises; errors inside tasks arrive unconverted.
-READ_ERRORS = (PySparkException, Py4JJavaError)
-
-# Files taken into one batch; those left over make up the next batches of the same run.
-MAX_FILES = 1000
+# What a failed read or write raises; errors inside tasks arrive unconverted.
+ERRORS = (PySparkException, Py4JJavaError, SchemaMismatch)
+# Whether a line is the header of its file.
+HEADER = "_header"
+NO_HEADER, OTHER_COLUMNS = "header is not the declared one", "columns are not those of the table"
+# Inferred types of one column in several files, the widest last; any other mixture is text.
+NUMBERS = ["int", "bigint", "double"]
 
 
 def ledger_path(store: Store) -> str:
-    return f"{store.root}/ledger"
+    """Beside the tables, under a name that no feed has."""
+    return f"{store.root}/_ingest/ledger"
 
 
 def ledger(store: Store) -> DataFrame:
-    """Newest entry per delivered file. A file delivered again has another time or size."""
-    return last_entries(read_or_empty(store.spark, ledger_path(store), LEDGER_SCHEMA), DELIVERY, "loaded_at")
+    """Last entry per delivered file, `started` before all others. A file delivered again has another time or size."""
+    order = F.struct((F.col("status") != "started").cast("int"), F.col("loaded_at"))
+    return last_entries(read_or_empty(store.spark, ledger_path(store), LEDGER_SCHEMA), DELIVERY, order)
 
 
 def quarantine_table(feed: str) -> str:
-    return f"{feed}_quarantine"
-
-
-def pending_files(store: Store, landing: str) -> DataFrame:
-    """Files of the landing zone that no batch has taken."""
-    return landing_files(store.spark, landing).join(ledger(store), DELIVERY, "left_anti")
-
-
-def _note(store: Store, files: list[dict]) -> None:
-    rows = [tuple(f[name] for name in LEDGER_COLUMNS) for f in files]
-    store.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path(store))
-
-
-LEDGER_COLUMNS = [part.split()[0] for part in LEDGER_SCHEMA.split(", ")]
-
-
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    """Beside the tables; the name of a feed has no slash."""
+    return f"_quarantine/{feed}"
+
+
+def _note(store: Store, entries: DataFrame) -> None:
+    entries.select(*LEDGER_COLUMNS).coalesce(1).write.mode("append").parquet(ledger_path(store))
+
+
+def note_outcome(store: Store, files: DataFrame, outcome: DataFrame, archive: bool) -> None:
+    """Final entries of files from the outcome of each: `uri, rows, quarantined, reason`; a reason speaks against it.
+
+    A file without a single line has no outcome and counts as loaded.
+    """
+    at = F.current_timestamp()
+    loaded = F.col("reason").isNull()
+    name = F.concat(archive_name(F.col("file_name"), at), F.regexp_extract("path", PART, 0))
+    done = files.select(*FILE, "batch_id").join(outcome, "uri", "left")
+    entries = done.select(
+        *FILE,
+        "batch_id",
+        F.when(loaded, "loaded").otherwise("rejected").alias("status"),
+        at.alias("loaded_at"),
+        *(F.when(loaded, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in ("rows", "quarantined")),
+        F.when(loaded & F.lit(archive), name).alias("archived_as"),
+        "reason",
+    )
+    _note(store, entries)
+
+
+def _begin(store: Store, listed: DataFrame, max_files: int | None) -> None:
+    """Note the files that no batch has taken as `started`."""
+    known = ledger(store)
+    pending = listed.join(known.select(*DELIVERY), DELIVERY, "left_anti")
+    last = known.groupBy("feed").agg(F.max("batch_id").alias("last"))
+    step = F.lit(0)
+    if max_files:
+        place = F.row_number().over(W.partitionBy("feed").orderBy("file_name", "path"))
+        step = F.floor((place - 1) / F.lit(max_files))
+    started = pending.join(last, "feed", "left").select(
+        *FILE,
+        (F.coalesce("last", F.lit(0)) + 1 + step).cast("bigint").alias("batch_id"),
+        F.lit("started").alias("status"),
+        F.current_timestamp().alias("loaded_at"),
+        *(F.lit(None).cast("bigint").alias(c) for c in ("rows", "quarantined")),
+        *(F.lit(None).cast("string").alias(c) for c in ("archived_as", "reason")),
+    )
+    if not pending.isEmpty():
+        _note(store, started)
 
 
-def _next_batch(store: Store, landing: str, max_files: int) -> list[dict]:
-    """Files of an unfinished batch, or else the next pending files of one feed (`max_files` at most)."""
-    started = ledger(store).filter(F.col("status") == "started")
-    first = started.orderBy("feed", "batch_id").first()
-    if first is not None:
-        # The whole batch, whatever limit holds now: its partition is overwritten as one.
-        batch = started.filter((F.col("feed") == first["feed"]) & (F.col("batch_id") == first["batch_id"]))
-        return [row.asDict() for row in batch.orderBy("file_name", "path").collect()]
-    pending = pending_files(store, landing)
-    found = [row.asDict() for row in pending.orderBy("feed", "file_name", "path").take(max_files)]
-    if not found:
-        return []
-    feed = found[0]["feed"]
-    number = ledger(store).filter(F.col("feed") == feed).agg(F.max("batch_id")).first()[0] or 0
-    blank = {"status": "started", "loaded_at": _now(), "rows": None, "quarantined": None, "archived_as": None}
-    files = [{**f, **blank, "batch_id": number + 1} for f in found if f["feed"] == feed]
-    _note(store, files)
-    return files
+# -- declared feeds ----------------------------------------------------------------------------
 
 
 def checked_rows(df: DataFrame, feed: Feed) -> DataFrame:
-    """Text rows with the reasons that speak against them."""
+    """Lines with the reasons that speak against them, and whether they are the declared header.
+
+    A line that names the declared columns is a header wherever it stands.
+    """
     rules = {"wrong number of fields": F.col(CORRUPT).isNotNull()}
     rules.update(type_rules(feed.schema, feed.required))
-    return with_reasons(df, rules)
+    names = (F.lower(c) == c.lower() for c in feed.schema.names)
+    header = F.coalesce(reduce(and_, names) & F.col(CORRUPT).isNull(), F.lit(False))
+    return with_reasons(df, rules).withColumn(HEADER, header)
+
+
+def file_outcomes(checked: DataFrame) -> DataFrame:
+    """`uri, rows, quarantined, reason` of each file; one without the declared header is set aside as a whole."""
+    good, line = F.size(REASONS) == 0, ~F.col(HEADER)
+    counts = checked.groupBy("uri").agg(
+        F.count_if(line & good).alias("rows"),
+        F.count_if(line & ~good).alias("quarantined"),
+        F.max(HEADER).alias("headed"),
+    )
+    return counts.select("uri", "rows", "quarantined", F.when(~F.col("headed"), NO_HEADER).alias("reason"))
 
 
-def write_checked(store: Store, checked: DataFrame, feed: Feed, batch_id: int) -> None:
+def write_checked(store: Store, checked: DataFrame, outcome: DataFrame, feed: Feed, batch_id: int) -> None:
     """Good rows to the raw table with their types, bad rows as text to the quarantine table."""
-    good = checked.filter(F.size(REASONS) == 0)
-    store.append_or_create(typed(good, feed.schema), feed.name, batch_id)
-    bad = checked.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, "file_name")
+    aside = outcome.filter(F.col("reason").isNotNull()).select("uri")
+    lines = checked.filter(~F.col(HEADER))
+    if not aside.isEmpty():
+        lines = lines.join(aside, "uri", "left_anti")
+    store.append_or_create(typed(lines.filter(F.size(REASONS) == 0), feed.schema), feed.name, batch_id)
+    bad = lines.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, "file_name")
     if not bad.isEmpty():
         store.append_or_create(bad, quarantine_table(feed.name), batch_id)
 
 
-def _readable(store: Store, paths: list[str], feed: Feed) -> list[str]:
-    """Paths whose header is the declared one, told by reading one row of each."""
-    good = []
-    for path in paths:
-        try:
-            read_feed_text(store.spark, path, feed).take(1)
-        except READ_ERRORS:
-            continue
-        good.append(path)
-    return good
+def with_source(df: DataFrame) -> DataFrame:
+    uri = F.col("_metadata.file_path")
+    return df.select("*", uri.alias("uri"), delivery_name(uri).alias("file_name"))
 
 
-def _load_declared(store: Store, feed: Feed, paths: list[str], batch_id: int) -> dict[str, tuple[int, int]]:
-    text = read_feed_text(store.spark, paths, feed).select(
-        "*",
-        F.col("_metadata.file_path").alias("uri"),
-        delivery_name(F.col("_metadata.file_path")).alias("file_name"),
-    )
-    checked = checked_rows(text, feed).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once, written twice
-    try:
-        counts = checked.groupBy("uri").agg(
-            F.count_if(F.size(REASONS) == 0).alias("rows"), F.count_if(F.size(REASONS) > 0).alias("quarantined")
-        )
-        loaded = {r["uri"]: (r["rows"], r["quarantined"]) for r in counts.collect()}  # one row per file
-        write_checked(store, checked, feed, batch_id)
-    finally:
-        checked.unpersist()
-    return loaded
+def _load_declared(store: Store, feed: Feed, files: DataFrame, paths: list[str], batch_id: int, archive: bool) -> None:
+    text = with_source(read_feed_text(store.spark, paths, feed))
+    # parsed once, then read by each of the writes
+    with scratch_table(checked_rows(text, feed), "checked") as checked:
+        outcome = file_outcomes(checked)
+        write_checked(store, checked, outcome, feed, batch_id)
+        note_outcome(store, files, outcome, archive)
 
 
-def _load_inferred(store: Store, name: str, paths: list[str], batch_id: int) -> dict[str, tuple[int, int]]:
-    """A feed nobody declared: types are inferred for its first batch and kept from then on."""
-    df = read_feed(store.spark, paths)
-    store.append_or_create(df, name, batch_id)
-    counts = df.select(F.col("_metadata.file_path").alias("uri")).groupBy("uri").count()
-    return {r["uri"]: (r["count"], 0) for r in counts.collect()}  # one row per file
+# -- undeclared feeds --------------------------------------------------------------------------
 
 
-def _name_for_archive(store: Store, files: list[dict]) -> None:
-    """Set `archived_as`: the name of each delivery with the time of loading."""
-    named = store.spark.createDataFrame(
-        [(f["path"], f["file_name"], f["loaded_at"]) for f in files], "path string, file_name string, at timestamp"
+def _by_header(store: Store, paths: dict[str, str]) -> dict[str, list[str]]:
+    """URIs of files by their first line that is not blank."""
+    lines = store.spark.read.text(list(paths.values())).select(
+        "value", F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start")
+    )
+    lines = lines.filter((F.col("start") == 0) & (F.trim("value") != "")).withColumn("place", F.monotonically_increasing_id())
+    heads = lines.groupBy("uri").agg(F.min_by("value", "place").alias("head")).collect()  # one row per file
+    first = {r["uri"]: r["head"] for r in heads}
+    groups: dict[str, list[str]] = defaultdict(list)
+    for uri in paths:
+        if uri in first:
+            groups[first[uri]].append(uri)
+    return groups
+
+
+def _common_type(types: set[str]) -> str:
+    if len(types) == 1:
+        return next(iter(types))
+    return max(types, key=NUMBERS.index) if types <= set(NUMBERS) else "string"
+
+
+def _load_inferred(store: Store, name: str, files: DataFrame, paths: dict[str, str], batch_id: int, archive: bool) -> None:
+    """A feed nobody declared: types are inferred for its first batch and kept from then on.
+
+    Columns go by name, so files may order them differently; those with other columns than the table, or than
+    the first file if there is no table, are set aside.
+    """
+    frames, aside = [], []
+    known = store.columns(name, before=batch_id)
+    for uris in _by_header(store, paths).values():
+        df = read_feed(store.spark, [paths[uri] for uri in uris])
+        if known is None:
+            known = df.columns
+        if set(df.columns) == set(known):
+            frames.append(df.select("*", F.col("_metadata.file_path").alias("uri")))
+        else:
+            aside += [(uri, 0, 0, OTHER_COLUMNS) for uri in uris]
+    outcome = store.spark.createDataFrame(aside, "uri string, rows bigint, quarantined bigint, reason string")
+    if frames:
+        types = {c: _common_type({dict(df.dtypes)[c] for df in frames}) for c in known}
+        same = [df.select(*(F.col(c).cast(t).alias(c) for c, t in types.items()), "uri") for df in frames]
+        rows = reduce(DataFrame.unionByName, same)
+        store.append_or_create(rows.drop("uri"), name, batch_id)
+        counts = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
+        blank = {"quarantined": F.lit(0).cast("bigint"), "reason": F.lit(None).cast("string")}
+        outcome = counts.withColumns(blank).unionByName(outcome)
+    note_outcome(store, files, outcome, archive)
+
+
+# -- runs --------------------------------------------------------------------------------------
+
+
+def _load(store: Store, feeds: Mapping[str, Feed], name: str, batch_id: int, archive: bool) -> None:
+    mine = (F.col("feed") == name) & (F.col("batch_id") == batch_id) & (F.col("status") == "started")
+    files = ledger(store).filter(mine)
+    paths = {r["uri"]: r["path"] for r in files.select("uri", "path", "file_name").orderBy("file_name", "path").collect()}
+    if name in feeds:
+        _load_declared(store, feeds[name], files, list(paths.values()), batch_id, archive)
+    else:
+        _load_inferred(store, name, files, paths, batch_id, archive)
+
+
+def _lasting(error: Exception) -> bool:
+    """Whether the same files would fail again: wrong columns, or a value that its column cannot take."""
+    return isinstance(error, SchemaMismatch) or "[CAST_" in str(error)
+
+
+def _fail(store: Store, name: str, batch_id: int, reason: str) -> None:
+    mine = (F.col("feed") == name) & (F.col("batch_id") == batch_id) & (F.col("status") == "started")
+    failed = ledger(store).filter(mine).withColumns(
+        {"status": F.lit("failed"), "loaded_at": F.current_timestamp(), "reason": F.lit(reason)}
     )
-    part = F.regexp_extract("path", PART, 0)
-    names = named.select("path", F.concat(archive_name(F.col("file_name"), F.col("at")), part).alias("to"))
-    new_names = {row["path"]: row["to"] for row in names.collect()}  # one row per file
-    for f in files:
-        f["archived_as"] = new_names[f["path"]]
+    _note(store, failed)
 
 
-def _archive(store: Store, files: list[dict], folder: str) -> None:
-    """Move loaded files to the archive folder."""
+def _archive(store: Store, listed: DataFrame, folder: str) -> None:
+    """Move loaded files to the archive folder, also those that an earlier run left behind."""
+    named = ledger(store).filter("status = 'loaded' AND archived_as IS NOT NULL").select(*DELIVERY, "archived_as")
     hadoop = store.spark._jvm.org.apache.hadoop.fs
-    for f in files:
+    for f in listed.join(named, DELIVERY).select("path", "archived_as").collect():
         source, target = hadoop.Path(f["path"]), hadoop.Path(f"{folder}/{f['archived_as']}")
         fs = source.getFileSystem(store.spark._jsc.hadoopConfiguration())
         fs.mkdirs(target.getParent())
@@ -163,57 +251,48 @@ def _archive(store: Store, files: list[dict], folder: str) -> None:
             raise OSError(f"cannot archive {f['path']}")
 
 
-def ingest_batch(
-    store: Store,
-    landing: str,
-    feeds: Mapping[str, Feed] = FEEDS,
-    max_files: int = MAX_FILES,
-    archive: str | None = None,
-) -> list[dict]:
-    """Load the next batch of one feed; returns its ledger entries, none if nothing is pending."""
-    files = _next_batch(store, landing, max_files)
-    if not files:
-        return []
-    name, batch_id = files[0]["feed"], files[0]["batch_id"]
-    paths = [f["path"] for f in files]
-    feed = feeds.get(name)
-    try:
-        loaded = _load(store, feed, name, paths, batch_id)
-    except READ_ERRORS:
-        # Most likely a header that is not the declared one: set aside the files that cannot be read.
-        readable = _readable(store, paths, feed) if feed else paths
-        if len(readable) == len(paths):
-            raise
-        loaded = _load(store, feed, name, readable, batch_id) if readable else {}
-        paths = readable
-    at = _now()
-    for f in files:
-        rows, quarantined = loaded.get(f["uri"], (0, 0))
-        f.update(status="loaded" if f["path"] in paths else "rejected", loaded_at=at, rows=rows, quarantined=quarantined)
-    done = [f for f in files if f["status"] == "loaded"]
-    if archive and done:
-        _name_for_archive(store, done)
-    _note(store, files)
-    if archive:
-        _archive(store, done, archive)  # after the note: a file that is gone must not count as unfinished
-    return files
-
-
-def _load(store: Store, feed: Feed | None, name: str, paths: list[str], batch_id: int) -> dict[str, tuple[int, int]]:
-    if feed is None:
-        return _load_inferred(store, name, paths, batch_id)
-    return _load_declared(store, feed, paths, batch_id)
+def _is_one_of(batches: list[tuple[str, int]]) -> Column:
+    return reduce(lambda a, b: a | b, ((F.col("feed") == n) & (F.col("batch_id") == i) for n, i in batches))
 
 
 def ingest(
     store: Store,
     landing: str,
     feeds: Mapping[str, Feed] = FEEDS,
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     archive: str | None = None,
 ) -> list[dict]:
-    """Load all pending files of the landing zone, batch by batch."""
-    done: list[dict] = []
-    while files := ingest_batch(store, landing, feeds, max_files, archive):
-        done += files
-    return done
+    """Load all new files of the landing zone, one batch per feed, or more of `max_files` files each.
+
+    Returns what became of each batch: feed, batch_id, status, and the number of files, rows and quarantined rows. An error
+    that another run may not meet leaves its batch `started`, and is raised after the other feeds are done.
+    """
+    listed = landing_files(store.spark, landing).persist()
+    try:
+        _begin(store, listed, max_files)
+        open_ = ledger(store).filter("status = 'started'").select("feed", "batch_id").distinct()
+        batches = [(r["feed"], r["batch_id"]) for r in open_.orderBy("feed", "batch_id").collect()]
+        errors, stopped = [], set()
+        for name, batch_id in batches:
+            if name in stopped:
+                continue
+            try:
+                _load(store, feeds, name, batch_id, archive is not None)
+            except ERRORS as error:
+                if _lasting(error):
+                    _fail(store, name, batch_id, str(error)[:1000])
+                else:
+                    errors.append(error)
+                    stopped.add(name)
+        if archive:
+            _archive(store, listed, archive)
+    finally:
+        listed.unpersist()
+    if errors:
+        raise errors[0]
+    if not batches:
+        return []
+    done = ledger(store).filter(_is_one_of(batches)).groupBy("feed", "batch_id", "status").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("quarantined").alias("quarantined")
+    )
+    return [r.asDict() for r in done.orderBy("feed", "batch_id", "status").collect()]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,8 +43,9 @@ class Store:
     # -- log ---------------------------------------------------------------------------------
 
     def log(self, table: str) -> DataFrame:
-        """Last entry of each batch or version."""
-        return last_entries(read_or_empty(self.spark, self.log_path(table), LOG_SCHEMA), ["kind", "id"], "at")
+        """Last entry of each batch or version; a decision stands above the staging, whatever the clocks say."""
+        order = F.struct((F.col("status") != "staged").cast("int"), F.col("at"))
+        return last_entries(read_or_empty(self.spark, self.log_path(table), LOG_SCHEMA), ["kind", "id"], order)
 
     def write_log(self, table: str, kind: str, number: int, operation: str, status: str, rows: int | None) -> None:
         entry = self.spark.range(1).select(
@@ -58,7 +59,7 @@ class Store:
         entry.coalesce(1).write.mode("append").parquet(self.log_path(table))
 
     def state(self, table: str) -> tuple[int | None, int | None, int | None]:
-        """Last loaded batch, highest version ever begun, and published version, in one pass over the log."""
+        """Last loaded batch, highest version ever begun, and version published last, in one pass over the log."""
         log = read_or_empty(self.spark, self.log_path(table), LOG_SCHEMA)
         batch = (F.col("kind") == BATCH) & (F.col("status") == "loaded")
         version = F.col("kind") == VERSION
@@ -66,7 +67,7 @@ class Store:
             log.agg(
                 F.max(F.when(batch, F.col("id"))),
                 F.max(F.when(version, F.col("id"))),
-                F.max(F.when(version & (F.col("status") == "published"), F.col("id"))),
+                F.max_by("id", F.when(version & (F.col("status") == "published"), F.struct("at", "id"))),
             ).first()
         )
 
@@ -78,7 +79,7 @@ class Store:
         return self.state(table)[0]
 
     def current_version(self, table: str) -> int | None:
-        """Version that readers see: the highest published one."""
+        """Version that readers see: the one published last, which may be an older one published again."""
         return self.state(table)[2]
 
     def published(self, table: str, as_of: int) -> int:
@@ -105,6 +106,14 @@ class Store:
             raise SchemaMismatch(f"{table}: missing columns {missing}, extra columns {extra}")
         return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields))
 
+    def columns(self, table: str, before: int) -> list[str] | None:
+        """Columns of the batches before a number, None if there are none."""
+        batches = self.log(table).filter((F.col("kind") == BATCH) & (F.col("id") < before))
+        last = batches.agg(F.max("id")).first()[0]
+        if last is None:
+            return None
+        return self.spark.read.format(self.format).load(f"{self.data_path(table)}/{BATCH}={last}").columns
+
     def append_or_create(self, df: DataFrame, table: str, batch_id: int | None = None) -> int:
         """Write one batch; the first one creates the table. Writing a batch again replaces it."""
         last, version, _ = self.state(table)
@@ -253,7 +262,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def last_entries(log: DataFrame, keys: list[str], at: str) -> DataFrame:
+def last_entries(log: DataFrame, keys: list[str], at: str | Column) -> DataFrame:
     """Newest row per key of a log."""
     names = [c for c in log.columns if c not in keys]
     newest = log.groupBy(*keys).agg(F.max_by(F.struct(*names), at).alias("_last"))

@@ -4,31 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.functions import delivery_name
+from tidemill.functions import feed_name
+from tidemill.session import scratch_table
 from tidemill.sources.feeds import CORRUPT, Feed
-from tidemill.sources.ingest import MAX_FILES, checked_rows, write_checked
+from tidemill.sources.ingest import checked_rows, file_outcomes, note_outcome, with_source, write_checked
 from tidemill.sources.store import Store
 
 POLL = "5 minutes"
 
 
 def feed_stream(
-    store: Store, landing: str, feed: Feed, max_files: int | None = MAX_FILES, archive: str | None = None
+    store: Store, landing: str, feed: Feed, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """Rows of the feed's files as text, with their file name.
+    """Lines of the feed's files as text, with their file, its time and size.
 
     The file source tracks the files it has read in the checkpoint. With `archive`, a folder outside
     the landing zone, it moves files there in the course of later batches.
     """
     reader = (
         store.spark.readStream.schema(feed.text_schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        .option("header", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .options(**feed.options)
     )
@@ -36,8 +35,10 @@ def feed_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.csv(f"{landing}/{feed.glob}").select(
-        "*", delivery_name(F.col("_metadata.file_path")).alias("file_name")
+    return with_source(reader.csv(f"{landing}/{feed.glob}")).select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.col("_metadata.file_size").alias("bytes"),
     )
 
 
@@ -48,22 +49,32 @@ def stream_ingest(
     checkpoint: str,
     every: str | None = POLL,
     on_batch: Callable[[Store, int], None] | None = None,
-    max_files: int | None = MAX_FILES,
+    max_files: int | None = None,
     archive: str | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch to the feed's raw table, then call `on_batch` (mart refresh, tests).
 
     `every` is the polling interval; None takes what is there and stops, for a scheduled job. The
     batch number is that of the micro-batch, and its partition is overwritten, so a micro-batch that
-    is run again after a failure replaces its own rows.
+    is run again after a failure replaces its own rows. What became of each file is in the ledger; a file
+    without the declared header is set aside there and stops nothing.
     """
 
     def write(df: DataFrame, epoch: int) -> None:
-        checked = checked_rows(df, feed).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once, written twice
-        try:
-            write_checked(store, checked, feed, epoch)
-        finally:
-            checked.unpersist()
+        # parsed once, then read by each of the writes
+        with scratch_table(checked_rows(df, feed), "checked") as checked:
+            outcome = file_outcomes(checked)
+            write_checked(store, checked, outcome, feed, epoch)
+            files = checked.select(
+                F.col("uri").alias("path"),
+                "uri",
+                "file_name",
+                feed_name(F.col("uri")).alias("feed"),
+                "modified_at",
+                "bytes",
+                F.lit(epoch).cast("bigint").alias("batch_id"),
+            )
+            note_outcome(store, files.distinct(), outcome, archive=False)
         if on_batch:
             on_batch(store, epoch)
 
