@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_of_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 

@@ -8,7 +8,20 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, chat_format, fingerprints, licenses, mixture, quality_cascade, secret_scan, toxicity, url_rules
+from tidemill.llm import (
+    bpe,
+    chat_format,
+    fill_in_middle,
+    fingerprints,
+    licenses,
+    mixture,
+    periodic_runs,
+    quality_cascade,
+    secret_scan,
+    simhash_vp,
+    toxicity,
+    url_rules,
+)
 from tidemill.llm.common import documents
 from tidemill.llm.jaccard_join import jaccard_components
 
@@ -73,6 +86,18 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(documents(spark, folder))
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_vp.digests(documents(spark, folder))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_fingerprints": op2_fingerprints,
@@ -84,10 +109,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_simhash": op12_simhash,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op5_mixture": mixture.ORACLE,
     "op8_licenses": licenses.oracle(),
+    "op13_fill_in_middle": fill_in_middle.ORACLE,
 }
