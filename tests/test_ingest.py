@@ -287,9 +287,19 @@ def test_a_poisoned_batch_does_not_block_others(store, landing):
     (landing / "shops_20240601.csv").write_text("id\nx\n")
     (landing / "zz.csv").write_text("id\n1\n")
     done = ing.ingest(store, str(landing))
-    assert [(f["feed"], f["status"]) for f in done] == [("shops", "failed"), ("zz", "loaded")]
+    assert [(f["feed"], f["status"], f["rows"], f["quarantined"]) for f in done] == [("shops", "loaded", 0, 1), ("zz", "loaded", 1, 0)]
     assert ing.ingest(store, str(landing)) == []
     assert (raw(store, "shops").count(), raw(store, "zz").count()) == (1, 1)
+    assert rows(store.read(ing.quarantine_table("shops")), "id", "reasons") == [("x", ["bad int in id"])]
+
+
+def test_one_bad_value_of_an_undeclared_feed_costs_one_row(store, landing):
+    (landing / "shops.csv").write_text("id,name\n1,a\n")
+    ing.ingest(store, str(landing))
+    (landing / "shops_20240601.csv").write_text("id,name\nx,b\n2,c\n")
+    (landing / "shops_20240602.csv").write_text("name,id\nd,3\n")
+    ing.ingest(store, str(landing))
+    assert rows(raw(store, "shops"), "id", "name") == [(1, "a"), (2, "c"), (3, "d")]
 
 
 def test_undeclared_feed_is_inferred(store, landing):

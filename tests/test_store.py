@@ -198,3 +198,83 @@ def test_incremental_append_of_missing_keys_and_copies(spark, store):
     assert incremental_append(store, delivery(None, 1), "t", ["id"], since="id") is None
     assert incremental_append(store, delivery(None, 2, 2), "t", ["id"], since="id") == 2
     assert store.read("t").count() == 3
+
+
+def test_counts_come_from_the_writing_job(spark, store):
+    """Every file is listed, empty ones, too; nothing that was written is opened to count it."""
+    store.append_or_create(numbers(spark, 0, 100).repartition(5), "t")
+    store.append_or_create(numbers(spark, 0, 0), "t")
+    files = store.data_files("t")
+    got = {r.file_path.rsplit("/", 1)[1]: r.record_count for r in files.collect()}
+    true = store.read("t").groupBy("_metadata.file_name").count().collect()
+    assert {n: c for n, c in got.items() if c} == {r[0]: r[1] for r in true}
+    assert sum(got.values()) == 100 and 0 in got.values()
+    assert rows(store.snapshots("t"), "snapshot_id", "added_files", "added_records") == [(1, 5, 100), (2, 1, 0)]
+    for df in (files, store.snapshots("t"), store.history("t")):
+        assert "/data" not in plan(df)
+    assert files.filter("file_size_in_bytes > 0").count() == len(got)
+
+
+def test_files_of_a_batch_written_again(spark, store):
+    store.append_or_create(numbers(spark, 0, 3), "t")
+    for n in (50, 7):
+        store.append_or_create(numbers(spark, 0, n), "t", batch_id=2)
+    assert store.data_files("t").agg(F.sum("record_count")).first()[0] == 10
+    assert rows(store.history("t"), "snapshot_id", "total_records") == [(1, 3), (2, 10)]
+
+
+def test_a_version_published_again(spark, store):
+    for n in (4, 9):
+        store.materialize(numbers(spark, 0, n), "t")
+    store.publish("t", 1)
+    assert (store.read("t").count(), store.current_version("t")) == (4, 1)
+    assert store.data_files("t").agg(F.sum("record_count")).first()[0] == 4
+    assert rows(store.snapshots("t"), "snapshot_id", "added_records") == [(1, 4), (2, 9)]
+
+
+def test_origins_keep_their_numbers(spark, store):
+    assert store.append_or_create(numbers(spark, 0, 2), "t", origin="a/0") == 1
+    assert store.append_or_create(numbers(spark, 2, 4), "t") == 2
+    assert store.append_or_create(numbers(spark, 4, 6), "t", origin="b/0", above=7) == 8
+    assert store.append_or_create(numbers(spark, 0, 1), "t", origin="a/0") == 1
+    assert rows(store.read("t"), "id") == [(0,), (2,), (3,), (4,), (5,)]
+
+
+def rows_read(df):
+    """Rows that the scans of a frame gave out when it ran."""
+    query = df._jdf.queryExecution()
+    df._jdf.collectToPython()
+    total, todo = 0, [query.executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if "Scan" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            total += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_versions_with_checksums_are_compared_by_the_buckets_that_differ(spark, store):
+    base = numbers(spark, 0, 20_000).unionByName(numbers(spark, 0, 50)).unionByName(spark.range(3000).selectExpr("7 id", "14 v"))
+    changed = F.when(F.col("id") == 777, -1).otherwise(F.col("v"))
+    altered = base.filter("id <> 5").withColumn("v", changed).unionByName(numbers(spark, 0, 1)).unionByName(numbers(spark, 9, 10))
+    for name, buckets in (("plain", None), ("quick", 128)):
+        store.materialize(base, name, buckets)
+        store.materialize(altered, name, buckets)
+    want = rows(version_diff(store, "plain", 1, 2))
+    quick = version_diff(store, "quick", 1, 2)
+    assert rows(quick) == want and len(want) == 5
+    assert rows_read(quick) < 0.1 * 2 * 23_050 < rows_read(version_diff(store, "plain", 1, 2))
+    assert version_diff(store, "quick", 2, 2).count() == 0
+
+
+def test_checksums_of_empty_and_otherwise_shaped_versions(spark, store):
+    store.materialize(numbers(spark, 0, 10), "t", 4)
+    store.materialize(numbers(spark, 0, 0), "t", 4)
+    store.materialize(numbers(spark, 0, 10).withColumn("v", F.col("v").cast("double")), "t", 4)
+    assert version_diff(store, "t", 1, 2).count() == 10
+    assert version_diff(store, "t", 2, 1).agg(F.max("side")).first()[0] == "added"
+    assert version_diff(store, "t", 1, 3).count() == 0

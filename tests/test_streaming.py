@@ -37,8 +37,8 @@ def test_three_drops_and_restarts(store, landing, tmp_path):
     drop(landing, "orders_20240603.csv", [*LINES[9:], "x,1,2024-06-01,1.00,completed"])
     run(store, landing, tmp_path / "cp")
     assert store.read("orders").count() == 10
-    assert rows(store.read("orders").groupBy("batch_id").count()) == [(0, 3), (1, 6), (2, 1)]
-    assert rows(store.read(ing.quarantine_table("orders")), "order_id", "batch_id") == [("x", 2)]
+    assert rows(store.read("orders").groupBy("batch_id").count()) == [(1, 3), (2, 6), (3, 1)]
+    assert rows(store.read(ing.quarantine_table("orders")), "order_id", "batch_id") == [("x", 3)]
 
 
 def test_replayed_batch_replaces_itself(store, landing, tmp_path):
@@ -91,3 +91,65 @@ def test_a_bad_header_stops_nothing(store, landing, tmp_path):
     assert store.read("orders").count() == 3
     entries = ing.ledger(store).select("file_name", "status", "rows").collect()
     assert sorted(map(tuple, entries)) == [("orders_20240601.csv", "loaded", 3), ("orders_20240602.csv", "rejected", 0)]
+
+
+def test_batches_and_streams_share_one_line_of_numbers(store, landing, tmp_path):
+    drop(landing, "orders_20240601.csv", LINES[:1])
+    ing.ingest(store, str(landing))
+    for i in (1, 2):  # each stream finds the files of the others taken
+        drop(landing, f"orders_2024070{i}.csv", LINES[i : i + 1])
+        run(store, landing, tmp_path / f"checkpoint_{i}")
+    drop(landing, "orders_20240901.csv", LINES[9:])
+    ing.ingest(store, str(landing))
+    entries = ing.ledger(store).filter("status = 'loaded'")
+    assert entries.count() == len(list(landing.glob("*.csv"))) == store.read("orders").count()
+    assert entries.select("batch_id").distinct().count() == store.snapshots("orders").filter("added_records > 0").count()
+
+
+def test_a_replayed_epoch_replaces_only_its_own_rows(store, landing, tmp_path):
+    drop(landing, "orders_20240601.csv", LINES[:2])
+    ing.ingest(store, str(landing))
+    drop(landing, "orders_20240602.csv", LINES[2:5])
+    crashed = []
+
+    def crash_once(store, epoch):
+        if not crashed:
+            crashed.append(epoch)
+            raise RuntimeError("lost after writing")
+
+    with pytest.raises(Exception, match="lost after writing"):
+        run(store, landing, tmp_path / "cp", on_batch=crash_once)
+    (landing / "other").mkdir()
+    drop(landing / "other", "orders_20240603.csv", LINES[5:9])
+    ing.ingest(store, str(landing / "other"))
+    run(store, landing, tmp_path / "cp", on_batch=crash_once)
+    assert rows(store.read("orders").groupBy("batch_id").count()) == [(1, 2), (2, 3), (3, 4)]
+
+
+def test_a_half_written_micro_batch_is_not_seen(store, landing, tmp_path, monkeypatch):
+    drop(landing, "orders_20240601.csv", LINES[:2])
+    write = type(store)._write
+
+    def crash(self, df, table, kind, number, buckets=None):
+        write(self, df, table, kind, number, buckets)
+        raise RuntimeError("lost before the log")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(store), "_write", crash)
+        with pytest.raises(Exception, match="lost before the log"):
+            run(store, landing, tmp_path / "cp")
+    (landing / "other").mkdir()
+    drop(landing / "other", "orders_20240603.csv", LINES[5:9])
+    ing.ingest(store, str(landing / "other"))
+    assert rows(store.read("orders").groupBy("batch_id").count()) == [(2, 4)]
+    run(store, landing, tmp_path / "cp")
+    assert rows(store.read("orders").groupBy("batch_id").count()) == [(1, 2), (2, 4)]
+
+
+def test_stream_entries_name_their_place_in_the_archive(store, landing, tmp_path):
+    archive = tmp_path / "archive"
+    for i in range(3):
+        drop(landing, f"orders_2024060{i + 1}.csv", LINES[i : i + 1])
+        run(store, landing, tmp_path / "cp", archive=str(archive))
+    (entry,) = ing.ledger(store).filter("file_name = 'orders_20240601.csv'").collect()
+    assert (archive / entry["archived_as"]).exists()

@@ -22,6 +22,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions import archive_name, delivery_name
 from tidemill.functions.columns import PART
@@ -35,7 +36,7 @@ LEDGER_SCHEMA = (
     "status string, loaded_at timestamp, rows bigint, quarantined bigint, archived_as string, reason string"
 )
 LEDGER_COLUMNS = [part.split()[0] for part in LEDGER_SCHEMA.split(", ")]
-DELIVERY = ["path", "modified_at", "bytes"]
+DELIVERY = ["uri", "modified_at", "bytes"]
 FILE = ["path", "uri", "file_name", "feed", "modified_at", "bytes"]
 
 # What a failed read or write raises; errors inside tasks arrive unconverted.
@@ -67,14 +68,15 @@ def _note(store: Store, entries: DataFrame) -> None:
     entries.select(*LEDGER_COLUMNS).coalesce(1).write.mode("append").parquet(ledger_path(store))
 
 
-def note_outcome(store: Store, files: DataFrame, outcome: DataFrame, archive: bool) -> None:
+def note_outcome(store: Store, files: DataFrame, outcome: DataFrame, archived: Column | None) -> None:
     """Final entries of files from the outcome of each: `uri, rows, quarantined, reason`; a reason speaks against it.
 
-    A file without a single line has no outcome and counts as loaded.
+    A file without a single line has no outcome and counts as loaded. `archived` is the name that loaded files get
+    in the archive, if there is one.
     """
     at = F.current_timestamp()
     loaded = F.col("reason").isNull()
-    name = F.concat(archive_name(F.col("file_name"), at), F.regexp_extract("path", PART, 0))
+    name = F.lit(None).cast("string") if archived is None else archived
     done = files.select(*FILE, "batch_id").join(outcome, "uri", "left")
     entries = done.select(
         *FILE,
@@ -82,17 +84,23 @@ def note_outcome(store: Store, files: DataFrame, outcome: DataFrame, archive: bo
         F.when(loaded, "loaded").otherwise("rejected").alias("status"),
         at.alias("loaded_at"),
         *(F.when(loaded, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in ("rows", "quarantined")),
-        F.when(loaded & F.lit(archive), name).alias("archived_as"),
+        F.when(loaded, name).alias("archived_as"),
         "reason",
     )
     _note(store, entries)
 
 
+def stamped_name() -> Column:
+    """Name in the archive: with the time of loading; a part file keeps its own name below that."""
+    return F.concat(archive_name(F.col("file_name"), F.current_timestamp()), F.regexp_extract("path", PART, 0))
+
+
 def _begin(store: Store, listed: DataFrame, max_files: int | None) -> None:
-    """Note the files that no batch has taken as `started`."""
+    """Note the files that no batch has taken as `started`. Batches of streams and others count on the same line."""
     known = ledger(store)
     pending = listed.join(known.select(*DELIVERY), DELIVERY, "left_anti")
-    last = known.groupBy("feed").agg(F.max("batch_id").alias("last"))
+    taken = known.select("feed", F.col("batch_id").alias("last")).unionByName(store.numbers())
+    last = taken.groupBy("feed").agg(F.max("last").alias("last"))
     step = F.lit(0)
     if max_files:
         place = F.row_number().over(W.partitionBy("feed").orderBy("file_name", "path"))
@@ -135,16 +143,25 @@ def file_outcomes(checked: DataFrame) -> DataFrame:
     return counts.select("uri", "rows", "quarantined", F.when(~F.col("headed"), NO_HEADER).alias("reason"))
 
 
-def write_checked(store: Store, checked: DataFrame, outcome: DataFrame, feed: Feed, batch_id: int) -> None:
-    """Good rows to the raw table with their types, bad rows as text to the quarantine table."""
+def write_checked(
+    store: Store, checked: DataFrame, outcome: DataFrame, feed: Feed, batch_id: int | None = None, origin: str | None = None,
+    above: int | None = None,
+) -> int:
+    """Good rows to the raw table with their types, bad rows as text to the quarantine table; the number of the batch.
+
+    `outcome` has one row per file and is small beside the lines.
+    """
     aside = outcome.filter(F.col("reason").isNotNull()).select("uri")
     lines = checked.filter(~F.col(HEADER))
+    totals = outcome.filter(F.col("reason").isNull()).agg(F.sum("quarantined").alias("bad")).first()
     if not aside.isEmpty():
         lines = lines.join(aside, "uri", "left_anti")
-    store.append_or_create(typed(lines.filter(F.size(REASONS) == 0), feed.schema), feed.name, batch_id)
-    bad = lines.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, "file_name")
-    if not bad.isEmpty():
+    good = typed(lines.filter(F.size(REASONS) == 0), feed.schema)
+    batch_id = store.append_or_create(good, feed.name, batch_id, origin, above)
+    if totals["bad"]:
+        bad = lines.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, "file_name")
         store.append_or_create(bad, quarantine_table(feed.name), batch_id)
+    return batch_id
 
 
 def with_source(df: DataFrame) -> DataFrame:
@@ -152,13 +169,12 @@ def with_source(df: DataFrame) -> DataFrame:
     return df.select("*", uri.alias("uri"), delivery_name(uri).alias("file_name"))
 
 
-def _load_declared(store: Store, feed: Feed, files: DataFrame, paths: list[str], batch_id: int, archive: bool) -> None:
+def _load_declared(store: Store, feed: Feed, files: DataFrame, paths: list[str], batch_id: int, archived: Column | None) -> None:
     text = with_source(read_feed_text(store.spark, paths, feed))
     # parsed once, then read by each of the writes
-    with scratch_table(checked_rows(text, feed), "checked") as checked:
-        outcome = file_outcomes(checked)
+    with scratch_table(checked_rows(text, feed), "checked") as checked, scratch_table(file_outcomes(checked), "outcome") as outcome:
         write_checked(store, checked, outcome, feed, batch_id)
-        note_outcome(store, files, outcome, archive)
+        note_outcome(store, files, outcome, archived)
 
 
 # -- undeclared feeds --------------------------------------------------------------------------
@@ -185,50 +201,64 @@ def _common_type(types: set[str]) -> str:
     return max(types, key=NUMBERS.index) if types <= set(NUMBERS) else "string"
 
 
-def _load_inferred(store: Store, name: str, files: DataFrame, paths: dict[str, str], batch_id: int, archive: bool) -> None:
+def _load_inferred(
+    store: Store, name: str, files: DataFrame, paths: dict[str, str], batch_id: int, archived: Column | None
+) -> None:
     """A feed nobody declared: types are inferred for its first batch and kept from then on.
 
     Columns go by name, so files may order them differently; those with other columns than the table, or than
-    the first file if there is no table, are set aside.
+    the first file if there is no table, are set aside. Rows with a value that its column cannot take go to quarantine.
     """
     frames, aside = [], []
-    known = store.columns(name, before=batch_id)
+    table = store.schema(name, before=batch_id)
+    types = None if table is None else dict(table.dtypes)
     for uris in _by_header(store, paths).values():
-        df = read_feed(store.spark, [paths[uri] for uri in uris])
-        if known is None:
-            known = df.columns
+        mine = [paths[uri] for uri in uris]
+        # Types once known, values are read as text, as they stand in the file.
+        df = read_feed(store.spark, mine) if types is None else store.spark.read.option("header", True).csv(mine)
+        known = list(types or (frames[0].columns[:-1] if frames else df.columns))
         if set(df.columns) == set(known):
-            frames.append(df.select("*", F.col("_metadata.file_path").alias("uri")))
+            frames.append(df.select(*known, F.col("_metadata.file_path").alias("uri")))
         else:
             aside += [(uri, 0, 0, OTHER_COLUMNS) for uri in uris]
     outcome = store.spark.createDataFrame(aside, "uri string, rows bigint, quarantined bigint, reason string")
-    if frames:
+    if not frames:
+        note_outcome(store, files, outcome, archived)
+        return
+    if types is None:
         types = {c: _common_type({dict(df.dtypes)[c] for df in frames}) for c in known}
-        same = [df.select(*(F.col(c).cast(t).alias(c) for c, t in types.items()), "uri") for df in frames]
-        rows = reduce(DataFrame.unionByName, same)
-        store.append_or_create(rows.drop("uri"), name, batch_id)
-        counts = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("rows"))
-        blank = {"quarantined": F.lit(0).cast("bigint"), "reason": F.lit(None).cast("string")}
-        outcome = counts.withColumns(blank).unionByName(outcome)
-    note_outcome(store, files, outcome, archive)
+        frames = [df.select(*(F.col(c).cast(t).alias(c) for c, t in types.items()), "uri") for df in frames]
+    schema = T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in types.items()))
+    marked = with_reasons(reduce(DataFrame.unionByName, frames), type_rules(schema))
+    with scratch_table(marked, "inferred") as lines:
+        good, bad = lines.filter(F.size(REASONS) == 0), lines.filter(F.size(REASONS) > 0)
+        counts = lines.groupBy("uri").agg(
+            F.count_if(F.size(REASONS) == 0).alias("rows"), F.count_if(F.size(REASONS) > 0).alias("quarantined")
+        )
+        store.append_or_create(typed(good, schema), name, batch_id)
+        if not bad.isEmpty():
+            texts = bad.select(*(F.col(c).cast("string").alias(c) for c in types), REASONS, delivery_name(F.col("uri")).alias("file_name"))
+            store.append_or_create(texts, quarantine_table(name), batch_id)
+        outcome = counts.withColumn("reason", F.lit(None).cast("string")).unionByName(outcome)
+        note_outcome(store, files, outcome, archived)
 
 
 # -- runs --------------------------------------------------------------------------------------
 
 
-def _load(store: Store, feeds: Mapping[str, Feed], name: str, batch_id: int, archive: bool) -> None:
+def _load(store: Store, feeds: Mapping[str, Feed], name: str, batch_id: int, archived: Column | None) -> None:
     mine = (F.col("feed") == name) & (F.col("batch_id") == batch_id) & (F.col("status") == "started")
     files = ledger(store).filter(mine)
     paths = {r["uri"]: r["path"] for r in files.select("uri", "path", "file_name").orderBy("file_name", "path").collect()}
     if name in feeds:
-        _load_declared(store, feeds[name], files, list(paths.values()), batch_id, archive)
+        _load_declared(store, feeds[name], files, list(paths.values()), batch_id, archived)
     else:
-        _load_inferred(store, name, files, paths, batch_id, archive)
+        _load_inferred(store, name, files, paths, batch_id, archived)
 
 
 def _lasting(error: Exception) -> bool:
-    """Whether the same files would fail again: wrong columns, or a value that its column cannot take."""
-    return isinstance(error, SchemaMismatch) or "[CAST_" in str(error)
+    """Whether the same files would fail again."""
+    return isinstance(error, SchemaMismatch)
 
 
 def _fail(store: Store, name: str, batch_id: int, reason: str) -> None:
@@ -277,7 +307,7 @@ def ingest(
             if name in stopped:
                 continue
             try:
-                _load(store, feeds, name, batch_id, archive is not None)
+                _load(store, feeds, name, batch_id, stamped_name() if archive else None)
             except ERRORS as error:
                 if _lasting(error):
                     _fail(store, name, batch_id, str(error)[:1000])

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemill.functions import feed_name
 from tidemill.session import scratch_table
 from tidemill.sources.feeds import CORRUPT, Feed
-from tidemill.sources.ingest import checked_rows, file_outcomes, note_outcome, with_source, write_checked
+from tidemill.sources.ingest import DELIVERY, checked_rows, file_outcomes, ledger, note_outcome, with_source, write_checked
 from tidemill.sources.store import Store
 
 POLL = "5 minutes"
@@ -42,6 +42,26 @@ def feed_stream(
     )
 
 
+def checkpoint_id(store: Store, checkpoint: str) -> str:
+    """The identity that Spark gave the stream when it began with this checkpoint."""
+    return store.spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def checked_files(checked: DataFrame) -> DataFrame:
+    """One row per file that has lines."""
+    return checked.select(
+        F.col("uri").alias("path"), "uri", "file_name", feed_name(F.col("uri")).alias("feed"), "modified_at", "bytes"
+    ).distinct()
+
+
+def files_to_load(store: Store, files: DataFrame, batch_id: int | None) -> DataFrame:
+    """Files that no other batch has taken."""
+    known = ledger(store)
+    if batch_id is not None:
+        known = known.filter(F.col("batch_id") != batch_id)
+    return files.join(known.select(*DELIVERY), DELIVERY, "left_anti")
+
+
 def stream_ingest(
     store: Store,
     landing: str,
@@ -54,27 +74,29 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Append each micro-batch to the feed's raw table, then call `on_batch` (mart refresh, tests).
 
-    `every` is the polling interval; None takes what is there and stops, for a scheduled job. The
-    batch number is that of the micro-batch, and its partition is overwritten, so a micro-batch that
-    is run again after a failure replaces its own rows. What became of each file is in the ledger; a file
-    without the declared header is set aside there and stops nothing.
+    `every` is the polling interval; None takes what is there and stops, for a scheduled job. A micro-batch is known by
+    its checkpoint and epoch. It gets the next free number of the table once, which the table's log keeps, so other
+    streams and the batch ingest can fill the same table, and a micro-batch that is run again after a failure
+    replaces its own rows only. What became of each file is in the ledger; a file without the declared header, and
+    one that another batch has taken, adds no rows and stops nothing.
     """
 
     def write(df: DataFrame, epoch: int) -> None:
+        origin = f"{checkpoint_id(store, checkpoint)}/{epoch}"
+        mine = store.batch_of(feed.name, origin)
         # parsed once, then read by each of the writes
-        with scratch_table(checked_rows(df, feed), "checked") as checked:
-            outcome = file_outcomes(checked)
-            write_checked(store, checked, outcome, feed, epoch)
-            files = checked.select(
-                F.col("uri").alias("path"),
-                "uri",
-                "file_name",
-                feed_name(F.col("uri")).alias("feed"),
-                "modified_at",
-                "bytes",
-                F.lit(epoch).cast("bigint").alias("batch_id"),
-            )
-            note_outcome(store, files.distinct(), outcome, archive=False)
+        with (
+            scratch_table(checked_rows(df, feed), "checked") as checked,
+            scratch_table(files_to_load(store, checked_files(checked), mine), "files") as files,
+            scratch_table(file_outcomes(checked).join(files.select("uri"), "uri"), "outcome") as outcome,
+        ):
+            lines = checked.join(F.broadcast(files.select("uri")), "uri", "left_semi")
+            last = ledger(store).filter(F.col("feed") == feed.name).agg(F.max("batch_id")).first()[0]
+            batch_id = write_checked(store, lines, outcome, feed, mine, origin, last)
+            numbered = files.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            # The file source keeps the whole path below its archive folder.
+            place = F.regexp_replace("uri", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/", "") if archive else None
+            note_outcome(store, numbered, outcome, place)
         if on_batch:
             on_batch(store, epoch)
 
