@@ -1,9 +1,13 @@
+from datetime import date
+from decimal import Decimal as D
+
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tidemill.operators.compare import version_diff
 from tidemill.operators.incremental import (
+    altered_figures,
     incremental_append,
     merge_figures,
     refresh_customers,
@@ -278,3 +282,23 @@ def test_checksums_of_empty_and_otherwise_shaped_versions(spark, store):
     assert version_diff(store, "t", 1, 2).count() == 10
     assert version_diff(store, "t", 2, 1).agg(F.max("side")).first()[0] == "added"
     assert version_diff(store, "t", 1, 3).count() == 0
+
+
+def test_altered_figures_equal_figures_of_the_altered_orders(spark, store):
+    order = "order_id bigint, customer_id bigint, order_date date, amount decimal(10,2), status string"
+
+    def orders(*given):
+        return spark.createDataFrame([(i, c, date(2024, 1, d), D(a), s) for i, c, d, a, s in given], order)
+
+    keep = [(1, 1, 1, "5.00", "completed"), (2, 1, 9, "7.00", "pending"), (3, None, 2, "1.00", "completed"), (4, None, 7, "1.50", "completed")]
+    old = orders(*keep, (5, 1, 20, "3.00", "completed"), (6, 2, 4, "8.00", "completed"), (7, 3, 5, "2.00", "completed"),
+                 (7, 3, 5, "2.00", "completed"), (8, None, 1, "9.00", "completed"), (10, 5, 3, "4.00", "pending"), (None, 6, 3, "4.00", "completed"))
+    new = orders(*keep, (7, 3, 5, "2.00", "completed"), (9, 4, 6, "2.50", "completed"), (11, 1, 30, "1.00", "completed"),
+                 (10, 5, 3, "4.00", "completed"), (12, 2, 4, "1.00", "cancelled"))
+    for name, buckets in (("plain", None), ("quick", 16)):
+        store.materialize(old, name, buckets)
+        store.materialize(new, name, buckets)
+        got = altered_figures(orders_per_customer(old), new, version_diff(store, name, 1, 2))
+        assert rows(got) == rows(orders_per_customer(new))
+    got = altered_figures(orders_per_customer(old), old, version_diff(store, "plain", 1, 1))
+    assert rows(got) == rows(orders_per_customer(old))

@@ -7,6 +7,7 @@ from tidemill.functions.columns import (
     full_name,
     mean_money,
     money,
+    total_money,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "full_name",
     "mean_money",
     "money",
+    "total_money",
 ]

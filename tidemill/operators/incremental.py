@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions import mean_money, money
+from tidemill.functions import mean_money, money, total_money
 from tidemill.operators.lookup import lookup_join
 from tidemill.plans.marts import attach_customers, orders_per_customer
 from tidemill.sources.store import Store
@@ -58,7 +58,7 @@ def daily_figures(events: DataFrame) -> DataFrame:
     return events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("value").alias("n_values"),
-        money(F.sum(amount)).alias("total_value"),
+        total_money(F.sum(amount)).alias("total_value"),
         money(F.min(amount)).alias("min_value"),
         money(F.max(amount)).alias("max_value"),
     )
@@ -71,7 +71,7 @@ def merge_daily(state: DataFrame, new: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("n"),
             F.sum("n_values").alias("n_values"),
-            money(F.sum("total_value")).alias("total_value"),
+            total_money(F.sum("total_value")).alias("total_value"),
             F.min("min_value").alias("min_value"),
             F.max("max_value").alias("max_value"),
         )
@@ -120,3 +120,48 @@ def refresh_customers(figures: DataFrame, orders: DataFrame, changed: DataFrame)
     marked = lookup_join(orders, touched.withColumn("_touched", F.lit(True)), "customer_id", ["order_id"])
     fresh = orders_per_customer(marked.filter("_touched"))
     return kept.unionByName(fresh)
+
+
+def altered_figures(figures: DataFrame, orders: DataFrame, changes: DataFrame) -> DataFrame:
+    """Figures per customer after orders were changed, removed or added.
+
+    `changes` lists the rows that differ, as `version_diff` reports them; `orders` are all orders as they are now. Counts
+    and sums take what was added and give back what was removed. First and last dates only move outwards that way, so a
+    customer whose first or last date may be among what was removed, or who may have no order left, is computed
+    afresh, and only those.
+    """
+    added = F.col("side") == "added"
+    copies = F.when(added, F.col("copies")).otherwise(-F.col("copies"))
+    revenue = F.when(F.col("status") == "completed", F.col("amount")) * copies.cast("decimal(19,0)")
+    moved = changes.groupBy("customer_id").agg(
+        F.sum(F.when(F.col("order_id").isNotNull(), copies)).alias("total_orders"),
+        F.sum(revenue).cast("decimal(38,2)").alias("total_revenue"),
+        F.min(F.when(added, F.col("order_date"))).alias("first_order_date"),
+        F.max(F.when(added, F.col("order_date"))).alias("last_order_date"),
+        F.min(F.when(~added, F.col("order_date"))).alias("gone_first"),
+        F.max(F.when(~added, F.col("order_date"))).alias("gone_last"),
+        F.max(~added).alias("gone"),
+    )
+    known = figures.select(
+        "*", F.col("first_order_date").alias("known_first"), F.col("last_order_date").alias("known_last")
+    )
+    merged = known.unionByName(moved, allowMissingColumns=True).groupBy("customer_id").agg(
+        F.sum("total_orders").alias("total_orders"),
+        money(F.coalesce(F.sum("total_revenue"), F.lit(0))).alias("total_revenue"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        (
+            F.coalesce(F.max("gone"), F.lit(False))
+            & (
+                F.coalesce((F.min("gone_first") <= F.min("known_first")) | (F.max("gone_last") >= F.max("known_last")), F.lit(False))
+                | (F.coalesce(F.sum("total_orders"), F.lit(0)) <= 0)
+            )
+        ).alias("_doubt"),
+    )
+    touched = merged.filter("_doubt").select("customer_id")
+    settled = merged.filter(~F.col("_doubt")).drop("_doubt").withColumn("total_orders", F.coalesce("total_orders", F.lit(0)))
+    marked = lookup_join(orders, touched.withColumn("_touched", F.lit(True)), "customer_id", ["order_id"])
+    again = orders_per_customer(marked.filter(F.col("_touched") | F.col("customer_id").isNull()))
+    mine = touched.select(F.col("customer_id").alias("_customer"))
+    fresh = again.join(mine, F.col("customer_id").eqNullSafe(F.col("_customer")), "left_semi")
+    return settled.unionByName(fresh)

@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.operators.lookup import lookup_join
 
 # {model: {column: ["unique", "not_null", {"accepted_values": [...]}, {"relationships": (model, column)}]}}
 # A column may be a tuple of columns for `unique`.
 Spec = Mapping[str, Mapping[str | tuple[str, ...], Sequence]]
+REPORT = ("model", "column_name", "test")
 
 
 def _label(column: str | Sequence[str]) -> str:
@@ -98,28 +101,67 @@ def test_accepted_values(df: DataFrame, model: str, column: str, accepted: Seque
     return _report(failing, model, column, "accepted_values")
 
 
+def _common_type(child: DataFrame, column: str, parent: DataFrame, field: str) -> T.DataType:
+    """Type in which Spark would compare the two columns."""
+    return child.select(column).union(parent.select(field)).schema[0].dataType
+
+
 def run_tests(models: Mapping[str, DataFrame], spec: Spec) -> DataFrame:
-    """Report with one row per declared test: model, column_name, test, failures, status."""
-    reports = []
+    """Report with one row per declared test: model, column_name, test, failures, status.
+
+    All tests of all models become one job that reads each model once. A row gives one entry for each test it has a say in:
+    the test's number, whether it speaks as a parent, and its value as 128 bits of hash. Entries are counted
+    by test and value, before the shuffle first, so a value with most of the rows is one entry of each task.
+    """
+    declared: list[tuple[str, str, str]] = []
+    entries: dict[str, list[Column]] = {}
+
+    def enter(model: str, applies: Column, test: int, parent: bool, *values: Column) -> None:
+        hashes = [F.xxhash64(F.lit(i), *values) if values else F.lit(0).cast("bigint") for i in (1, 2)]
+        number = F.when(applies, F.lit(test))
+        parts = (number.alias("number"), F.lit(parent).alias("parent"), hashes[0].alias("h1"), hashes[1].alias("h2"))
+        entries.setdefault(model, []).append(F.struct(*parts))
+
     for model, columns in spec.items():
-        df = models[model]
-        not_null = [c for c, tests in columns.items() if "not_null" in tests]
-        if not_null:
-            reports.append(test_not_null(df, model, *not_null))
         for column, tests in columns.items():
+            names = [column] if isinstance(column, str) else list(column)
+            present = reduce(and_, (F.col(c).isNotNull() for c in names))
             for test in tests:
-                if test == "not_null":
-                    continue
-                if test == "unique":
-                    reports.append(test_unique(df, model, column))
-                elif "accepted_values" in test:
-                    reports.append(test_accepted_values(df, model, column, test["accepted_values"]))
-                elif "relationships" in test:
-                    parent, field = test["relationships"]
-                    reports.append(test_relationships(df, model, column, models[parent], field))
+                kind = test if isinstance(test, str) else next(iter(test))
+                number = len(declared)
+                declared.append((model, _label(column), kind))
+                if kind == "not_null":
+                    enter(model, F.col(column).isNull(), number, False)
+                elif kind == "unique":
+                    enter(model, present, number, False, *(F.col(c) for c in names))
+                elif kind == "accepted_values":
+                    enter(model, present & ~F.col(column).isin(list(test[kind])), number, False, F.col(column))
+                elif kind == "relationships":
+                    parent, field = test[kind]
+                    dtype = _common_type(models[model], column, models[parent], field)
+                    enter(model, present, number, False, F.col(column).cast(dtype))
+                    enter(parent, F.col(field).isNotNull(), number, True, F.col(field).cast(dtype))
                 else:
                     raise ValueError(f"unknown test {test!r} on {model}.{_label(column)}")
-    return reduce(DataFrame.unionByName, reports)
+    said = reduce(
+        DataFrame.unionByName, (models[m].select(F.inline(F.array(*e))).filter(F.col("number").isNotNull()) for m, e in entries.items())
+    )
+    values = said.groupBy("number", "h1", "h2").agg(F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("known"))
+    number_of = {kind: [i for i, d in enumerate(declared) if d[2] == kind] for kind in {d[2] for d in declared}}
+    is_kind = lambda kind: F.col("number").isin(number_of.get(kind, []))
+    failing = (
+        F.when(is_kind("not_null"), F.col("n"))
+        .when(is_kind("unique"), (F.col("n") > 1).cast("bigint"))
+        .when(is_kind("relationships"), F.when(F.col("known"), 0).otherwise(F.col("n")))
+        .otherwise(1)
+    )
+    counted = values.groupBy("number").agg(F.sum(failing).alias("failures"))
+    rows = F.array(*(F.struct(F.lit(i).alias("number"), *(F.lit(v).alias(n) for v, n in zip(d, REPORT))) for i, d in enumerate(declared)))
+    all_tests = models[next(iter(spec))].sparkSession.range(1).select(F.inline(rows))
+    failures = F.coalesce("failures", F.lit(0)).cast("bigint")
+    return all_tests.join(F.broadcast(counted), "number", "left").select(
+        *REPORT, failures.alias("failures"), F.when(failures == 0, "pass").otherwise("fail").alias("status")
+    )
 
 
 def failing_rows(models: Mapping[str, DataFrame], model: str, column: str, test, spread_by: Sequence[str]) -> DataFrame:

@@ -32,8 +32,13 @@ MART_TESTS: Spec = {
     "customer_orders": {
         "customer_id": ["unique", "not_null", {"relationships": ("stg_customers", "customer_id")}],
         "customer_tier": [{"accepted_values": list(TIERS)}],
-    }
+    },
+    "order_products": {
+        "order_id": ["not_null", {"relationships": ("stg_orders", "order_id")}],
+        "product_name": ["not_null"],
+    },
 }
+TESTS: Spec = {**STAGING_TESTS, **PRODUCT_TESTS, **MART_TESTS}
 
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_customers": ("customers", stg_customers),
@@ -63,7 +68,7 @@ def seed(store: Store, folder: str, names: Sequence[str] = ("customers", "orders
         load_seed(store, f"{folder}/{name}.csv", name, FEEDS[name].schema)
 
 
-def raw_sources(store: Store, names: Sequence[str] = ("customers", "orders", "products")) -> dict[str, DataFrame]:
+def raw_sources(store: Store, names: Sequence[str] = tuple(FEEDS)) -> dict[str, DataFrame]:
     """Raw tables that exist, without the batch numbers."""
     found = {name: store.read_if_exists(name) for name in names}
     return {name: df.drop("batch_id") for name, df in found.items() if df is not None}
@@ -80,7 +85,7 @@ def run_build(
     A mart is built as a new version and published only if its tests pass. Nothing downstream of a
     model with failing tests is built; its tests are reported as skipped.
     """
-    tests = {**STAGING_TESTS, **MART_TESTS} if tests is None else tests
+    tests = TESTS if tests is None else tests
     models = {**sources, **staging_models(sources)}
     reports: list[DataFrame] = []
     failed: set[str] = set()

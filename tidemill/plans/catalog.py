@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from itertools import islice
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,10 @@ from tidemill.operators import quality
 from tidemill.operators.profile import arrow_profile, table_inventory, table_profile
 from tidemill.operators.validate import split_valid, type_rules
 from tidemill.plans import marts, reports, staging
-from tidemill.plans.build import MART_TESTS, STAGING_TESTS, publish_if_passing, run_build
+from tidemill.plans.build import MART_TESTS, PRODUCT_TESTS, STAGING_TESTS, TESTS, publish_if_passing, raw_sources, run_build
 from tidemill.session import scratch_dir
 from tidemill.sources import tables
-from tidemill.sources.feeds import ORDERS, PRODUCTS, Feed, load_seed, read_feed
+from tidemill.sources.feeds import ORDERS, PRODUCTS, Feed, external_table, load_seed, read_feed
 from tidemill.sources.ingest import ingest, ledger, quarantine_table
 from tidemill.sources.store import Store
 from tidemill.streaming.ingest import stream_ingest
@@ -30,6 +31,9 @@ from tidemill.streaming.ingest import stream_ingest
 Query = Callable[[SparkSession, str], DataFrame]
 URGENT = "1-URGENT"
 EVENT_TYPES = ("view", "signup", "error", "click", "purchase")
+PART_TYPES = ("ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL", "STANDARD")
+# Buckets of rows with a checksum each, for versions that are compared.
+BUCKETS = 16
 
 
 # -- models ------------------------------------------------------------------------------------
@@ -318,6 +322,12 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_feed(spark, _csv_products(spark, folder), PRODUCTS.schema)
 
 
+def external_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Products as a catalog table over CSV files where they lie."""
+    path = _csv_products(spark, folder)
+    return external_table(spark, f"products_{path.rsplit('-', 1)[1]}", path, PRODUCTS.columns)
+
+
 def seed_load(spark: SparkSession, folder: str) -> DataFrame:
     """Products loaded as a seed, twice, with one column type overridden."""
     store, path = _store(spark), _csv_products(spark, folder)
@@ -381,17 +391,26 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return clean.unionByName(bad.withColumn("reasons", F.array_join("reasons", "; "))).select("order_id", "reasons")
 
 
-def _landing(spark: SparkSession, folder: str) -> str:
-    """A landing zone with the dirty orders, one delivery of part files per order status and one of the rest."""
-    landing, orders = scratch_dir(spark, "landing"), _dirty_orders(spark, folder)
-    known = ("F", "O", "P")
+def _deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The dirty orders, one delivery per order status and one of the rest."""
+    orders, known = _dirty_orders(spark, folder), ("F", "O", "P")
     rest = ~F.coalesce(F.col("status").isin(*known), F.lit(False))
     parts = [F.col("status") == status for status in known]
     if not orders.filter(rest).isEmpty():
         parts.append(rest)
-    for day, part in enumerate(parts, start=1):
-        delivery = orders.filter(part)
-        delivery.write.option("header", True).csv(f"{landing}/orders_2024010{day}.csv")
+    return [orders.filter(part) for part in parts]
+
+
+def _deliver(landing: str, day: int, delivery: DataFrame) -> None:
+    """As part files in a folder."""
+    delivery.write.option("header", True).csv(f"{landing}/orders_2024010{day}.csv")
+
+
+def _landing(spark: SparkSession, folder: str) -> str:
+    """A landing zone with all deliveries."""
+    landing = scratch_dir(spark, "landing")
+    for day, delivery in enumerate(_deliveries(spark, folder), start=1):
+        _deliver(landing, day, delivery)
     return landing
 
 
@@ -431,12 +450,56 @@ def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("orders").drop("batch_id")
 
 
+def landing_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries by batch, by a stream whose micro-batch is lost and run again, by a second stream, and by batch again."""
+    store, landing = _store(spark), scratch_dir(spark, "landing")
+    feeds, checkpoint = {DIRTY_FEED.name: DIRTY_FEED}, scratch_dir(spark, "checkpoint")
+    first, second, *others = _deliveries(spark, folder)
+    _deliver(landing, 1, first)
+    ingest(store, landing, feeds)
+    _deliver(landing, 2, second)
+
+    def lost(store: Store, epoch: int) -> None:
+        raise RuntimeError("lost after writing")
+
+    try:
+        stream_ingest(store, landing, DIRTY_FEED, checkpoint, every=None, on_batch=lost).awaitTermination()
+    except StreamingQueryException:
+        pass
+    for day, delivery in enumerate(others, start=3):
+        _deliver(landing, day, delivery)
+    ingest(store, landing, feeds)
+    stream_ingest(store, landing, DIRTY_FEED, checkpoint, every=None).awaitTermination()
+    stream_ingest(store, landing, DIRTY_FEED, scratch_dir(spark, "checkpoint"), every=None).awaitTermination()
+    return store.read("orders").drop("batch_id")
+
+
+def stream_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart that readers see after two micro-batches, each with a build: the second brings an order of nobody."""
+    store, landing = _store(spark), scratch_dir(spark, "landing")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    store.materialize(tables.customers(spark, folder), "customers")
+    first, second, *_ = _deliveries(spark, folder)
+
+    def build(store: Store, epoch: int) -> None:
+        run_build(store, raw_sources(store, ("customers", "orders")))
+
+    nobody = second.limit(1).withColumns({"order_id": F.lit("-1"), "customer_id": F.lit("-1")})
+    for day, delivery in ((1, first), (2, second.unionByName(nobody))):
+        _deliver(landing, day, delivery)
+        stream_ingest(store, landing, DIRTY_FEED, checkpoint, every=None, on_batch=build).awaitTermination()
+    return store.read("customer_orders")
+
+
 # -- tables with history -----------------------------------------------------------------------
 
 
 def _weeks(events: DataFrame) -> Iterator[DataFrame]:
     """Events week by week, counted from the first day; the bounds reach the Parquet reader."""
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:  # one batch without rows
+        yield events
+        return
     start = datetime(first.year, first.month, first.day)
     while start <= last:
         end = start + timedelta(days=7)
@@ -483,7 +546,28 @@ def store_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def data_files(spark: SparkSession, folder: str) -> DataFrame:
-    return _weekly(spark, folder).data_files("events")
+    """Rows of each batch as the list of its files tells them, and whether all files have a size."""
+    files = _weekly(spark, folder).data_files("events")
+    batch = F.regexp_extract("file_path", r"/batch_id=(\d+)/", 1).cast("bigint")
+    return files.groupBy(batch.alias("batch_id")).agg(
+        F.sum("record_count").alias("record_count"), F.min(F.col("file_size_in_bytes") > 0).alias("sized")
+    )
+
+
+def store_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Products appended in two batches to a store of another file format, cheap ones first."""
+    store, products = Store(spark, scratch_dir(spark, "store"), format="orc"), stg_products(spark, folder)
+    for part in (F.col("price") < 1200, F.col("price") >= 1200):
+        store.append_or_create(products.filter(part), "products")
+    return store.read("products")
+
+
+def store_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Properties of a table that was rebuilt twice; its place differs from run to run."""
+    store = _store(spark)
+    for _ in range(2):
+        store.materialize(stg_products(spark, folder), "products")
+    return store.properties("products").filter(F.col("key") != "location")
 
 
 def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -493,6 +577,8 @@ def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
     second = later[0] if later else first
     inc.incremental_append(store, first.unionByName(second) if later else first, "events", ["event_id"])
     from_second = second.agg(F.min("ts")).first()[0]
+    if from_second is None:
+        return store.read("events").drop("batch_id")
     late = events.filter(F.col("ts") >= F.lit(from_second).cast(events.schema["ts"].dataType))
     inc.incremental_append(store, late, "events", ["event_id"], since="ts")
     return store.read("events").drop("batch_id")
@@ -509,10 +595,24 @@ def incremental_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def _years(orders: DataFrame) -> Iterator[DataFrame]:
     first, last = orders.agg(F.min(F.year("order_date")), F.max(F.year("order_date"))).first()
+    if first is None:
+        yield orders
+        return
     for year in range(first, last + 1):
         yield _between(orders, "order_date", datetime(year, 1, 1), datetime(year + 1, 1, 1))
 
 
+def incremental_altered_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer mart after orders were changed, removed, doubled and added late, from the rows that differ."""
+    store = _store(spark)
+    older = store.materialize(stg_orders(spark, folder), "stg_orders", buckets=BUCKETS)
+    store.materialize(marts.orders_per_customer(store.read("stg_orders")), "order_figures")
+    newer = store.materialize(_altered_orders(spark, folder), "stg_orders", buckets=BUCKETS)
+    changes = cmp.version_diff(store, "stg_orders", older, newer)
+    store.materialize(inc.altered_figures(store.read("order_figures"), store.read("stg_orders"), changes), "order_figures")
+    return inc.mart_from_figures(store, stg_customers(spark, folder), "order_figures")
+
+
 def incremental_customer_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The customer mart after one batch of orders per year."""
     store = _store(spark)
@@ -529,6 +629,16 @@ def version_diff(spark: SparkSession, folder: str) -> DataFrame:
     return cmp.version_diff(store, "customer_orders", older, newer)
 
 
+def version_diff_few(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that differ between two nearly equal versions of the orders; only buckets with other checksums are read."""
+    store, orders = _store(spark), stg_orders(spark, folder)
+    raised = F.when(F.col("amount") >= 499000, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(10,2)")
+    older = store.materialize(orders, "stg_orders", buckets=BUCKETS)
+    doubled = orders.filter(F.col("amount") < 1000)
+    newer = store.materialize(orders.withColumn("amount", raised).unionByName(doubled), "stg_orders", buckets=BUCKETS)
+    return cmp.version_diff(store, "stg_orders", older, newer)
+
+
 def published_mart(spark: SparkSession, folder: str) -> DataFrame:
     """The mart as readers see it after a good candidate and one that fails its tests."""
     store = _store(spark)
@@ -547,7 +657,8 @@ def build_report(spark: SparkSession, folder: str) -> DataFrame:
         "products": tables.products(spark, folder),
         "order_items": tables.order_items(spark, folder),
     }
-    return run_build(_store(spark), sources)
+    products = {**PRODUCT_TESTS["stg_products"], "category": ["not_null", {"accepted_values": list(PART_TYPES)}]}
+    return run_build(_store(spark), sources, tests={**TESTS, "stg_products": products})
 
 
 # -- inspection --------------------------------------------------------------------------------
@@ -563,7 +674,9 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def arrow_size(spark: SparkSession, folder: str) -> DataFrame:
-    return arrow_profile(customer_orders(spark, folder))
+    """Rows and columns of the mart as Arrow, and whether it takes at least a byte for each value."""
+    got = arrow_profile(customer_orders(spark, folder))
+    return got.select("rows", "columns", (F.col("bytes") >= F.col("rows") * F.col("columns")).alias("measured"))
 
 
 QUERIES: dict[str, Query] = {
@@ -606,6 +719,7 @@ QUERIES: dict[str, Query] = {
     "compare_pairs": compare_pairs,
     "except_all_diff": except_all_diff,
     "csv_scan": csv_scan,
+    "external_scan": external_scan,
     "seed_load": seed_load,
     "feed_routing": feed_routing,
     "archive_name": archive_names,
@@ -614,17 +728,23 @@ QUERIES: dict[str, Query] = {
     "landing_quarantine": landing_quarantine,
     "landing_ledger": landing_ledger,
     "landing_stream": landing_stream,
+    "landing_mixed": landing_mixed,
+    "stream_rebuild": stream_rebuild,
     "ingest_append": ingest_append,
     "incremental_append": incremental_append,
     "incremental_daily": incremental_daily,
     "incremental_customer_orders": incremental_customer_orders,
+    "incremental_altered_orders": incremental_altered_orders,
     "read_as_of": read_as_of,
     "version_diff": version_diff,
+    "version_diff_few": version_diff_few,
     "published_mart": published_mart,
     "build_report": build_report,
     "snapshots": snapshots,
     "history": history,
     "store_inventory": store_inventory,
+    "store_formats": store_formats,
+    "store_properties": store_properties,
     "table_profile": profile_orders,
     "table_inventory": inventory,
     "data_files": data_files,

@@ -76,7 +76,7 @@ TIER = """
 SELECT customer_tier,
        COUNT(*) AS customer_count,
        CAST(SUM(total_orders) AS BIGINT) AS total_orders,
-       CAST(SUM(total_revenue) AS DECIMAL(18,2)) AS total_revenue,
+       CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue,
        {mean} AS avg_revenue
 FROM {source}
 GROUP BY customer_tier"""
@@ -118,6 +118,7 @@ def _unaccepted(table: str, column: str, accepted: str) -> str:
 
 SOME_CUSTOMERS = "some_customers AS (SELECT c_custkey AS customer_id FROM customer WHERE c_mktsegment <> 'MACHINERY')"
 EVENT_TYPES = "'view', 'signup', 'error', 'click', 'purchase'"
+PART_TYPES = "'ECONOMY', 'MEDIUM', 'PROMO', 'LARGE', 'SMALL', 'STANDARD'"
 EVENT_TYPES_BUT_ERROR = "'view', 'signup', 'click', 'purchase'"
 
 STAGING_REPORT = [
@@ -198,12 +199,30 @@ SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS cust
        CAST(order_date AS DATE) AS order_date, CAST(amount AS DECIMAL(10,2)) AS amount, status
 FROM dirty WHERE reasons = ''"""
 
-IDENTICAL = """
-SELECT '{left}' AS left_name, '{right}' AS right_name, TRUE AS identical,
-       (SELECT COUNT(*) FROM customer) AS matched,
-       CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only,
-       CAST(0 AS BIGINT) AS duplicate_keys, '' AS changed_columns,
-       '' AS left_only_columns, '' AS right_only_columns, '' AS retyped_columns"""
+# The mart by another way: figures first, then the join.
+SECOND = """
+second AS (
+    SELECT c.customer_id, c.first_name, c.last_name, c.email,
+           COALESCE(f.n, 0) AS total_orders, CAST(COALESCE(f.revenue, 0) AS DECIMAL(18,2)) AS total_revenue,
+           f.first_order_date, f.last_order_date,
+           CASE WHEN f.n >= 3 THEN 'high' WHEN f.n >= 2 THEN 'medium' ELSE 'low' END AS customer_tier
+    FROM customers c LEFT JOIN (
+        SELECT customer_id, COUNT(order_id) AS n, SUM(CASE WHEN status = 'completed' THEN amount END) AS revenue,
+               MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date
+        FROM stg GROUP BY customer_id
+    ) AS f ON f.customer_id = c.customer_id
+)"""
+
+# A report on two frames, computed from both.
+COMPARISON = """
+SELECT '{left}' AS left_name, '{right}' AS right_name,
+       COUNT(*) FILTER (WHERE l.customer_id IS NULL OR r.customer_id IS NULL OR {differs}) = 0 AS identical,
+       COUNT(*) FILTER (WHERE l.customer_id = r.customer_id AND NOT ({differs})) AS matched,
+       COUNT(*) FILTER (WHERE l.customer_id = r.customer_id AND ({differs})) AS changed,
+       COUNT(*) FILTER (WHERE r.customer_id IS NULL) AS left_only, COUNT(*) FILTER (WHERE l.customer_id IS NULL) AS right_only,
+       CAST(COUNT(*) - COUNT(DISTINCT COALESCE(l.customer_id, r.customer_id)) AS BIGINT) AS duplicate_keys,
+       '' AS changed_columns, '' AS left_only_columns, '' AS right_only_columns, '' AS retyped_columns
+FROM {a} AS l FULL OUTER JOIN {b} AS r ON l.customer_id = r.customer_id"""
 
 MULTISET = """
 SELECT {columns}, CASE WHEN net > 0 THEN '{left_side}' ELSE '{right_side}' END AS side, CAST(ABS(net) AS BIGINT) AS copies
@@ -220,6 +239,8 @@ MART_COLUMNS = (
     "first_order_date, last_order_date, customer_tier"
 )
 
+DIFFERS = " OR ".join(f"l.{c.strip()} IS DISTINCT FROM r.{c.strip()}" for c in MART_COLUMNS.split(","))
+
 PROFILE_COLUMNS = [
     ("order_id", "bigint"),
     ("customer_id", "bigint"),
@@ -257,6 +278,23 @@ MART_REPORT = [
     ("customer_orders", "customer_tier", "accepted_values", _unaccepted("mart", "customer_tier", "'high', 'medium', 'low'")),
 ]
 
+PRODUCT_REPORT = [
+    ("stg_products", "product_id", "unique", _twice("products", "product_id")),
+    ("stg_products", "product_id", "not_null", _nulls("products", "product_id")),
+    ("stg_products", "price", "not_null", _nulls("products", "price")),
+    ("stg_products", "category", "not_null", _nulls("products", "category")),
+    ("stg_products", "category", "accepted_values", _unaccepted("products", "category", PART_TYPES)),
+]
+
+LINE_REPORT = [
+    ("order_products", "order_id", "not_null", _nulls("items", "order_id")),
+    ("order_products", "order_id", "relationships", _orphans("items", "order_id", "stg", "order_id")),
+    (
+        "order_products", "product_name", "not_null",
+        "SELECT COUNT(*) FROM items AS i LEFT JOIN products AS p ON i.product_id = p.product_id WHERE p.name IS NULL",
+    ),
+]
+
 # -- queries -----------------------------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -300,7 +338,7 @@ SELECT customer_tier, customer_id, total_revenue,
        RANK() OVER (PARTITION BY customer_tier ORDER BY total_revenue DESC) AS rank,
        DENSE_RANK() OVER (PARTITION BY customer_tier ORDER BY total_revenue DESC) AS dense_rank,
        CAST(SUM(total_revenue) OVER (PARTITION BY customer_tier ORDER BY total_revenue DESC, customer_id
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS running_revenue
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS running_revenue
 FROM mart""",
     "running_revenue": f"""
 WITH {ALL_ORDERS},
@@ -311,8 +349,8 @@ daily AS (
 )
 SELECT order_date, revenue,
        LAG(revenue) OVER (ORDER BY order_date) AS previous_revenue,
-       CAST(SUM(revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS week_revenue,
-       CAST(SUM(revenue) OVER (ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2))
+       CAST(SUM(revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS week_revenue,
+       CAST(SUM(revenue) OVER (ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2))
            AS running_revenue
 FROM daily""",
     "test_unique_pass": f"WITH {ALL_ORDERS} {_report([STAGING_REPORT[2]])}",
@@ -352,7 +390,7 @@ WITH {ITEMS}
 SELECT i.* FROM items i
 JOIN (SELECT order_id, line_number FROM items GROUP BY order_id, line_number HAVING COUNT(*) > 1) AS d
   ON i.order_id = d.order_id AND i.line_number = d.line_number""",
-    "compare_equal": IDENTICAL.format(left="computed", right="stored"),
+    "compare_equal": f"{MART},{SECOND} " + COMPARISON.format(left="computed", right="stored", a="mart", b="second", differs=DIFFERS),
     "compare_diff": f"""
 WITH {ALL_ORDERS},{ALTERED},{COMPARED}
 SELECT 'orders' AS left_name, 'altered' AS right_name, FALSE AS identical,
@@ -365,12 +403,15 @@ SELECT 'orders' AS left_name, 'altered' AS right_name, FALSE AS identical,
        '' AS left_only_columns, 'note' AS right_only_columns, '' AS retyped_columns
 FROM compared""",
     "compare_diff_rows": f"WITH {ALL_ORDERS},{ALTERED},{COMPARED} SELECT * FROM compared WHERE status <> 'matched'",
-    "compare_pairs": " UNION ALL ".join(
-        IDENTICAL.format(left=a, right=b) for a, b in (("computed", "stored"), ("computed", "sql"), ("stored", "sql"))
+    "compare_pairs": f"{MART},{SECOND} "
+    + " UNION ALL ".join(
+        COMPARISON.format(left=left, right=right, a=a, b=b, differs=DIFFERS)
+        for left, right, a, b in (("computed", "stored", "mart", "second"), ("computed", "sql", "mart", "second"), ("stored", "sql", "second", "mart"))
     ),
     "except_all_diff": f"WITH {ALL_ORDERS},{ALTERED} "
     + MULTISET.format(columns=ORDER_COLUMNS, left="stg", right="altered", left_side="left", right_side="right"),
     "csv_scan": f"WITH {PRODUCTS} SELECT * FROM products",
+    "external_scan": f"WITH {PRODUCTS} SELECT * FROM products",
     "seed_load": f"""
 WITH {PRODUCTS}
 SELECT product_id, name, category, CAST(price AS DECIMAL(12,3)) AS price, created_at FROM products""",
@@ -404,6 +445,8 @@ SELECT 'orders' AS feed, file_name, 'loaded' AS status,
        COUNT(*) FILTER (WHERE reasons = '') AS rows, COUNT(*) FILTER (WHERE reasons <> '') AS quarantined
 FROM dirty GROUP BY file_name""",
     "landing_stream": f"WITH {DIRTY} {CLEAN}",
+    "landing_mixed": f"WITH {DIRTY} {CLEAN}",
+    "stream_rebuild": f"WITH {CUSTOMERS},{DIRTY},first AS ({CLEAN} AND status = 'F'),{_mart('mart', 'first')} SELECT * FROM mart",
     "ingest_append": f"WITH {DAYS} SELECT event_id, ts, user_id, event_type, value, props, batch_id FROM weekly",
     "incremental_append": "SELECT * FROM events",
     "incremental_daily": f"""
@@ -411,19 +454,28 @@ SELECT day, event_type, n, total_value, min_value, max_value,
        {MEAN.format(total="total_value", n="nullif(n_values, 0)")} AS avg_value
 FROM (
     SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n, COUNT(value) AS n_values,
-           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_value,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value,
            MIN(CAST(value AS DECIMAL(18,2))) AS min_value,
            MAX(CAST(value AS DECIMAL(18,2))) AS max_value
     FROM events GROUP BY 1, 2
 ) AS d""",
     "incremental_customer_orders": f"{MART} SELECT * FROM mart",
+    "incremental_altered_orders": f"WITH {CUSTOMERS},{ALL_ORDERS},{ALTERED},{_mart('mart', 'altered')} SELECT * FROM mart",
     "read_as_of": f"""
 WITH {DAYS} SELECT event_id, ts, user_id, event_type, value, props, batch_id FROM weekly WHERE batch_id <= 2""",
     "version_diff": f"WITH {CUSTOMERS},{ALL_ORDERS},{URGENT_ORDERS.replace('stg AS', 'urgent AS')},"
     f"{_mart('newer')},{_mart('older', 'urgent')} "
     + MULTISET.format(columns=MART_COLUMNS, left="older", right="newer", left_side="removed", right_side="added"),
+    "version_diff_few": f"""
+WITH {ALL_ORDERS},
+newer AS (
+    SELECT order_id, customer_id, order_date,
+           CAST(CASE WHEN amount >= 499000 THEN amount + 1 ELSE amount END AS DECIMAL(10,2)) AS amount, status FROM stg
+    UNION ALL SELECT order_id, customer_id, order_date, amount, status FROM stg WHERE amount < 1000
+) """
+    + MULTISET.format(columns=ORDER_COLUMNS, left="stg", right="newer", left_side="removed", right_side="added"),
     "published_mart": f"{MART} SELECT * FROM mart",
-    "build_report": MART + _report([*STAGING_REPORT, *MART_REPORT]),
+    "build_report": f"{MART},{ITEMS},{PRODUCTS} " + _report([*STAGING_REPORT, *PRODUCT_REPORT, *MART_REPORT, *LINE_REPORT]),
     "snapshots": f"""
 WITH {DAYS}
 SELECT batch_id AS snapshot_id, 'append' AS operation, COUNT(*) AS added_records FROM weekly GROUP BY batch_id""",
@@ -438,6 +490,12 @@ WITH {DAYS}
 SELECT 'events' AS table_name, 'batch_id' AS kind, COUNT(DISTINCT batch_id) AS snapshot_count, MAX(batch_id) AS current_snapshot
 FROM weekly
 UNION ALL SELECT 'products', 'version', CAST(2 AS BIGINT), CAST(2 AS BIGINT)""",
+    "store_formats": f"""
+WITH {PRODUCTS} SELECT *, CAST(CASE WHEN price < 1200 THEN 1 ELSE 2 END AS BIGINT) AS batch_id FROM products""",
+    "store_properties": "SELECT * FROM (VALUES ('format', 'parquet'), ('kind', 'version'), ('current_snapshot', '2')) AS v(key, value)",
+    "data_files": f"""
+WITH {DAYS} SELECT batch_id, COUNT(*) AS record_count, TRUE AS sized FROM weekly GROUP BY batch_id""",
+    "arrow_profile": f"{MART} SELECT COUNT(*) AS rows, CAST(9 AS BIGINT) AS columns, TRUE AS measured FROM mart",
     "table_profile": f"WITH {ALL_ORDERS} "
     + "\nUNION ALL\n".join(
         f"""

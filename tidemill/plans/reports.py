@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions import full_name, mean_money, money
+from tidemill.functions import full_name, mean_money, money, total_money
 from tidemill.operators.ordering import ordered_windows
 
 # Order ids per list in order_lists; a list holds at most this many ids, however many a customer has.
@@ -20,7 +20,7 @@ def tier_summary(mart: DataFrame, drop_null_keys: bool = False) -> DataFrame:
     return mart.groupBy("customer_tier").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("total_orders").alias("total_orders"),
-        money(F.round(F.sum("total_revenue"), 2)).alias("total_revenue"),
+        total_money(F.sum("total_revenue")).alias("total_revenue"),
         mean_money(F.sum("total_revenue"), F.count("total_revenue")).alias("avg_revenue"),
     )
 
@@ -65,7 +65,7 @@ def rank_within_tier(mart: DataFrame) -> DataFrame:
         "row_number",
         "rank",
         "dense_rank",
-        money(F.col("running_total_revenue")).alias("running_revenue"),
+        total_money(F.col("running_total_revenue")).alias("running_revenue"),
     )
 
 
@@ -81,8 +81,8 @@ def running_revenue(orders: DataFrame) -> DataFrame:
         "order_date",
         "revenue",
         F.lag("revenue").over(day).alias("previous_revenue"),
-        money(F.sum("revenue").over(day.rowsBetween(-6, 0))).alias("week_revenue"),
-        money(F.sum("revenue").over(day.rowsBetween(W.unboundedPreceding, 0))).alias("running_revenue"),
+        total_money(F.sum("revenue").over(day.rowsBetween(-6, 0))).alias("week_revenue"),
+        total_money(F.sum("revenue").over(day.rowsBetween(W.unboundedPreceding, 0))).alias("running_revenue"),
     )
 
 

@@ -48,8 +48,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other call gets."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other call gets. It goes when the application ends."""
+    home = f"{scratch_root(spark)}/scratch-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(home)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.mkdirs(path):
+        files.deleteOnExit(path)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager

@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -384,12 +383,9 @@ class Store:
 
     def _logs(self) -> DataFrame | None:
         """Logs of all tables, with the table's name."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/*/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not _exists(self.spark, f"{self.root}/*/log"):
             return None
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/*/log")
         return log.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/log/[^/]+$", 1).alias("table_name"))
 
     def inventory(self) -> DataFrame:
@@ -415,14 +411,18 @@ class Store:
         return self.spark.createDataFrame(list(entries.items()), "key string, value string")
 
 
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any that a pattern names, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet folder, or no rows if nothing was written there yet."""
-    try:
+    if _exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def last_entries(log: DataFrame, keys: list[str], at: str | Column) -> DataFrame:
