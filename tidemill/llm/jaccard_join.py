@@ -7,7 +7,9 @@ and whole blocks of a list are skipped once the places add up to too much. Equal
 In long lists no set is compared with all others: a list's first set is compared with each member,
 and from its answers follow those of the members: members that it joins need no test among
 themselves, and the overlap of two others follows from what each has lost and gained against it.
-Candidates must pass an upper bound from a 64-bucket histogram before whole sets are compared.
+Candidates must pass an upper bound from histograms, which have a bucket for four to eight shingles, before whole sets are
+compared, and sets that other links have joined meanwhile are not compared any more: of the pairs that stay open, each set
+first meets one partner, then what is left.
 
 Defined results: a NULL text, a text without words and a document without id link with nothing (a
 component_id is the own id then, NULL without one). Fewer words than `k` form one shingle. Repeated
@@ -42,7 +44,11 @@ SHORT = 32
 BLOCK = 1000
 # Differences to a pivot up to this size are kept; members with larger ones are compared as whole sets.
 DIFFERENCES = 4096
-BUCKETS = 64
+# Buckets of the histogram of a set: from 64 on, one for at least four shingles. Differences have a smaller one.
+BUCKETS, MOST_BUCKETS, FULL = 64, 1 << 14, 255
+DIFFERENCE_BUCKETS = 32
+# Pairs whose histograms are looked at together.
+PAIRS_AT_ONCE = 20_000
 WORD_CACHE = 100_000
 # Sets that a task remembers to have described; it describes a forgotten one again.
 SEEN = 100_000
@@ -102,6 +108,25 @@ def linked(x, y, overlap, percent: int):
     return 100 * overlap >= percent * (x + y - overlap)
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many shingles fall into each bucket; a full bucket holds FULL or more."""
+    size = min(MOST_BUCKETS, 1 << max(6, (len(s) // 4).bit_length() - 1))
+    return np.minimum(np.bincount(s & (size - 1), minlength=size), FULL).astype(np.uint8).tobytes()
+
+
+def folded(raw: bytes, size: int) -> np.ndarray:
+    """A histogram brought to fewer buckets."""
+    return np.frombuffer(raw, np.uint8).reshape(-1, size).sum(0, dtype=np.int64)
+
+
+def most_common(a: bytes, b: bytes) -> int | None:
+    """Upper bound of the overlap of two sets, None if a full bucket hides it."""
+    if max(a) == FULL or max(b) == FULL:
+        return None
+    size = min(len(a), len(b))
+    return int(np.minimum(folded(a, size), folded(b, size)).sum())
+
+
 # -- sets --------------------------------------------------------------------------------------
 
 SETS = "doc_id bigint, n int, sid bigint, low array<bigint>, hist binary"
@@ -134,7 +159,7 @@ def _describe(batches: Iterator[pa.RecordBatch], k: int, percent: int, window: i
                 seen.clear()
             seen.add(key)
             low.append(s[: window * prefix_length(len(s), percent) // 4 + 2])
-            hist.append(np.minimum(np.bincount(s & (BUCKETS - 1), minlength=BUCKETS), 65535).astype(np.uint16).tobytes())
+            hist.append(histogram(s))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), _list_array(low), pa.array(hist, pa.binary())],
             names=["doc_id", "n", "sid", "low", "hist"],
@@ -340,15 +365,15 @@ KEYS = ["xs", "xn", "ys", "yn"]
 KEY = "xs bigint, xn int, ys bigint, yn int"
 
 
-def _bounded(batches, percent: int):
+def _bounded(batches):
     """Adds the overlap that the histograms allow."""
     for batch in batches:
-        xs, ys = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("xh", "yh"))
-        most = np.minimum(xs, ys).sum(1, dtype=np.int64)
-        xn, yn = (batch.column(c).to_numpy().astype(np.int64) for c in ("xn", "yn"))
-        full = (xs == 65535).any(1) | (ys == 65535).any(1)  # a bucket that may have run over bounds nothing
-        most = np.where(full, np.minimum(xn, yn), most)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEYS), batch.column("star"), pa.array(most)], names=[*KEYS, "star", "most"])
+        sizes = zip(batch.column("xn").to_pylist(), batch.column("yn").to_pylist())
+        most = [
+            min(xn, yn) if (bound := most_common(a, b)) is None else bound
+            for (xn, yn), a, b in zip(sizes, batch.column("xh").to_pylist(), batch.column("yh").to_pylist())
+        ]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in KEYS), batch.column("star"), pa.array(most, pa.int64())], names=[*KEYS, "star", "most"])
 
 
 def _compared(batches):
@@ -374,38 +399,52 @@ def _side(df: DataFrame, side: str, **columns: str) -> DataFrame:
     return df.select(F.col("sid").alias(f"{side}s"), F.col("n").alias(f"{side}n"), *(F.col(c).alias(name) for name, c in columns.items()))
 
 
-def _tested(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int, label: str) -> DataFrame:
-    """`xs, xn, ys, yn, star, up, known, only_x, only_y, linked` of distinct pairs `xs, xn, ys, yn, star`.
+def _sized() -> tuple:
+    return F.col("xn").cast("bigint"), F.col("yn").cast("bigint")
 
-    `up` bounds the overlap. Where the sets were compared (`known`), it is the overlap, and `only_x` and `only_y` are
-    there if one set is a pivot (`star`) and the differences are few.
-    """
-    sized = (F.col("xn").cast("bigint"), F.col("yn").cast("bigint"))
-    bounded = written(
-        pairs.join(_side(classes, "x", xh="hist", xd="doc_id"), ["xs", "xn"])
-        .join(_side(classes, "y", yh="hist", yd="doc_id"), ["ys", "yn"])
+
+def _bounds(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+    """`xs, xn, ys, yn, star, most` of distinct pairs; `most` bounds the overlap."""
+    return written(
+        pairs.join(_side(classes, "x", xh="hist"), ["xs", "xn"])
+        .join(_side(classes, "y", yh="hist"), ["ys", "yn"])
         .select(*KEYS, "star", "xh", "yh")
-        .mapInArrow(partial(_bounded, percent=percent), f"{KEY}, star boolean, most bigint"),
+        .mapInArrow(_bounded, f"{KEY}, star boolean, most bigint"),
         f"{label}-bounded",
     )
-    hope = linked(*sized, F.col("most"), percent)
-    open_ = bounded.where(hope)
-    named = open_.select(F.col("xs").alias("sid"), F.col("xn").alias("n")).union(open_.select("ys", "yn")).distinct()
+
+
+def _whole(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int, label: str) -> DataFrame:
+    """`xs, xn, ys, yn, star, overlap, only_x, only_y, linked` of pairs whose sets are compared as wholes.
+
+    `only_x` and `only_y` are there if one set is a pivot (`star`) and the differences are few.
+    """
+    named = pairs.select(F.col("xs").alias("sid"), F.col("xn").alias("n")).union(pairs.select("ys", "yn")).distinct()
     ids = named.join(classes, ["sid", "n"]).select("doc_id")
     sets = written(_sets_of(docs, ids, k), f"{label}-sets").dropDuplicates(["sid", "n"])
     compared = (
-        open_.join(_side(sets, "y", y="s"), ["ys", "yn"])
+        pairs.select(*KEYS, "star").join(_side(sets, "y", y="s"), ["ys", "yn"])
         .join(_side(sets, "x", x="s"), ["xs", "xn"])
         .select(*KEYS, "star", "x", "y")
         .mapInArrow(_compared, f"{KEY}, star boolean, overlap bigint, only_x binary, only_y binary")
     )
-    exact = linked(*sized, F.col("overlap"), percent)
-    return written(
-        compared.select(*KEYS, "star", F.col("overlap").alias("up"), F.lit(True).alias("known"), "only_x", "only_y", exact.alias("linked")).union(
-            bounded.where(~hope).select(*KEYS, "star", "most", F.lit(False), *[F.lit(None).cast("binary")] * 2, F.lit(False))
-        ),
-        f"{label}-tested",
-    )
+    return written(compared.withColumn("linked", linked(*_sized(), F.col("overlap"), percent)), f"{label}-tested")
+
+
+def _first_partners(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One pair for each second set, with its least partner, and the other pairs."""
+    x = F.struct("xs", "xn")
+    least = pairs.groupBy("ys", "yn").agg(F.min(x).alias("_least"))
+    marked = pairs.join(least, ["ys", "yn"])
+    return marked.where(x == F.col("_least")).drop("_least"), marked.where(x != F.col("_least")).drop("_least")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that do not hang together yet."""
+    root = lambda c: roots.select("id.*", "root").toDF(f"{c}s", f"{c}n", f"_{c}root")
+    own = lambda c: F.coalesce(F.col(f"_{c}root"), F.struct(F.col(f"{c}s").alias("sid"), F.col(f"{c}n").alias("n")))
+    both = pairs.join(root("x"), ["xs", "xn"], "left").join(root("y"), ["ys", "yn"], "left")
+    return both.where(own("x") != own("y")).drop("_xroot", "_yroot")
 
 
 def _edges(tested: DataFrame) -> DataFrame:
@@ -467,13 +506,27 @@ def _common(a: frozenset | np.ndarray, b: frozenset | np.ndarray) -> int:
     return int(_is_in(a, b).sum())
 
 
+def _small_histogram(x: np.ndarray) -> np.ndarray:
+    return np.bincount(x & (DIFFERENCE_BUCKETS - 1), minlength=DIFFERENCE_BUCKETS)
+
+
+class _Joined(dict):
+    """Components that a task has joined so far, by their roots."""
+
+    def find(self, x):
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+
 def _derived(rows, percent: int):
     """Links between two blocks of members of one pivot, from what the pivot has answered for each.
 
     Where both were compared with the pivot p, |x & y| = |x & p| + |y & p| - |p| + |(p - x) & (p - y)| +
-    |(x - p) & (y - p)|: only the differences are looked at, and only where bounds leave the pair open. Rare shingles of x
-    come before those of the lists they share and so are in x alone. Else the histograms decide, and a pair that
-    they leave open is reported with `linked` NULL.
+    |(x - p) & (y - p)|: only the differences are looked at, their histograms first, and only where bounds leave the pair
+    open. Rare shingles of x come before those of the lists they share and so are in x alone. Else the histograms of the sets
+    decide, and a pair that they leave open is reported with `linked` NULL. Members that links found here join
+    need no test.
     """
     columns = ("sid", "n", "up", "out", "rs", "rn", "pn")
     same = rows.kind.iloc[0] == 1 and rows.i.iloc[0] == rows.j.iloc[0]
@@ -482,8 +535,15 @@ def _derived(rows, percent: int):
         sides[1] = sides[0]
     x, y = ([side[c].to_numpy().astype(np.int64) for c in columns] for side in sides)
     apart = [[None if d is None else (_hashes_of(d), _hashes_of(e)) for d, e in zip(s["gone"], s["new"])] for s in sides]
-    hists = [np.frombuffer(b"".join(s["hist"]), np.uint16).reshape(-1, BUCKETS) for s in sides]
-    found = []
+    known = [np.array([a is not None for a in side], bool) for side in apart]
+    small = [
+        [np.array([_small_histogram(np.frombuffer(d or b"", np.int64)) for d in s[c]]).reshape(len(s), -1) for c in ("gone", "new")] for s in sides
+    ]
+    raw = [list(s["hist"]) for s in sides]
+    hists = [np.array([folded(h, BUCKETS) for h in r], np.int64).reshape(len(r), -1) for r in raw]
+    full = [np.array([max(h) == FULL for h in r], bool) for r in raw]
+    roots = [list(zip(c[4].tolist(), c[5].tolist())) for c in (x, y)]
+    joined, found = _Joined(), []
     for first in range(0, len(x[0]), 256):
         sid, n, up, out, rs, rn, pn = (c[first : first + 256, None] for c in x)
         ys, yn, yu, yo, yrs, yrn, _ = (c[None, :] for c in y)
@@ -492,19 +552,30 @@ def _derived(rows, percent: int):
         ok &= np.minimum(up, yu) + np.minimum(out, yo) >= need
         if same:
             ok &= np.arange(first, first + len(n))[:, None] < np.arange(len(y[0]))[None, :]
-        for i, j in zip(*np.nonzero(ok)):
-            a, b = apart[0][first + i], apart[1][j]
-            if a is not None and b is not None:
-                overlap = up[i, 0] + yu[0, j] - pn[i, 0] + _common(a[0], b[0]) + _common(a[1], b[1])
-                if overlap < need[i, j]:
-                    continue
-                linked_ = True
-            else:
-                h, g = hists[0][first + i], hists[1][j]
-                if max(h.max(), g.max()) < 65535 and int(np.minimum(h, g).sum(dtype=np.int64)) < need[i, j]:
+        all_i, all_j = np.nonzero(ok)
+        for at in range(0, len(all_i), PAIRS_AT_ONCE):
+            i, j = all_i[at : at + PAIRS_AT_ONCE] + first, all_j[at : at + PAIRS_AT_ONCE]
+            least = need[i - first, j]
+            most = np.minimum(hists[0][i], hists[1][j]).sum(1)
+            fine = (most >= least) | full[0][i] | full[1][j]
+            both = known[0][i] & known[1][j]
+            shared = x[2][i] + y[2][j] - x[6][i]
+            closer = shared + sum(np.minimum(a[i], b[j]).sum(1) for a, b in zip(small[0], small[1]))
+            fine &= ~both | (closer >= least)
+            for i_, j_, least_, shared_, both_ in zip(*(c[fine].tolist() for c in (i, j, least, shared, both))):
+                p, q = joined.find(roots[0][i_]), joined.find(roots[1][j_])
+                if p == q:
                     continue
-                linked_ = None
-            found.append((sid[i, 0], n[i, 0], ys[0, j], yn[0, j], linked_))
+                if both_:
+                    a, b = apart[0][i_], apart[1][j_]
+                    if shared_ + _common(a[0], b[0]) + _common(a[1], b[1]) < least_:
+                        continue
+                    joined[p] = q
+                else:
+                    bound = most_common(raw[0][i_], raw[1][j_])
+                    if bound is not None and bound < least_:
+                        continue
+                found.append((x[0][i_], x[1][i_], y[0][j_], y[1][j_], True if both_ else None))
     return pd.DataFrame(found, columns=[*KEYS, "linked"]).astype({"linked": object})
 
 
@@ -514,7 +585,6 @@ def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes:
     Only pairs of different components matter: members that hang together with their pivot meet the others, not one
     another, and both come in blocks of bounded size.
     """
-    tested = tested.where("star")
     back = tested.select("ys", "yn", "xs", "xn", "up", "known", F.col("only_y").alias("gone"), F.col("only_x").alias("new"))
     answers = tested.select(*KEYS, "up", "known", F.col("only_x").alias("gone"), F.col("only_y").alias("new")).union(back)
     own = (F.col("xs") == F.col("ys")) & (F.col("xn") == F.col("yn"))
@@ -608,20 +678,38 @@ def _links(docs: DataFrame, entries: DataFrame, classes: DataFrame, k: int, perc
     pairs = found.where(near).groupBy(
         pick("xs", "ys").alias("xs"), pick("xn", "yn").alias("xn"), pick("ys", "xs").alias("ys"), pick("yn", "xn").alias("yn")
     ).agg(F.max(F.col("t").isNotNull()).alias("star"))
-    tested = _tested(docs, pairs, classes, k, percent, "jaccard")
+    bounded = _bounds(pairs, classes, "jaccard")
+    hope = linked(*_sized(), F.col("most"), percent)
+    # Pairs with a pivot are all compared; of the others each set meets one partner before the links so far are drawn.
+    now, open_ = _first_partners(bounded.where(hope & ~F.col("star")).select(*KEYS, "star"))
+    tested = _whole(docs, bounded.where(hope & F.col("star")).select(*KEYS, "star").union(now.select(*KEYS, "star")), classes, k, percent, "jaccard")
     links = _edges(tested)
+    open_ = open_.select(*KEYS, "star")
     stars = found.where("t IS NOT NULL")
-    if stars.isEmpty():
-        return links
-    # A pivot is a member of its list, too.
-    own = stars.select("t", "xs", "xn", "xp", "xs", "xn", "xp", "xr", "xr").distinct().toDF(*PAIR_NAMES)
     roots = components(links, "jaccard-first")
-    derived = written(_from_pivots(stars.union(own), tested, roots, classes, percent), "jaccard-derived")
-    links = links.union(_edges(derived))
-    open_ = derived.where("linked IS NULL").select(*KEYS, F.lit(False).alias("star"))
+    if not stars.isEmpty():
+        # A pivot is a member of its list, too.
+        own = stars.select("t", "xs", "xn", "xp", "xs", "xn", "xp", "xr", "xr").distinct().toDF(*PAIR_NAMES)
+        nothing = F.lit(None).cast("binary")
+        answers = tested.where("star").select(*KEYS, F.col("overlap").alias("up"), F.lit(True).alias("known"), "only_x", "only_y").union(
+            bounded.where(~hope & F.col("star")).select(*KEYS, "most", F.lit(False), nothing, nothing)
+        )
+        derived = written(_from_pivots(stars.union(own), answers, roots, classes, percent), "jaccard-derived")
+        links = links.union(_edges(derived))
+        left = derived.where("linked IS NULL")
+        if not left.isEmpty():
+            ordered = left.select(*(pick(a, b).alias(a) for a, b in (("xs", "ys"), ("xn", "yn"), ("ys", "xs"), ("yn", "xn"))))
+            open_ = open_.union(ordered.withColumn("star", F.lit(False))).distinct()
+        roots = components(links, "jaccard-second")
+    open_ = written(_apart(open_, roots), "jaccard-open")
+    if open_.isEmpty():
+        return links
+    now, open_ = _first_partners(open_)
+    links = links.union(_edges(_whole(docs, now, classes, k, percent, "jaccard-again")))
+    open_ = written(_apart(open_, components(links, "jaccard-third")), "jaccard-left")
     if open_.isEmpty():
         return links
-    return links.union(_edges(_tested(docs, open_, classes, k, percent, "jaccard-again")))
+    return links.union(_edges(_whole(docs, open_, classes, k, percent, "jaccard-last")))
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
