@@ -506,10 +506,6 @@ def _common(a: frozenset | np.ndarray, b: frozenset | np.ndarray) -> int:
     return int(_is_in(a, b).sum())
 
 
-def _small_histogram(x: np.ndarray) -> np.ndarray:
-    return np.bincount(x & (DIFFERENCE_BUCKETS - 1), minlength=DIFFERENCE_BUCKETS)
-
-
 class _Joined(dict):
     """Components that a task has joined so far, by their roots."""
 
@@ -519,64 +515,108 @@ class _Joined(dict):
         return x
 
 
-def _derived(rows, percent: int):
-    """Links between two blocks of members of one pivot, from what the pivot has answered for each.
+GROUP = ["ps", "pn", "kind", "i", "j"]
+NUMBERS = ("sid", "n", "up", "out", "rs", "rn", "pn")
+
+
+class _Member:
+    """What a member's payload says, unpacked when it is asked for."""
+
+    def __init__(self, gone: bytes | None, new: bytes | None, hist: bytes):
+        self.known, self.hist, self.full = gone is not None, hist, max(hist) == FULL
+        self.coarse = folded(hist, BUCKETS)
+        raw = [np.frombuffer(d or b"", np.int64) for d in (gone, new)]
+        self.small = np.concatenate([np.bincount(d & (DIFFERENCE_BUCKETS - 1), minlength=DIFFERENCE_BUCKETS) for d in raw])
+        self.raw, self.sets = raw, None
+
+    def hashes(self):
+        if self.sets is None:
+            self.sets = [_hashes_of(d) for d in self.raw]
+        return self.sets
+
+
+def _block_links(x: dict, y: dict, same: bool, percent: int, found: list) -> None:
+    """Adds the links between two blocks of members of one pivot, and pairs left open with None.
 
     Where both were compared with the pivot p, |x & y| = |x & p| + |y & p| - |p| + |(p - x) & (p - y)| +
     |(x - p) & (y - p)|: only the differences are looked at, their histograms first, and only where bounds leave the pair
     open. Rare shingles of x come before those of the lists they share and so are in x alone. Else the histograms of the sets
-    decide, and a pair that they leave open is reported with `linked` NULL. Members that links found here join
-    need no test.
+    decide. Members that links found here join need no test.
     """
-    columns = ("sid", "n", "up", "out", "rs", "rn", "pn")
-    same = rows.kind.iloc[0] == 1 and rows.i.iloc[0] == rows.j.iloc[0]
-    sides = [rows[rows.side == side].sort_values(["sid", "n"], ignore_index=True) for side in (0, 1)]
+    joined = _Joined()
+    members: tuple[dict, dict] = ({}, {})
     if same:
-        sides[1] = sides[0]
-    x, y = ([side[c].to_numpy().astype(np.int64) for c in columns] for side in sides)
-    apart = [[None if d is None else (_hashes_of(d), _hashes_of(e)) for d, e in zip(s["gone"], s["new"])] for s in sides]
-    known = [np.array([a is not None for a in side], bool) for side in apart]
-    small = [
-        [np.array([_small_histogram(np.frombuffer(d or b"", np.int64)) for d in s[c]]).reshape(len(s), -1) for c in ("gone", "new")] for s in sides
-    ]
-    raw = [list(s["hist"]) for s in sides]
-    hists = [np.array([folded(h, BUCKETS) for h in r], np.int64).reshape(len(r), -1) for r in raw]
-    full = [np.array([max(h) == FULL for h in r], bool) for r in raw]
-    roots = [list(zip(c[4].tolist(), c[5].tolist())) for c in (x, y)]
-    joined, found = _Joined(), []
-    for first in range(0, len(x[0]), 256):
-        sid, n, up, out, rs, rn, pn = (c[first : first + 256, None] for c in x)
-        ys, yn, yu, yo, yrs, yrn, _ = (c[None, :] for c in y)
+        members = (members[0], members[0])
+
+    def arrays(side: int, rows: dict, at: np.ndarray):
+        """Payloads of these members as tables, and the row of each."""
+        distinct, row = np.unique(at, return_inverse=True)
+        kept = members[side]
+        for m in distinct.tolist():
+            if m not in kept:
+                kept[m] = _Member(rows["gone"][m], rows["new"][m], rows["hist"][m])
+        mine = [kept[m] for m in distinct.tolist()]
+        return row, *(np.array([getattr(m, c) for m in mine]) for c in ("coarse", "small", "known", "full"))
+
+    for first in range(0, len(x["n"]), 256):
+        sid, n, up, out, rs, rn, pn = (x[c][first : first + 256, None] for c in NUMBERS)
+        ys, yn, yu, yo, yrs, yrn, _ = (y[c][None, :] for c in NUMBERS)
         need = overlap_needed(n, yn, percent)
         ok = (np.minimum(n, yn) * 100 >= np.maximum(n, yn) * percent) & ((yrs != rs) | (yrn != rn))
         ok &= np.minimum(up, yu) + np.minimum(out, yo) >= need
         if same:
-            ok &= np.arange(first, first + len(n))[:, None] < np.arange(len(y[0]))[None, :]
+            ok &= np.arange(first, first + len(n))[:, None] < np.arange(len(y["n"]))[None, :]
         all_i, all_j = np.nonzero(ok)
         for at in range(0, len(all_i), PAIRS_AT_ONCE):
             i, j = all_i[at : at + PAIRS_AT_ONCE] + first, all_j[at : at + PAIRS_AT_ONCE]
             least = need[i - first, j]
-            most = np.minimum(hists[0][i], hists[1][j]).sum(1)
-            fine = (most >= least) | full[0][i] | full[1][j]
-            both = known[0][i] & known[1][j]
-            shared = x[2][i] + y[2][j] - x[6][i]
-            closer = shared + sum(np.minimum(a[i], b[j]).sum(1) for a, b in zip(small[0], small[1]))
-            fine &= ~both | (closer >= least)
+            (p, coarse, small, known, full), (q, coarse_y, small_y, known_y, full_y) = arrays(0, x, i), arrays(1, y, j)
+            fine = (np.minimum(coarse[p], coarse_y[q]).sum(1) >= least) | full[p] | full_y[q]
+            both = known[p] & known_y[q]
+            shared = x["up"][i] + y["up"][j] - x["pn"][i]
+            fine &= ~both | (shared + np.minimum(small[p], small_y[q]).sum(1) >= least)
             for i_, j_, least_, shared_, both_ in zip(*(c[fine].tolist() for c in (i, j, least, shared, both))):
-                p, q = joined.find(roots[0][i_]), joined.find(roots[1][j_])
-                if p == q:
+                root, other = joined.find((x["rs"][i_], x["rn"][i_])), joined.find((y["rs"][j_], y["rn"][j_]))
+                if root == other:
                     continue
+                a, b = members[0][i_], members[1][j_]
                 if both_:
-                    a, b = apart[0][i_], apart[1][j_]
-                    if shared_ + _common(a[0], b[0]) + _common(a[1], b[1]) < least_:
+                    (gone, new), (gone_y, new_y) = a.hashes(), b.hashes()
+                    if shared_ + _common(gone, gone_y) + _common(new, new_y) < least_:
                         continue
-                    joined[p] = q
+                    joined[root] = other
                 else:
-                    bound = most_common(raw[0][i_], raw[1][j_])
+                    bound = most_common(a.hist, b.hist)
                     if bound is not None and bound < least_:
                         continue
-                found.append((x[0][i_], x[1][i_], y[0][j_], y[1][j_], True if both_ else None))
-    return pd.DataFrame(found, columns=[*KEYS, "linked"]).astype({"linked": object})
+                found.append((x["sid"][i_], x["n"][i_], y["sid"][j_], y["n"][j_], True if both_ else None))
+
+
+def _derived(frames: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """Links of pairs of blocks; rows come sorted by pair of blocks and side, and at most one pair is held over."""
+    rest = None
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        key = rows[GROUP].to_numpy(np.int64)
+        cuts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1), [True])))
+        columns = {c: rows[c].to_numpy(np.int64) for c in NUMBERS} | {c: rows[c].to_numpy() for c in ("gone", "new", "hist")}
+        side, found = rows["side"].to_numpy(), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            middle = a + int(np.searchsorted(side[a:b], 1))
+            same = key[a, 2] == 1 and key[a, 3] == key[a, 4]
+            x = {c: v[a:middle] for c, v in columns.items()}
+            _block_links(x, x if same else {c: v[middle:b] for c, v in columns.items()}, same, percent, found)
+        return pd.DataFrame(found, columns=[*KEYS, "linked"]).astype({"linked": object})
+
+    for frame in frames:
+        rows = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        key = rows[GROUP].to_numpy(np.int64)
+        last = int(np.argmax((key == key[-1]).all(1))) if len(rows) else 0
+        rest = rows.iloc[last:]
+        if last:
+            yield work(rows.iloc[:last])
+    if rest is not None and len(rest):
+        yield work(rest)
 
 
 def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -619,7 +659,8 @@ def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes:
         )
     )
     dealt = dealt.withColumn("place", F.explode(meets)).select("ps", "pn", "place.*", "sid", "n", "up", "out", "gone", "new", "rs", "rn", "hist")
-    return dealt.groupBy("ps", "pn", "kind", "i", "j").applyInPandas(lambda rows: _derived(rows, percent), FOUND).distinct()
+    sorted_ = dealt.repartition(*GROUP).sortWithinPartitions(*GROUP, "side", "sid", "n")
+    return sorted_.mapInPandas(partial(_derived, percent=percent), FOUND).distinct()
 
 
 def jaccard_links(docs: DataFrame, k: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
