@@ -39,6 +39,9 @@ LATIN = 0x250
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{S}{L}{N}]+"
 
 
+STOPS = ".,;:"
+
+
 def _characters(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(LATIN) if unicodedata.category(chr(c))[0] == kind)
 
@@ -98,6 +101,8 @@ class Vocabulary:
         self.words = re.compile(PATTERN.format(L=_characters("L"), N=_characters("N"), S=space))
         self.other = re.compile(rf"[^\x00-{re.escape(chr(LATIN - 1))}]|İ")
         self.library = None
+        # Whether a word of ASCII letters, with or without one of STOPS after it, can hold no special token.
+        self.plain = all(re.search(rf"[^A-Za-z{STOPS}]", t) for t in self.special)
 
     def spine(self, token: str, side: int) -> list[tuple[str, int]]:
         """The parts of a token that touch its left (0) or right (1) edge, each with the rank that ends it."""
@@ -115,6 +120,11 @@ class Vocabulary:
 
     def chunk(self, text: str) -> list[str]:
         """Words of a stretch without white space, in the letters of the vocabulary; special tokens after a NUL."""
+        if self.plain and text.isascii():
+            if text.isalpha():
+                return [text.lower()]
+            if text[-1] in STOPS and text[:-1].isalpha():
+                return [text[:-1].lower(), text[-1]]
         found = []
         for i, part in enumerate(self.split_special.split(text) if self.split_special else [text]):
             if i % 2:

@@ -645,8 +645,22 @@ def _from_pivots(stars: DataFrame, tested: DataFrame, roots: DataFrame, classes:
         (F.coalesce(F.col("yroot.sid"), F.col("ys")) == F.coalesce(F.col("xroot.sid"), F.col("xs"))).alias("inside"),
     )
     members = written(members, "jaccard-members")
-    blocks = lambda inside: F.ceil(F.sum((F.col("inside") == inside).cast("int")) / BLOCK).cast("int")
-    counts = members.groupBy("ps", "pn").agg(blocks(True).alias("in_"), blocks(False).alias("out_")).where("out_ > 0")
+    # Names and bounds first: members inside travel only if some member outside can be like them by sizes and overlaps.
+    outside = lambda c: F.when(~F.col("inside"), F.col(c))
+    beyond = members.groupBy("ps", "pn").agg(
+        F.max(outside("up")).alias("o_up"), F.max(outside("out")).alias("o_out"), F.min(outside("n")).alias("o_low"), F.max(outside("n")).alias("o_high")
+    ).where("o_low IS NOT NULL")
+    n = F.col("n").cast("bigint")
+    smallest = F.greatest(F.col("o_low").cast("bigint"), F.ceil(n * percent / 100))
+    fits = (
+        (smallest <= F.col("o_high")) & (n * 100 >= smallest * percent)
+        & ((F.least("up", "o_up") + F.least("out", "o_out")) * (100 + percent) >= (n + smallest) * percent)
+    )
+    members = members.join(beyond, ["ps", "pn"]).where(~F.col("inside") | fits).drop("o_up", "o_out", "o_low", "o_high")
+    size = lambda inside: F.sum((F.col("inside") == inside).cast("int"))
+    counts = members.groupBy("ps", "pn").agg(
+        F.ceil(size(True) / BLOCK).cast("int").alias("in_"), F.ceil(size(False) / BLOCK).cast("int").alias("out_"), F.count(F.lit(1)).alias("all_")
+    ).where("all_ > 1").drop("all_")
     upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     block = F.pmod(F.xxhash64("sid", "n"), F.when(F.col("inside"), F.col("in_")).otherwise(F.col("out_"))).cast("int")
     dealt = members.join(counts, ["ps", "pn"]).withColumn("b", block)
