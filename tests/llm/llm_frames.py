@@ -19,7 +19,7 @@ def frame(spark):
     def make(rows):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", None) for r in rows]
         df = spark.createDataFrame(full, DOCUMENTS)
-        for name in ("score", "size", "hash", "sid", "n", "sketch", "spans", "base", "words", "bit"):
+        for name in ("score", "size", "hash", "sid", "n", "sketch", "spans", "base", "words", "bit", "document", "mix_hash", "mix_source", "whole", "leaving_id"):
             df = df.selectExpr("*", f"'x' AS {name}")
         return df
 

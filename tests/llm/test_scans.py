@@ -111,6 +111,49 @@ def test_mined_rules_like_brute_force(spark):
         assert sum(votes) / len(votes) == pytest.approx(rule.confidence) and sum(votes) / len(baskets) == pytest.approx(rule.support)
 
 
+def _labelled(spark, rows):
+    pages = spark.createDataFrame([(i, url) for i, (url, _) in enumerate(rows)], "page_id bigint, url string")
+    return pages, spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id bigint, block boolean")
+
+
+def test_listed_verdicts_are_no_labels(spark):
+    """Pages blocked by a listed rule teach nothing: only labels do."""
+    rows = [(f"http://a.com/de/word{i}", False) for i in range(100)] + [(f"http://b.net/de/{i}", False) for i in range(50)]
+    pages, labels = _labelled(spark, rows)
+    got = {r.page_id: r for r in url_rules.judge(pages, labels).collect()}
+    assert all(got[i].verdict == ("block" if i < 100 else "allow") and got[i].mined_rule is None for i in range(150))
+
+
+def test_long_slugs_are_one_item(spark):
+    """Twenty words that come together, and twenty of which each page lacks one, end in rules and not in all subsets."""
+    words = ["w" + "abcdefghijklmnopqrst"[i] * 3 for i in range(20)]
+    loose = [w.replace("w", "v") for w in words]
+    rows = [(f"http://a.net/{'-'.join(words)}/{i}", True) for i in range(200)]
+    rows += [(f"http://b.net/{'-'.join(loose[:i % 20] + loose[i % 20 + 1:])}/{i}", True) for i in range(200)]
+    rows += [(f"http://c.net/{i}", False) for i in range(800)]
+    pages, labels = _labelled(spark, rows)
+    got = {r.page_id: r for r in url_rules.judge(pages, labels).collect()}
+    assert all((got[i].verdict == "block") == (i < 400) for i in range(1200))
+    mined = {r.rule for r in url_rules.mine(pages.join(labels, "page_id").select("url", "block")).collect()}
+    assert len(mined) < 1 << 12 and any(all(f"word={w}" in rule for w in words) for rule in mined)
+
+
+def test_mined_rules_on_held_out_pages(spark):
+    """Lift on pages whose labels were not seen; labels without a signal give no rule."""
+    r = random.Random(4)
+    urls = [f"http://{r.choice(['a', 'b', 'c'])}.{r.choice(['net', 'info'])}/{r.choice(['win', 'tea', 'cup'])}-{r.choice(['big', 'old'])}/{i}" for i in range(1200)]
+    planted = [r.random() < (0.9 if ".info/win" in u else 0.05) for u in urls]
+    pages, labels = _labelled(spark, list(zip(urls, planted)))
+    got = {x.page_id: x.verdict for x in url_rules.judge(pages, labels.where("page_id % 3 <> 0")).collect()}
+    held = range(0, 1200, 3)
+    blocked = [i for i in held if got[i] == "block"]
+    share = sum(planted[i] for i in held) / len(held)
+    assert blocked and sum(planted[i] for i in blocked) / len(blocked) > 3 * share
+    chance = [r.random() < 0.15 for _ in urls]
+    pages, labels = _labelled(spark, list(zip(urls, chance)))
+    assert {x.verdict for x in url_rules.judge(pages, labels).collect()} == {"allow"}
+
+
 TEXTS = [
     None, "", "few words", "a b c d e " * 4, "one two three four five six seven eight nine ten\n" * 3, "x" * 40_000, "# $ % " * 10, "\u00e9\u00a0\u00e9 \x1c b",
     "The quick brown fox jumps over the lazy dog and then it runs home again.", "a a a a a a a a a a a a", " \t\n \r\n",

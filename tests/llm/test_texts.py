@@ -1,6 +1,7 @@
 """Fingerprints, toxicity and chat formatting."""
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -102,6 +103,21 @@ def test_offending_sentences_are_found(spark, frame):
     assert toxicity.score(docs, toxicity.train(docs, labels.where("toxic > 9"))).agg(F.max("score")).first()[0] == 0
 
 
+def test_learning_from_an_id_that_repeats(spark, frame, monkeypatch):
+    """One text of an id is learned from, so a repeated id cannot break the bound of the sample."""
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs: fitted.append(docs) or toxicity.Model())
+    docs = frame([(4, f"text {i:03}") for i in range(500)] + [(5, "other"), (6, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in (4, 5, 6) for _ in range(3)], "doc_id bigint, toxic int")
+    toxicity.train(docs, labels)
+    assert set(fitted[0]) <= {("text 000", 0), ("other", 1), (None, 0)} and len(fitted[0]) == len(set(fitted[0])) > 0
+
+
+def test_what_is_broadcast_needs_no_package():
+    sent = toxicity.Model({"a": 1.0}, 0.5, 0.1).values()
+    assert b"tidemill" not in pickle.dumps(sent) and toxicity.Model(*sent) == toxicity.Model({"a": 1.0}, 0.5, 0.1)
+
+
 def test_chat_round_trip():
     r = random.Random(1)
     bits = ["a", "\\", "#", "###", "### ", ": ", ":", "\n", "</turn>", "</turn>\n", "<", "<|", "|>", "<|image:0|>", "é"]
@@ -115,6 +131,27 @@ def test_chat_round_trip():
         list(chat_format.read_turns("### user: open"))
 
 
+def test_texts_cut_anywhere_give_the_same_output():
+    """Control strings that begin in one text part and end in the next."""
+    r = random.Random(2)
+    bits = ["a", "\\", "#", "##", ": ", ":", " ", "\n", "</tu", "rn>", "</turn>\n", "<", "|image:0|>", "<|audio:1|>"]
+    make = chat_format.Part
+    for _ in range(3000):
+        said = "".join(r.choice(bits) for _ in range(r.randint(0, 10)))
+        cuts = sorted(r.randint(0, len(said)) for _ in range(r.randint(0, 4)))
+        parts = [make("text", said[a:b]) for a, b in zip([0, *cuts], [*cuts, len(said)])]
+        whole = chat_format.format_turn("user", [make("text", said)], chat_format.Visitor())
+        assert chat_format.format_turn("user", parts, chat_format.Visitor()) == whole
+        at = r.randint(0, len(parts))
+        visitor = chat_format.Visitor()
+        text, start, end = chat_format.format_turn("user", [*parts[:at], make("image", reference="i", width=1, height=1), *parts[at:]], visitor)
+        found = [m for m in chat_format.PLACEHOLDER.finditer(text[start:end]) if m.group(1)]
+        assert [m.group() for m in found] == ["<|image:0|>"] and len(visitor.attachments) == 1
+        (turn,) = chat_format.read_turns(text)
+        mark = len("".join(p.text for p in parts[:at]))
+        assert turn[:2] == ("user", said[:mark] + "<|image:0|>" + said[mark:])
+
+
 def test_typed_parts():
     parts = [
         chat_format.Part("text", "see <|image:0|> "), chat_format.Part("image", reference="a.png", width=28, height=15),

@@ -6,7 +6,8 @@ it will expand to are recorded as an attachment.
 
 A turn reads `### Role: content </turn>` and a line feed. In roles and texts a backslash goes before each
 backslash and before the first letter of every control string, so the text can be read back exactly, and
-no text can end a turn or pose as a placeholder.
+no text can end a turn or pose as a placeholder. Neighbouring text parts are escaped as one text, as a control string
+may begin in one and end in the next.
 
 Conversations of any length are formatted in segments of at most `SEGMENT` turns, so that a row is bounded even where
 one conversation holds a third of all turns; the segments of a conversation, in order, are its formatted text.
@@ -21,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 from math import ceil
 
 import pyarrow as pa
@@ -28,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import pieces
+
 SEGMENT, SEGMENT_CHARS = 64, 1 << 20
 LEARNED = "assistant"
 
@@ -75,6 +79,15 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
+def joined(parts: Sequence[Part]) -> Iterator[Part]:
+    """The same parts with each stretch of text parts as one."""
+    for is_text, stretch in groupby(parts, lambda p: p.kind == "text"):
+        if is_text:
+            yield Part("text", "".join(p.text for p in stretch))
+        else:
+            yield from stretch
+
+
 @dataclass
 class Visitor:
     """Flattens parts in order. Tokens: a patch of an image, a frame of audio, a page each make so many."""
@@ -102,7 +115,7 @@ class Visitor:
         return self._attach(part, part.pages * self.tokens_a_page)
 
     def flatten(self, parts: Sequence[Part]) -> str:
-        return "".join(part.accept(self) for part in parts)
+        return "".join(part.accept(self) for part in joined(parts))
 
 
 def format_turn(role: str | None, parts: Sequence[Part], visitor: Visitor) -> tuple[str, int, int]:
@@ -153,7 +166,7 @@ def _formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = {"conv_id": now[0], "part": part, "segment": number, "formatted": "".join(texts), "loss": loss, "attachments": [vars(a) for a in visitor.attachments]}
         return pa.RecordBatch.from_pylist([row], schema=_SEGMENT)
 
-    for batch in batches:
+    for batch in pieces(batches):
         for row in batch.to_pylist():
             if texts and (now != (row["conv_id"],) or len(texts) >= SEGMENT or chars >= SEGMENT_CHARS):
                 yield segment()

@@ -119,13 +119,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The documents that the mix takes, each as often as it does, with all their columns."""
     _, plan = _planned(docs, weights, share, most)
-    plan = plan.select("mix_source", F.struct("whole", "threshold", "with_boundary").alias("mix_plan"))
-    rows = docs.withColumn("mix_hash", document_hash(F.col("doc_id"), F.col("text"))).join(plan, docs["source"].eqNullSafe(plan["mix_source"]))
-    below = (F.col("mix_hash") < F.col("mix_plan.threshold")) | (
-        (F.col("mix_hash") == F.col("mix_plan.threshold")) & F.col("mix_plan.with_boundary")
-    )
-    times = F.col("mix_plan.whole") + F.coalesce(below, F.lit(True)).cast("int")
-    return rows.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*(docs[c] for c in docs.columns))
+    # the columns of a document go along in a struct, where no name of the plan can clash with theirs
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("document"), document_hash(F.col("doc_id"), F.col("text")).alias("hash"))
+    taken = rows.join(plan, F.col("document.source").eqNullSafe(F.col("mix_source")))
+    return taken.select(F.explode(F.array_repeat("document", _copies(F.col("hash")))).alias("document")).select("document.*")
 
 
 ORACLE = r"""

@@ -10,7 +10,8 @@ The model is fitted on a bounded sample (`SAMPLE_DOCS`, `SAMPLE_CHARS`), chosen
 scoring reads every whole text.
 
 Defined results: NULL and empty texts have no sentence and score `leak`; labels that are NULL are left
-out, of several labels of one document the highest counts; without any label everything scores 0.
+out, of several labels of one document the highest counts, of several texts with one id the least is learned from;
+without any label everything scores 0.
 """
 
 from __future__ import annotations
@@ -54,6 +55,10 @@ class Model:
     bias: float = 0.0
     leak: float = 0.0
 
+    def values(self) -> tuple[dict[str, float], float, float]:
+        """Built-in types only: a broadcast of them needs no package on the executors."""
+        return self.weights, self.bias, self.leak
+
 
 class _WordWeights(dict):
     """Sum of the weights of a word's features, None for a word without evidence; bounded."""
@@ -158,9 +163,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_DOCS)
     )
-    # The sample has SAMPLE_DOCS rows at most, whatever the table.
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    sizes = sorted(joined.select(F.xxhash64("doc_id"), "doc_id", F.coalesce(F.length("text"), F.lit(0))).limit(2 * SAMPLE_DOCS).collect())
+    # The sample has SAMPLE_DOCS rows at most, whatever the table, and one text for each, however often an id repeats.
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sizes = sorted(joined.select(F.xxhash64("doc_id"), "doc_id", F.coalesce(F.length("text"), F.lit(0))).collect())
     total, ids = 0, []
     for _, doc_id, chars in sizes:
         total += chars
@@ -169,9 +174,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         ids.append((doc_id,))
     if not ids:
         return Model()
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id bigint").distinct()
+    chosen = docs.sparkSession.createDataFrame(ids, "doc_id bigint")
     rows = joined.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    return fit([(r.text, int(r.toxic > 0)) for r in sorted(rows, key=lambda r: (r.doc_id, r.text or ""))])
+    return fit([(r.text, int(r.toxic > 0)) for r in sorted(rows)])
 
 
 # -- scores ------------------------------------------------------------------------------------
@@ -180,7 +185,7 @@ SPANS = "array<struct<start:int,end:int,score:double>>"
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    words = _WordWeights(model.value)
+    words = _WordWeights(Model(*model.value))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
     for batch in pieces(batches):
         if len(words) > WORD_CACHE:
@@ -195,17 +200,17 @@ def _scores(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`doc_id, score, offending` for every row: the sentences with a score of OFFENDING or more, by place."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.values())
     return docs.select("doc_id", "text").mapInArrow(partial(_scores, model=sent), f"doc_id bigint, score double, offending {SPANS}")
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents whose score is below THRESHOLD, with all their columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.values())
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _WordWeights(sent.value)
+        words = _WordWeights(Model(*sent.value))
         for batch in texts:
             if len(words) > WORD_CACHE:
                 words.clear()

@@ -1,11 +1,15 @@
 """URL filter: listed host rules, and rules mined from labelled URLs by FP-growth.
 
 Listed rules come first: the longest one that fits decides. For other URLs, combinations of URL tokens
-(host labels, path segments and their words, query keys) that go with blocked URLs are mined: FP-growth finds
-the frequent token sets, with the label as one more token, and gives rules `tokens -> block`. A rule is kept if
-its support and confidence suffice and no rule with fewer of its tokens is as sure. Rules are matched by an
-inverted index: each is filed under its rarest token only, so common tokens lead to no rules, and the few that a
-URL's tokens lead to are checked in full.
+(host labels, path segments and their words, query keys) that go with blocked URLs are mined from the labels, and
+from nothing else: the verdicts of listed rules are not labels.
+
+FP-growth runs over the blocked URLs. Tokens that lie in the same labelled URLs are one item for it, so that a
+phrase of any length which always comes as a whole is one item and not a set with all its subsets; and of a URL it
+gets the `WIDTH` items that tell most, which bounds the subsets of a URL. Support and confidence of what it
+finds are then counted over all labelled URLs with all their tokens. A rule is kept if both suffice and no rule with
+fewer of its tokens is as sure. Rules are matched by an inverted index: each is filed under its rarest token only,
+so common tokens lead to no rules, and the few that a URL's tokens lead to are checked in full.
 
 FP-growth, index and match run in the JVM. Equal URLs are judged once.
 
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -44,11 +49,12 @@ LISTED = (
     HostRule("com", "/fr/", False),
     HostRule("com", "/de/", True),
 )
-# A rule stands on this share of the labelled URLs and is right for this share of those it fits.
-SUPPORT, CONFIDENCE = 0.004, 0.6
-# and on this many of them, as fewer are chance.
+# A rule stands on this share of the blocked URLs and is right for this share of the labelled URLs that it fits,
+SUPPORT, CONFIDENCE = 0.02, 0.6
+# and on this many blocked URLs, as fewer are chance.
 LEAST_URLS = 12
-BLOCK = "label=block"
+# So many items of a URL at most are combined with each other.
+WIDTH = 10
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -73,28 +79,73 @@ def listed(host_: Column, path_: Column, rules: Sequence[HostRule] = LISTED) ->
 
 
 def tokens(url: str) -> Column:
-    """Distinct tokens of a URL, each with the part it is from."""
+    """Distinct tokens of a URL, each with the part it is from; a segment that is one word is that word only."""
     tagged = lambda tag, words: F.transform(F.filter(words, lambda w: w != ""), lambda w: F.concat(F.lit(tag), w))
     rest = F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1)
     return F.array_distinct(
         F.concat(
             tagged("host=", F.split(host(url), r"\.")),
-            tagged("path=", F.split(F.translate(path(url), UPPER, LOWER), "/")),
+            tagged("path=", F.filter(F.split(F.translate(path(url), UPPER, LOWER), "/"), lambda w: ~w.rlike(r"^\p{L}+$"))),
             tagged("word=", F.split(F.translate(path(url), UPPER, LOWER), r"[^\p{L}]+")),
             tagged("query=", F.transform(F.split(rest, "&"), lambda q: F.regexp_extract(q, r"^([^=]*)", 1))),
         )
     )
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """Rules `rule, tokens, support, confidence` from labelled URLs `url, block`, not pruned yet."""
-    baskets = labelled.where("url IS NOT NULL AND block IS NOT NULL").select(
-        F.when(F.col("block"), F.array_append(tokens("url"), F.lit(BLOCK))).otherwise(tokens("url")).alias("items")
+RULES = "tokens array<string>, rule string, support double, confidence double"
+
+
+def _items(each: DataFrame, least: int) -> DataFrame:
+    """`item, members, sure`: tokens of `least` blocked URLs or more, those that lie in the same URLs together.
+
+    `each`: `url, bad, n, token`. Two hashes of a token's URLs, 128 bits, stand for the set. Members of an item are
+    tokens of one URL, so their number does not grow with the table.
+    """
+    both = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("url")))
+    frequent = (
+        each.groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), both(1).alias("x"), both(2).alias("y"))
+        .where(F.col("bad") >= least)
+    )
+    same = frequent.groupBy("bad", "n", "x", "y").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return same.select(F.col("members")[0].alias("item"), "members", (F.col("bad") / F.col("n")).alias("sure"))
+
+
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, width: int = WIDTH) -> DataFrame:
+    """Rules `tokens, rule, support, confidence` from labelled URLs `url, block`, not pruned yet."""
+    urls = written(
+        labelled.where("url IS NOT NULL AND block IS NOT NULL")
+        .groupBy("url").agg(F.sum(F.col("block").cast("bigint")).alias("bad"), F.count(F.lit(1)).alias("n"))
+        .withColumn("items", tokens("url")),
+        "url-labelled",
+    )
+    bad, n = urls.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    least = max(LEAST_URLS, ceil(support * bad))
+    if bad < least:
+        return labelled.sparkSession.createDataFrame([], RULES)
+    each = urls.select("url", "bad", "n", F.explode("items").alias("token"))
+    items = written(_items(each, least), "url-items")
+    told = each.where("bad > 0").join(items, F.col("token") == F.col("item")).groupBy("url", "bad")
+    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("sure")).alias("unsure"), "item"))), 1, width)
+    baskets = told.agg(best.getField("item").alias("items")).select("items", F.explode(F.sequence(F.lit(1), F.col("bad"))))
+    baskets = written(baskets.select("items"), "url-baskets")
+    size = baskets.count()
+    if size < least:
+        return labelled.sparkSession.createDataFrame([], RULES)
+    # half a URL less, as the share is multiplied out again
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / size).fit(baskets)
+    sets = model.freqItemsets.select(F.sort_array("items").alias("set")).select("set", F.explode("set").alias("item"))
+    rules = (
+        sets.join(items, "item").groupBy("set").agg(F.sort_array(F.flatten(F.collect_list("members"))).alias("tokens"))
+        .select("tokens", F.array_join("tokens", " & ").alias("rule"))
+    )
+    rules = written(rules, "url-sets")
+    counts = each.groupBy("token").agg(F.sum("n").alias("n"))
+    fits = matches(urls.withColumnRenamed("url", "key"), index(rules, counts))
+    return (
+        fits.groupBy("rule", "tokens").agg(F.sum("bad").alias("b"), F.sum("n").alias("n"))
+        .where((F.col("b") >= least) & (F.col("b") / F.col("n") >= confidence))
+        .select("tokens", "rule", (F.col("b") / F.lit(n)).alias("support"), (F.col("b") / F.col("n")).alias("confidence"))
     )
-    least = min(1.0, max(support, LEAST_URLS / max(1, baskets.count())))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK)))
-    return rules.select(F.sort_array("antecedent").alias("tokens"), "support", "confidence").withColumn("rule", F.array_join("tokens", " & "))
 
 
 def index(rules: DataFrame, counts: DataFrame) -> DataFrame:
@@ -105,12 +156,12 @@ def index(rules: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def matches(rows: DataFrame, indexed: DataFrame) -> DataFrame:
-    """Pairs of a row (`key, items`) and a rule all of whose tokens the row has."""
+    """Pairs of a row (`key, items`) and a rule all of whose tokens the row has, with the other columns of both."""
     return (
-        rows.select("key", "items", F.explode("items").alias("token"))
+        rows.withColumn("token", F.explode("items"))
         .join(indexed, "token")
         .where(F.size(F.array_except("tokens", "items")) == 0)
-        .select("key", "rule", "tokens", "support", "confidence")
+        .drop("token", "items")
     )
 
 
@@ -125,16 +176,14 @@ def prune(rules: DataFrame, counts: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labels: DataFrame, listed_rules: Sequence[HostRule] = LISTED) -> DataFrame:
     """`page_id, host, path, rule, verdict, mined_rule, confidence` for every row of pages `page_id, url`.
 
-    `labels`: `page_id, block`. A page on which a listed rule decides is labelled by that rule.
+    `labels`: `page_id, block`, of any pages. Rules are mined from them only, and judge pages that no listed rule fits.
     """
     name, verdict = listed(F.col("host"), F.col("path"), listed_rules)
     parsed = pages.select("page_id", "url", host("url").alias("host"), path("url").alias("path")).withColumns(
         {"rule": name, "listed": verdict}
     )
     votes = labels.where("block IS NOT NULL AND page_id IS NOT NULL").select(F.col("page_id").alias("labelled"), "block")
-    by_list = parsed.where("listed IS NOT NULL").select("url", (F.col("listed") == "block").alias("block"))
-    by_label = parsed.where("listed IS NULL").join(votes, F.col("page_id") == F.col("labelled")).select("url", "block")
-    labelled = written(by_list.union(by_label), "url-labels")
+    labelled = written(parsed.join(votes, F.col("page_id") == F.col("labelled")).select("url", "block"), "url-labels")
     if labelled.isEmpty():
         best = None
     else:
