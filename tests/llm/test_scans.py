@@ -1,6 +1,7 @@
 """Secrets, licences, URL rules and quality rules against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -47,6 +48,106 @@ def test_random_strings_are_added_and_words_are_not(frame):
     assert len(found & set(range(60))) >= 54 and not found & set(range(60, 120))
 
 
+def tail(z):
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def battery(value, alphabet, shares):
+    """The two p-values in plain Python, the normal tail from the library."""
+    x = [alphabet.index({"-": "+", "_": "/"}.get(c, c)) for c in value.rstrip("=")]
+    n, k = len(x), len(alphabet)
+    squares = sum(v * v for v in Counter(x).values())
+    f = (k - 1) * n / (n - 1)
+    z_chi = (((k * squares / n - n) / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * f))) / math.sqrt(2 / (9 * f))
+    high = [2 * v >= k for v in x]
+    a = sum(high)
+    b = n - a
+    runs = 1 + sum(u != v for u, v in zip(high, high[1:]))
+    varies = 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+    z_runs = (runs - 2 * a * b / n - 1) / math.sqrt(varies) if varies > 0 else 12
+    m = sum(x) / n
+    spread = sum((v - m) ** 2 for v in x)
+    z_serial = (sum((u - m) * (v - m) for u, v in zip(x, x[1:])) / spread + 1 / n) * math.sqrt(n) if spread else 12
+    p = min(1, 3 * min(tail(z_chi), 2 * tail(abs(z_runs)), 2 * tail(abs(z_serial))))
+    s2, s3 = secret_scan.text_moments(alphabet, shares)
+    sd = math.sqrt(2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2))
+    return p, tail((n * (n - 1) * s2 + n - squares) / sd)
+
+
+def test_battery_like_plain_python(spark):
+    r = random.Random(5)
+    rows = []
+    for e, (_, _, alphabet, shares) in enumerate(secret_scan.ENCODINGS):
+        for i in range(40):
+            some = alphabet if i % 2 else alphabet[: r.randint(2, len(alphabet))]
+            rows.append((len(rows), "".join(r.choice(some) for _ in range(r.randint(20, 90))), e, alphabet, *secret_scan.text_moments(alphabet, shares)))
+    frame_ = spark.createDataFrame(rows, "i int, value string, encoding int, alphabet string, s2 double, s3 double")
+    for got in secret_scan._statistics(frame_).collect():
+        p, q = battery(got.value, got.alphabet, secret_scan.ENCODINGS[got.encoding][3])
+        assert (got.p, got.q) == (pytest.approx(p, abs=0.002), pytest.approx(q, abs=0.0005))
+
+
+def test_moments_of_text_like_drawn_strings():
+    r = random.Random(6)
+    _, _, alphabet, shares = secret_scan.ENCODINGS[3]
+    s2, s3 = secret_scan.text_moments(alphabet, shares)
+    letters = dict(zip(secret_scan.LOWER, secret_scan.LETTERS))
+    weights = [share * letters.get(c.lower(), 1.0) / sum(letters.get(d.lower(), 1.0) for d in kind)
+               for share, kind in zip(shares, (secret_scan.UPPER, secret_scan.LOWER, secret_scan.DIGITS)) for c in kind]
+    n = 40
+    sums = [sum(v * v for v in Counter(r.choices(alphabet[:62], weights, k=n)).values()) for _ in range(4000)]
+    mean = sum(sums) / len(sums)
+    assert mean == pytest.approx(n * (n - 1) * s2 + n, rel=0.02)
+    varies = 2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2)
+    assert sum((v - mean) ** 2 for v in sums) / len(sums) == pytest.approx(varies, rel=0.15)
+
+
+def test_control_like_plain_python(spark):
+    r = random.Random(7)
+    rows = [(g, min(400, int(r.expovariate(1 / 20)) + (60 if r.random() < g / 10 else 0))) for g in range(6) for _ in range(200)]
+    binned = spark.createDataFrame(rows, "group int, bin int").groupBy("group", "bin").count()
+    got = {x.group: x.bin for x in secret_scan.rejected(binned).collect()}
+    for g in range(6):
+        bins = sorted((b for h, b in rows if h == g), reverse=True)
+        passing = [b for b in bins if 10 ** (-b / 20) * len(bins) <= secret_scan.RATE * sum(c >= b for c in bins)]
+        assert got.get(g) == (min(passing) if passing else None)
+
+
+def test_text_is_seldom_called_random(frame):
+    """Of strings drawn like text, next to as many secrets, about the promised share is reported at most."""
+    r = random.Random(8)
+    letters = dict(zip(secret_scan.LOWER, secret_scan.LETTERS))
+    word = lambda: "".join(r.choices(secret_scan.LOWER, secret_scan.LETTERS, k=r.randint(3, 9))).capitalize()
+    assert len(letters) == 26
+    texts = ["".join(word() for _ in range(9))[:44] + str(r.randint(100, 999)) for _ in range(300)]
+    secrets = ["".join(r.choice(secret_scan.UPPER + secret_scan.LOWER + secret_scan.DIGITS) for _ in range(47)) for _ in range(300)]
+    rows = [(i, f"see {s} there") for i, s in enumerate(texts + secrets)]
+    found = {x.doc_id for x in secret_scan.scan(frame(rows)).collect() if any(s.kind == 3 for s in x.spans)}
+    assert len(found & set(range(300, 600))) > 200
+    assert len(found & set(range(300))) <= 0.1 * len(found)
+
+
+def test_verdicts_within_named_spans(frame):
+    r = random.Random(9)
+    secret = lambda: "".join(r.choice(secret_scan.UPPER + secret_scan.LOWER + secret_scan.DIGITS) for _ in range(60))
+    rows = [(i, f"é token={secret()} and {secret()}") for i in range(40)]
+    for x in secret_scan.digests(frame(rows)).collect():
+        text = dict(rows)[x.doc_id]
+        assert x.n_tested == 2 and len(x.battery.split(",")) == 2
+        for part in x.battery.split(","):
+            a, b, encoding, *_ = part.split(":")
+            assert len(text[int(a):int(b)]) == 60 and encoding == "base64"
+        assert x.spans.startswith("assign:2:68") and x.spans.count("random") <= 1
+    assert sum("random" in x.spans for x in secret_scan.digests(frame(rows)).collect()) > 30
+
+
+def test_tens_of_thousands_of_spans_in_a_text(frame):
+    text = "token=abcdefghijkl0 x" + " token=abcdefghijklmnopqrst1" * 40_000
+    row = secret_scan.scan(frame([(1, text)])).first()
+    assert [(s.start, s.kind, s.end) for s in row.base] == base(text)
+    assert len(row.tested) == 40_000 and row.spans == row.base
+
+
 def test_secrets_of_an_empty_table_and_kept_rows(frame):
     docs = frame([(1, f"token={HEX40}"), (2, "clean"), (2, "clean"), (None, f"token={HEX40}"), (None, "clean"), (3, None)])
     assert secret_scan.scan(docs.where("doc_id = 99")).count() == 0
