@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import pieces
 
-# Stretches between white space and words whose encodings a task keeps; pairs whose stability it keeps.
-KEPT = 100_000
+# Beyond so many stretches between white space, or words, a task keeps only those that the slice at hand holds;
+# pairs whose stability it keeps.
+KEPT = 250_000
 PAIRS_KEPT = 300_000
 
 # Below this code point no letter composes with a neighbour, and lower case is one letter for one (but for one).
@@ -136,7 +137,9 @@ class Vocabulary:
     def _words(self, part: str) -> list[str]:
         if not self.other.search(part):
             words = self.words.findall(part.lower())
-            return words if part.isascii() and part.isprintable() else ["".join(map(self.letters.__getitem__, w.encode())) for w in words]
+            if part.isascii() and part.isprintable():
+                return words
+            return [w if w.isalpha() and w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
         if self.library is None:
             from tokenizers import Tokenizer
 
@@ -199,22 +202,26 @@ def encode_words(words, v: Vocabulary) -> dict[str, tuple[int, ...]]:
 
 
 class _Chunks(dict):
-    """Ids of the stretches a task has met."""
+    """Ids of the stretches a task has met; when there are too many, those of the slice at hand stay."""
 
     def __init__(self, v: Vocabulary):
         super().__init__()
         self.v, self.words = v, {}
+        self.special = {"\0" + t: (i,) for t, i in v.special.items()}
 
     def learn(self, new: set[str]) -> None:
-        v = self.v
-        special = {"\0" + t: (i,) for t, i in v.special.items()}
         if len(self) > KEPT:
+            kept = {c: self[c] for c in new & self.keys()}
             self.clear()
-        if len(self.words) > KEPT or not self.words:
-            self.words = dict(special)
-        cut = {c: v.chunk(c) for c in new if c not in self}
-        self.words.update(encode_words({w for ws in cut.values() for w in ws} - self.words.keys(), v))
+            self.update(kept)
+        new = new - self.keys()
+        cut = dict(zip(new, map(self.v.chunk, new)))
+        needed = set(chain.from_iterable(cut.values()))
         known = self.words
+        if len(known) > KEPT:
+            known = self.words = {w: known[w] for w in needed & known.keys()}
+        known.update(self.special)
+        known.update(encode_words(needed - known.keys(), self.v))
         for c, ws in cut.items():
             self[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
 
