@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from llm_frames import frame  # noqa: F401
@@ -107,3 +108,39 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(200).select(F.col("id").alias("x"), (F.col("id") + 1).alias("y"))
     roots = J.components(edges)
     assert roots.count() == 201 and roots.select("root").distinct().count() == 1
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_places_are_the_pairs_that_size_and_place_allow(percent):
+    r = random.Random(percent)
+    rows = []
+    for t in range(60):
+        for _ in range(r.choice([1, 2, 5, 32])):
+            n = r.choice([1, 2, 10, r.randint(1, 60)])
+            rows.append((t, n, r.randrange(J.prefix_length(n, percent))))
+    r.shuffle(rows)
+    t, n, pos = (np.array(c, np.int64) for c in zip(*rows))
+    found = [tuple(sorted(p)) for i, j in J._places(t, n, pos, np.lexsort((pos, n, t)), percent) for p in zip(i.tolist(), j.tolist())]
+
+    def allowed(a, b):
+        (ta, na, place_a), (tb, nb, place_b) = rows[a], rows[b]
+        need = -(-(na + nb) * percent // (100 + percent))
+        return ta == tb and 100 * min(na, nb) >= percent * max(na, nb) and min(na - place_a, nb - place_b) >= need
+
+    assert sorted(found) == [p for p in combinations(range(len(rows)), 2) if allowed(*p)]
+
+
+def test_places_look_at_no_pair_of_blocks_ruled_out(monkeypatch):
+    """Sets of very unlike sizes in one list: the ranges handed out hold possible pairs only."""
+    n = np.array([10, 12, 1000, 1100, 90000], np.int64)
+    zero = np.zeros(5, np.int64)
+    looked, ranges = [], J._ranges
+    monkeypatch.setattr(J, "_ranges", lambda a, b: looked.append(int(np.maximum(b - a, 0).sum())) or ranges(a, b))
+    pairs = [(int(i), int(j)) for x, y in J._places(zero, n, zero, np.arange(5), 80) for i, j in zip(x, y)]
+    # Blocks: each its own, and two partners; entries: the two partners.
+    assert pairs == [(0, 1), (2, 3)] and looked == [7, 2]
+
+
+def test_places_of_an_empty_list():
+    none = np.empty(0, np.int64)
+    assert list(J._places(none, none, none, none, 90)) == []

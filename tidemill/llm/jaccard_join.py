@@ -2,8 +2,9 @@
 
 Index lists with set relations. A set's shingles are ordered with frequent ones last, otherwise by
 hash. Two sets as similar as asked share a shingle among the first few of both (the prefix), and the
-places of their first common shingle bound their overlap, so entries of a list are laid out by place
-and whole blocks of a list are skipped once the places add up to too much. Equal sets are one entry.
+places of their first common shingle bound their overlap. A list is laid out in blocks of one set size,
+by place within: blocks of sizes that an entry's place rules out are skipped, and of the others all from
+the first place on that leaves too little to share. Equal sets are one entry.
 In long lists no set is compared with all others: a list's first set is compared with each member,
 and from its answers follow those of the members: members that it joins need no test among
 themselves, and the overlap of two others follows from what each has lost and gained against it.
@@ -49,6 +50,8 @@ BUCKETS, MOST_BUCKETS, FULL = 64, 1 << 14, 255
 DIFFERENCE_BUCKETS = 32
 # Pairs whose histograms are looked at together.
 PAIRS_AT_ONCE = 20_000
+# Entries of short lists whose partners are looked up together.
+ENTRIES_AT_ONCE = 50_000
 WORD_CACHE = 100_000
 # Sets that a task remembers to have described; it describes a forgotten one again.
 SEEN = 100_000
@@ -279,13 +282,43 @@ PAIR = "t bigint, xs bigint, xn int, xp int, ys bigint, yn int, yp int, xr int,
 PAIR_NAMES = ["t", "xs", "xn", "xp", "ys", "yn", "yp", "xr", "yr"]
 
 
-def possible(xn, xp, yn, yp, percent: int):
-    """Whether two sets can be linked if this is their first common shingle."""
-    need = overlap_needed(xn, yn, percent)
-    return (
-        (np.minimum(xn, yn) * 100 >= np.maximum(xn, yn) * percent)
-        & (1 + np.minimum(xn - xp - 1, yn - yp - 1) >= need)
-    )
+def _ranges(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and the range each comes from."""
+    size = np.maximum(stop - first, 0)
+    owner = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[owner], owner
+
+
+def _places(t, n, pos, order, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows whose sets can be linked if the list they share, `t`, is of their first common shingle.
+
+    `order` sorts the rows by list, size and place, so a list is a row of blocks of one size. An entry
+    with `pos` shingles before this one has n - pos left to share. That and its size give the largest
+    partner: blocks beyond are skipped. In a block that is left the partner's place bounds the overlap
+    as well, and with it the block's entries up to a place that one search finds.
+    """
+    t, n, pos = t[order], n[order], pos[order]
+    if not len(t):
+        return
+    heads = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (n[1:] != n[:-1]))))
+    ends = np.append(heads[1:], len(t))
+    block = np.repeat(np.arange(len(heads)), ends - heads)
+    # Lists by number, so that list and size, or block and place, are one sortable value.
+    number = np.cumsum(np.concatenate(([0], t[1:] != t[:-1])))
+    wide = int(max(n.max(), pos.max())) + 2
+    largest = np.minimum(n * 100 // percent, (n - pos) * (100 + percent) // percent - n)
+    last = np.searchsorted((number * wide + n)[heads], number * wide + np.minimum(largest, wide - 1), side="right")
+    in_place = block * wide + pos
+    at = np.arange(len(t))
+    for low in range(0, len(t), ENTRIES_AT_ONCE):
+        mine = at[low : low + ENTRIES_AT_ONCE]
+        other, x = _ranges(block[mine], last[mine])
+        x = mine[x]
+        size = n[heads[other]]
+        end = np.searchsorted(in_place, other * wide + size - overlap_needed(n[x], size, percent), side="right")
+        y, pair = _ranges(np.maximum(heads[other], x + 1), end)
+        if len(y):
+            yield order[x[pair]], order[y]
 
 
 def _pairs(batches, percent: int):
@@ -339,18 +372,13 @@ def _pairs(batches, percent: int):
             other = long != at
             yield out(t[long][other], tuple(rows[c][at][other] for c in names[1:]), tuple(rows[c][long][other] for c in names[1:]))
         few = np.flatnonzero((length > 1) & (length <= SHORT))
-        e = {c: rows[c][few] for c in names}
-        for d in range(1, SHORT):
-            same = np.flatnonzero(e["t"][d:] == e["t"][:-d]) if d < len(few) else ()
-            if not len(same):
-                break
-            x, y = ({c: e[c][same + o] for c in names} for o in (0, d))
-            ok = possible(x["n"], x["pos"], y["n"], y["pos"], percent) & ((x["sid"] != y["sid"]) | (x["n"] != y["n"]))
-            if ok.any():
-                swap = (x["sid"] > y["sid"])[ok]
-                a, b = [x[c][ok] for c in names[1:]], [y[c][ok] for c in names[1:]]
-                x_, y_ = ([np.where(swap, q, p) for p, q in zip(u, v)] for u, v in ((a, b), (b, a)))
-                yield out(pa.nulls(int(ok.sum()), pa.int64()), x_, y_)
+        e = {c: rows[c][few].astype(np.int64) for c in names}
+        for i, j in _places(e["t"], e["n"], e["pos"], np.lexsort((e["pos"], e["n"], e["t"])), percent):
+            other = (e["sid"][i] != e["sid"][j]) | (e["n"][i] != e["n"][j])
+            i, j = i[other], j[other]
+            swap = e["sid"][i] > e["sid"][j]
+            a, b = np.where(swap, j, i), np.where(swap, i, j)
+            yield out(pa.nulls(len(i), pa.int64()), *([e[c][at] for c in names[1:]] for at in (a, b)))
 
     for batch in batches:
         rows = {c: np.concatenate((rest[c], batch.column(c).to_numpy())) for c in names}
