@@ -1,10 +1,15 @@
+import time
+
 import pytest
 from conftest import CUSTOMERS_CSV, ORDERS_CSV, rows
 
+from pyspark.sql import functions as F
+
+from tidemill.functions import delivery_name, feed_date, feed_name
 from tidemill.plans.build import raw_sources, run_build
 from tidemill.sources import ingest as ing
 from tidemill.sources.feeds import ORDERS
-from tidemill.streaming.ingest import stream_ingest
+from tidemill.streaming.ingest import checked_files, stream_ingest
 
 HEAD, *LINES = ORDERS_CSV.splitlines()
 
@@ -153,3 +158,19 @@ def test_stream_entries_name_their_place_in_the_archive(store, landing, tmp_path
         run(store, landing, tmp_path / "cp", archive=str(archive))
     (entry,) = ing.ledger(store).filter("file_name = 'orders_20240601.csv'").collect()
     assert (archive / entry["archived_as"]).exists()
+
+
+def test_names_are_asked_once_per_file(spark):
+    line = "'file:/in/orders_20240601.csv/part-' || (id - id) AS uri", "timestamp'2024-06-01' AS modified_at", "9L AS bytes"
+    files = checked_files(spark.range(1000).selectExpr(*line))
+    above, _, below = files._jdf.queryExecution().optimizedPlan().toString().partition("Aggregate")
+    assert "regexp_extract" in above and "regexp_extract" not in below
+    assert [(r.file_name, r.feed) for r in files.collect()] == [("orders_20240601.csv", "orders")]
+
+
+def test_names_do_not_depend_on_the_folders_above(spark):
+    began = time.time()
+    deep = F.concat(F.lit("file:/"), F.repeat(F.lit("a_20240601.csv-"), 1000), F.lit("/orders_20240602.csv/part-0"), F.col("id"))
+    names = spark.range(50).select(feed_name(deep).alias("f"), delivery_name(deep).alias("d"), feed_date(deep).cast("string").alias("day"))
+    assert {tuple(r) for r in names.collect()} == {("orders", "orders_20240602.csv", "2024-06-02")}
+    assert time.time() - began < 20  # each place of the folder's name tried: minutes

@@ -47,19 +47,24 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(first, F.lit(" "), last)
 
 
+def _end(path: Column) -> Column:
+    """The last two parts of a path, which hold the name of a delivery; the pattern would try every place of all others."""
+    return F.substring_index(path, "/", -2)
+
+
 def feed_name(path: Column) -> Column:
     """Table a delivery belongs to: its name without `.csv` and without an eight-digit date."""
-    return F.regexp_extract(path, FEED, 1)
+    return F.regexp_extract(_end(path), FEED, 1)
 
 
 def delivery_name(path: Column) -> Column:
     """File name, or the name of the folder that a part file lies in."""
-    return F.regexp_extract(path, DELIVERY, 1)
+    return F.regexp_extract(_end(path), DELIVERY, 1)
 
 
 def feed_date(path: Column) -> Column:
     """Date in the name of a delivery, NULL if there is none or it is no calendar date."""
-    digits = F.nullif(F.regexp_extract(path, FEED_DATE, 1), F.lit(""))
+    digits = F.nullif(F.regexp_extract(_end(path), FEED_DATE, 1), F.lit(""))
     return F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date")
 
 

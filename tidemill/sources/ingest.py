@@ -159,14 +159,15 @@ def write_checked(
     good = typed(lines.filter(F.size(REASONS) == 0), feed.schema)
     batch_id = store.append_or_create(good, feed.name, batch_id, origin, above)
     if totals["bad"]:
-        bad = lines.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, "file_name")
+        name = delivery_name(F.col("uri")).alias("file_name")
+        bad = lines.filter(F.size(REASONS) > 0).select(*feed.schema.names, CORRUPT, REASONS, name)
         store.append_or_create(bad, quarantine_table(feed.name), batch_id)
     return batch_id
 
 
 def with_source(df: DataFrame) -> DataFrame:
-    uri = F.col("_metadata.file_path")
-    return df.select("*", uri.alias("uri"), delivery_name(uri).alias("file_name"))
+    """Lines with their file. What its name says is asked once per file, not of each line."""
+    return df.select("*", F.col("_metadata.file_path").alias("uri"))
 
 
 def _load_declared(store: Store, feed: Feed, files: DataFrame, paths: list[str], batch_id: int, archived: Column | None) -> None:

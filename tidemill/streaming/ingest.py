@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.functions import feed_name
+from tidemill.functions import delivery_name, feed_name
 from tidemill.session import scratch_table
 from tidemill.sources.feeds import CORRUPT, Feed
 from tidemill.sources.ingest import DELIVERY, checked_rows, file_outcomes, ledger, note_outcome, with_source, write_checked
@@ -49,9 +49,10 @@ def checkpoint_id(store: Store, checkpoint: str) -> str:
 
 def checked_files(checked: DataFrame) -> DataFrame:
     """One row per file that has lines."""
-    return checked.select(
-        F.col("uri").alias("path"), "uri", "file_name", feed_name(F.col("uri")).alias("feed"), "modified_at", "bytes"
-    ).distinct()
+    uri = F.col("uri")
+    return checked.select("uri", "modified_at", "bytes").distinct().select(
+        uri.alias("path"), "uri", delivery_name(uri).alias("file_name"), feed_name(uri).alias("feed"), "modified_at", "bytes"
+    )
 
 
 def files_to_load(store: Store, files: DataFrame, batch_id: int | None) -> DataFrame:
