@@ -1,9 +1,12 @@
 """BPE against the library, on hand-made and random strings."""
 
+import gc
 import hashlib
 import random
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 from llm_frames import frame  # noqa: F401
@@ -51,3 +54,23 @@ def test_shared_prefixes_are_computed_once():
 
 def test_empty_table(frame):
     assert bpe.digests(frame([(1, "a")]).where("doc_id = 2"), PATH).count() == 0
+
+
+def test_no_search_for_cycles_while_words_are_learned():
+    gc.collect()
+    v, searched = bpe.Vocabulary(open(PATH, encoding="utf-8").read()), []
+    words = [f"word{i}x" for i in range(20_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(words)])], names=["doc_id", "text"])
+    learn = bpe._Chunks.learn
+
+    class Seen(bpe._Chunks):
+        def learn(self, new):
+            note = lambda phase, info: searched.append(phase)
+            gc.callbacks.append(note)
+            learn(self, new)
+            gc.callbacks.remove(note)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe, "_Chunks", Seen)
+        list(bpe._encoded(iter([batch]), SimpleNamespace(value=v.text)))
+    assert not searched and gc.isenabled()

@@ -16,10 +16,12 @@ Defined results: NULL counts as an empty text, which has no tokens and decodes t
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 from itertools import chain
 
@@ -201,6 +203,18 @@ def encode_words(words, v: Vocabulary) -> dict[str, tuple[int, ...]]:
     return out
 
 
+@contextmanager
+def _no_search_for_cycles() -> Iterator[None]:
+    """Python looks through all that is kept whenever much is added; words and tuples of numbers form no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class _Chunks(dict):
     """Ids of the stretches a task has met; when there are too many, those of the slice at hand stay."""
 
@@ -230,7 +244,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch
     known = _Chunks(Vocabulary(text.value))
     for batch in pieces(batches):
         docs = [chunks(t) for t in batch.column("text").to_pylist()]
-        known.learn(set(chain.from_iterable(docs)))
+        with _no_search_for_cycles():
+            known.learn(set(chain.from_iterable(docs)))
         ids = [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32) for words in docs]
         offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
