@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,17 +73,18 @@ class Membership:
     def bit(column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(BLOOM_BITS)).cast("int")
 
+    @classmethod
+    def words(cls, ids: DataFrame, column: str) -> DataFrame:
+        """The filter as a table: `w, b`, the 64 bits from 64 * w, where any is set."""
+        bit = cls.bit(column)
+        mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit % 64)
+        set_ = ids.where(F.col(column).isNotNull()).select((bit / 64).cast("int").alias("w"), mask.alias("b"))
+        return set_.groupBy("w").agg(F.bit_or("b").alias("b"))
+
     @classmethod
     def of(cls, ids: DataFrame, column: str) -> Membership:
         """At most BLOOM_BITS / 64 rows come to the driver, whatever the number of ids."""
-        bit = cls.bit(column)
-        words = (
-            ids.where(F.col(column).isNotNull())
-            .select((bit / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit % 64).alias("b"))
-            .groupBy("w")
-            .agg(F.bit_or("b").alias("b"))
-            .toArrow()
-        )
+        words = cls.words(ids, column).toArrow()
         bits = np.zeros(BLOOM_BITS // 64, np.int64)
         bits[words["w"].to_numpy()] = words["b"].to_numpy()
         return cls(ids.sparkSession.sparkContext.broadcast(bits.view(np.uint64)))
@@ -102,16 +102,14 @@ def without(docs: DataFrame, leaving: DataFrame, doubtful: DataFrame | None = No
     they lie; only those that it cannot rule out are joined with the ids.
     """
     asked = leaving.select("doc_id") if doubtful is None else leaving.select("doc_id").union(doubtful.select("doc_id"))
-    bits = Membership.of(asked, "doc_id").bits
-
-    @F.pandas_udf("boolean")
-    def maybe(bit: pd.Series) -> pd.Series:
-        return pd.Series(holds(bits.value, bit.to_numpy()))
-
-    flag = F.col("doc_id").isNotNull() & maybe(F.coalesce(Membership.bit("doc_id"), F.lit(0)))
+    # The table of the filter is small, and read by both of the joins.
+    bits = written(Membership.words(asked, "doc_id").toDF("_w", "_b"), "leaving-bits")
+    bit = Membership.bit("doc_id")
+    found = F.call_function("shiftright", F.col("_b"), bit % 64).bitwiseAND(F.lit(1)) == 1
+    here = ((bit / 64).cast("int") == F.col("_w")) & found & F.col("doc_id").isNotNull()
     ids = leaving.select(F.col("doc_id").alias("leaving_id")).distinct()
-    some = docs.where(flag)
+    some = docs.join(F.broadcast(bits), here, "left_semi")
     some = some.join(ids, some["doc_id"] == ids["leaving_id"], "left_anti")
     if doubtful is not None:
         some = some.dropDuplicates(["doc_id", "text"])
-    return docs.where(~flag).unionByName(some)
+    return docs.join(F.broadcast(bits), here, "left_anti").unionByName(some)
