@@ -9,6 +9,7 @@ from tidemill.functions import delivery_name, feed_date, feed_name
 from tidemill.plans.build import raw_sources, run_build
 from tidemill.sources import ingest as ing
 from tidemill.sources.feeds import ORDERS
+from tidemill.streaming import ingest as streaming
 from tidemill.streaming.ingest import checked_files, stream_ingest
 
 HEAD, *LINES = ORDERS_CSV.splitlines()
@@ -175,3 +176,23 @@ def test_names_do_not_depend_on_the_folders_above(spark):
     names = spark.range(50).select(feed_name(deep).alias("f"), delivery_name(deep).alias("d"), feed_date(deep).cast("string").alias("day"))
     assert {tuple(r) for r in names.collect()} == {("orders", "orders_20240602.csv", "2024-06-02")}
     assert time.time() - began < 20  # each place of the folder's name tried: minutes
+
+
+def test_only_files_to_load_are_parsed(store, landing, tmp_path, monkeypatch):
+    drop(landing, "orders_20240601.csv", LINES[:2])
+    ing.ingest(store, str(landing))
+    (landing / "orders_20240602.csv").mkdir()
+    drop(landing / "orders_20240602.csv", "part-[0].csv", LINES[2:5])  # no pattern
+    (landing / "orders_20240603.csv").write_text("")
+    parsed, check = [], streaming.checked_rows
+
+    def seen(lines, feed):
+        parsed.extend(r["uri"].rsplit("/", 2)[1] for r in lines.select("uri").distinct().collect())
+        return check(lines, feed)
+
+    monkeypatch.setattr(streaming, "checked_rows", seen)
+    run(store, landing, tmp_path / "cp")
+    assert parsed == ["orders_20240602.csv"]
+    assert rows(store.read("orders").groupBy("batch_id").count()) == [(1, 2), (2, 3)]
+    # A file without a line has no entry.
+    assert {r["file_name"] for r in ing.ledger(store).collect()} == {"orders_20240601.csv", "orders_20240602.csv"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,33 +11,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions import delivery_name, feed_name
 from tidemill.session import scratch_table
-from tidemill.sources.feeds import CORRUPT, Feed
+from tidemill.sources.feeds import Feed, read_feed_text
 from tidemill.sources.ingest import DELIVERY, checked_rows, file_outcomes, ledger, note_outcome, with_source, write_checked
 from tidemill.sources.store import Store
 
 POLL = "5 minutes"
+# Columns of Spark's source of whole files.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# Characters by which a path would be taken for a pattern.
+GLOB = re.compile(r"[{}\[\]*?\\]")
 
 
 def feed_stream(
     store: Store, landing: str, feed: Feed, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """Lines of the feed's files as text, with their file, its time and size.
+    """The feed's files with their place, time and size; what is in them is left unread.
 
-    The file source tracks the files it has read in the checkpoint. With `archive`, a folder outside
+    The file source tracks the files it has passed on in the checkpoint. With `archive`, a folder outside
     the landing zone, it moves files there in the course of later batches.
     """
-    reader = (
-        store.spark.readStream.schema(feed.text_schema)
-        .option("header", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .options(**feed.options)
-    )
+    reader = store.spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**feed.options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return with_source(reader.csv(f"{landing}/{feed.glob}")).select(
-        "*",
+    return with_source(reader.load(f"{landing}/{feed.glob}")).select(
+        F.col("path").alias("place"),
+        "uri",
         F.col("_metadata.file_modification_time").alias("modified_at"),
         F.col("_metadata.file_size").alias("bytes"),
     )
@@ -47,10 +48,10 @@ def checkpoint_id(store: Store, checkpoint: str) -> str:
     return store.spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
 
 
-def checked_files(checked: DataFrame) -> DataFrame:
-    """One row per file that has lines."""
+def checked_files(listed: DataFrame) -> DataFrame:
+    """One row per file, with what its name says."""
     uri = F.col("uri")
-    return checked.select("uri", "modified_at", "bytes").distinct().select(
+    return listed.select("uri", "modified_at", "bytes").distinct().select(
         uri.alias("path"), "uri", delivery_name(uri).alias("file_name"), feed_name(uri).alias("feed"), "modified_at", "bytes"
     )
 
@@ -63,6 +64,18 @@ def files_to_load(store: Store, files: DataFrame, batch_id: int | None) -> DataF
     return files.join(known.select(*DELIVERY), DELIVERY, "left_anti")
 
 
+def lines_of(store: Store, feed: Feed, listed: DataFrame, files: DataFrame) -> DataFrame:
+    """Lines of the listed files that are among `files`; no other file is opened.
+
+    The driver holds the paths of one micro-batch, which `max_files` bounds.
+    """
+    wanted = listed.join(files.select("uri"), "uri", "left_semi").select("place").distinct().orderBy("place")
+    paths = [GLOB.sub(r"\\\g<0>", r["place"]) for r in wanted.collect()]
+    if not paths:
+        return store.spark.createDataFrame([], feed.text_schema).withColumn("uri", F.lit(None).cast("string"))
+    return with_source(read_feed_text(store.spark, paths, feed))
+
+
 def stream_ingest(
     store: Store,
     landing: str,
@@ -85,16 +98,16 @@ def stream_ingest(
     def write(df: DataFrame, epoch: int) -> None:
         origin = f"{checkpoint_id(store, checkpoint)}/{epoch}"
         mine = store.batch_of(feed.name, origin)
-        # parsed once, then read by each of the writes
+        # Whose files these are is settled first; only lines that are to be loaded are parsed, once, then read by each of the writes.
         with (
-            scratch_table(checked_rows(df, feed), "checked") as checked,
-            scratch_table(files_to_load(store, checked_files(checked), mine), "files") as files,
-            scratch_table(file_outcomes(checked).join(files.select("uri"), "uri"), "outcome") as outcome,
+            scratch_table(files_to_load(store, checked_files(df), mine), "files") as files,
+            scratch_table(checked_rows(lines_of(store, feed, df, files), feed), "checked") as checked,
+            scratch_table(file_outcomes(checked), "outcome") as outcome,
         ):
-            lines = checked.join(F.broadcast(files.select("uri")), "uri", "left_semi")
             last = ledger(store).filter(F.col("feed") == feed.name).agg(F.max("batch_id")).first()[0]
-            batch_id = write_checked(store, lines, outcome, feed, mine, origin, last)
-            numbered = files.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            batch_id = write_checked(store, checked, outcome, feed, mine, origin, last)
+            lined = files.join(outcome.select("uri"), "uri", "left_semi")
+            numbered = lined.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             # The file source keeps the whole path below its archive folder.
             place = F.regexp_replace("uri", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/", "") if archive else None
             note_outcome(store, numbered, outcome, place)
