@@ -4,11 +4,11 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import CUSTOMERS_CSV, ORDERS_CSV, PRODUCTS_CSV, rows
+from conftest import CUSTOMERS_CSV, ORDERS_CSV, PRODUCTS_CSV, plan, rows
 from pyspark.sql import functions as F
 
 from tidemill.functions import archive_name, feed_date, feed_name
-from tidemill.operators.validate import split_valid
+from tidemill.operators.validate import split_valid, with_reasons
 from tidemill.sources import ingest as ing
 from tidemill.sources.feeds import (
     FEEDS,
@@ -110,6 +110,13 @@ def test_split_valid(spark):
 # -- landing zone ------------------------------------------------------------------------------
 
 
+def test_rules_are_compiled(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 'x'), (-1, NULL), (NULL, '5') AS t(v, w)")
+    marked = with_reasons(df, {"": F.col("v") < 0, "missing": F.col("v").isNull(), "bad": F.col("w").try_cast("int").isNull()})
+    assert rows(marked, "v", "reasons") == rows(spark.sql("SELECT * FROM VALUES (1, array('bad')), (-1, array('', 'bad')), (NULL, array('missing'))"))
+    assert "lambda" not in plan(marked)  # a function per element has all below it interpreted, row by row
+
+
 def test_empty_and_missing_landing_zone(store, landing):
     assert ing.ingest(store, str(landing)) == []
     assert ing.ingest(store, str(landing / "nowhere")) == []

@@ -12,9 +12,15 @@ REASONS = "reasons"
 
 
 def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Add the names of the rules each row breaks. A rule is a condition for a bad row."""
-    broken = [F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules.items()]
-    found = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    """Add the names of the rules each row breaks. A rule is a condition for a bad row.
+
+    Unlike `array_compact`, whose function per element has the conditions below it interpreted, removing a value is compiled.
+    """
+    none = ""
+    while none in rules:
+        none += " "
+    broken = [F.when(F.coalesce(bad, F.lit(False)), F.lit(name)).otherwise(F.lit(none)) for name, bad in rules.items()]
+    found = F.array_remove(F.array(*broken), none) if broken else F.array().cast("array<string>")
     return df.withColumn(REASONS, found)
 
 
