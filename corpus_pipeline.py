@@ -37,8 +37,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens of each document and digests of its tokens, and of the text that they decode to."""
-    return bpe.digests(docs, VOCABULARY)
+    """Number of tokens of each document and digests of its tokens, and of the text that they decode to.
+
+    Written here, so that texts pass to Python by the thousand and not ten times as many at once.
+    """
+    return written(bpe.digests(docs, VOCABULARY), "pipeline-digests")
 
 
 STAGES = [

@@ -74,3 +74,31 @@ def test_no_search_for_cycles_while_words_are_learned():
         patch.setattr(bpe, "_Chunks", Seen)
         list(bpe._encoded(iter([batch]), SimpleNamespace(value=v.text)))
     assert not searched and gc.isenabled()
+
+
+def test_a_task_leaves_no_vocabulary_behind():
+    text = open(PATH, encoding="utf-8").read()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["Some words, ünd more.", None, " "])], names=["doc_id", "text"])
+    on = gc.isenabled()
+    gc.collect()
+    gc.disable()
+    try:
+        (out,) = bpe._encoded(iter([batch]), SimpleNamespace(value=text))
+        assert not any(isinstance(o, (bpe.Vocabulary, bpe._Chunks)) for o in gc.get_objects())
+    finally:
+        if on:
+            gc.enable()
+    assert [len(ids) > 0 for ids in out.column("ids").to_pylist()] == [True, False, False]
+
+
+def test_texts_pass_to_python_by_the_thousand(frame, monkeypatch):
+    import corpus_pipeline
+
+    def noted(docs, vocabulary):
+        docs = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([b.column(0), pa.array([str(b.num_rows)] * b.num_rows)], names=["doc_id", "text"]) for b in batches), "doc_id bigint, text string")
+        return docs.selectExpr("doc_id", "int(text) AS n")
+
+    monkeypatch.setattr(bpe, "digests", noted)
+    docs = frame([(i, "a") for i in range(5000)]).coalesce(1)
+    sizes = corpus_pipeline.encoded(docs.sparkSession, docs, "").selectExpr("max(n)", "count(*)").first()
+    assert sizes[0] <= 1000 and sizes[1] == 5000

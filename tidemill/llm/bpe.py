@@ -20,6 +20,8 @@ import gc
 import json
 import re
 import unicodedata
+import weakref
+from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import partial
@@ -65,7 +67,8 @@ class _StablePairs(dict):
 
     def __init__(self, v: Vocabulary):
         super().__init__()
-        self.v = v
+        # A circle would keep the vocabulary of a task in memory after its end, beside that of the next one.
+        self.v = weakref.proxy(v)
 
     def __missing__(self, pair: tuple[str, str]) -> bool:
         if len(self) > PAIRS_KEPT:
@@ -91,9 +94,12 @@ class Vocabulary:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        # One object for each token, wherever it is kept.
+        self.own = {t: t for t in self.ids}
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        merges = [tuple(self.own.get(t, t) for t in m) for m in pairs]
         self.ranks = {m: r for r, m in enumerate(merges)}
-        self.parts = {a + b: (a, b) for a, b in merges}
+        self.parts = {self.own.get(t, t): m for m in merges for t in ("".join(m),)}
         if len(self.parts) < len(merges):
             raise ValueError("a token with two merge rules: stable pairs would not tell the encoding")
         self.stable = _StablePairs(self)
@@ -125,7 +131,7 @@ class Vocabulary:
         """Words of a stretch without white space, in the letters of the vocabulary; special tokens after a NUL."""
         if self.plain and text.isascii():
             if text.isalpha():
-                return [text.lower()]
+                return [text if text.islower() else text.lower()]
             if text[-1] in STOPS and text[:-1].isalpha():
                 return [text[:-1].lower(), text[-1]]
         found = []
@@ -172,7 +178,7 @@ def encode_words(words, v: Vocabulary) -> dict[str, tuple[int, ...]]:
     a word is closed from the nodes before that letter.
     """
     out: dict[str, tuple[int, ...]] = {}
-    ids, stable, end = v.ids, v.stable, v.end
+    ids, own, stable, end = v.ids, v.own, v.stable, v.end
     starts, tokens, path = [0], [""], ""  # by length of the path
     for word in sorted(words):
         inner = len(word) - 1
@@ -183,16 +189,16 @@ def encode_words(words, v: Vocabulary) -> dict[str, tuple[int, ...]]:
         path = word[:inner]
         for n in range(shared + 1, inner + 1):
             for start in range(n - 1, -1, -1):
-                token = word[start:n]
+                token = own.get(word[start:n])
                 # A token alone is stable, too: each is the encoding of its own text.
-                if token in ids and (not start or stable[tokens[start], token]):
+                if token is not None and (not start or stable[tokens[start], token]):
                     break
             starts.append(start)
             tokens.append(token)
         closed = word + end
         for start in range(inner, -1, -1):
-            token = closed[start:]
-            if token in ids and (not start or stable[tokens[start], token]):
+            token = own.get(closed[start:])
+            if token is not None and (not start or stable[tokens[start], token]):
                 break
         found = [ids[token]]
         while start:
@@ -215,13 +221,17 @@ def _no_search_for_cycles() -> Iterator[None]:
             gc.enable()
 
 
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class _Chunks(dict):
-    """Ids of the stretches a task has met; when there are too many, those of the slice at hand stay."""
+    """Ids of the stretches a task has met, as the bytes of 32-bit numbers; when there are too many, those of the slice at hand stay."""
 
     def __init__(self, v: Vocabulary):
         super().__init__()
         self.v, self.words = v, {}
-        self.special = {"\0" + t: (i,) for t, i in v.special.items()}
+        self.special = {"\0" + t: _packed((i,)) for t, i in v.special.items()}
 
     def learn(self, new: set[str]) -> None:
         if len(self) > KEPT:
@@ -235,9 +245,9 @@ class _Chunks(dict):
         if len(known) > KEPT:
             known = self.words = {w: known[w] for w in needed & known.keys()}
         known.update(self.special)
-        known.update(encode_words(needed - known.keys(), self.v))
+        known.update((w, _packed(ids)) for w, ids in encode_words(needed - known.keys(), self.v).items())
         for c, ws in cut.items():
-            self[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
+            self[c] = known[ws[0]] if len(ws) == 1 else b"".join(map(known.__getitem__, ws))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch]:
@@ -246,9 +256,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], text) -> Iterator[pa.RecordBatch
         docs = [chunks(t) for t in batch.column("text").to_pylist()]
         with _no_search_for_cycles():
             known.learn(set(chain.from_iterable(docs)))
-        ids = [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32) for words in docs]
-        offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+        ids = [b"".join(map(known.__getitem__, words)) for words in docs]
+        offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
 
